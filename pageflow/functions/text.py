@@ -7,23 +7,24 @@ from pyspark.sql import functions as F
 
 from pageflow.settings import ERROR_PREFIX
 
-# The 29 characters Python's str.split() and str.strip() treat as white space,
-# as the inside of a regular-expression character class.
-WHITESPACE = r"\x09-\x0D\x1C-\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+# Fixed value: the 29 characters Python's str.split() and str.strip() treat as white space, as the inside
+# of a character class: Unicode white space (flag U) and the four information separators.
+WHITESPACE = r"\s\x1C-\x1F"
+UNICODE = "(?U)"
 
 
 def words(text: Column) -> Column:
     """Number of white-space separated words."""
-    return F.regexp_count(text, F.lit(f"[^{WHITESPACE}]+"))
+    return F.regexp_count(text, F.lit(f"{UNICODE}[^{WHITESPACE}]+"))
 
 
 def is_blank(text: Column) -> Column:
     """Null, empty or only white space. The search stops at the first other character."""
-    return F.coalesce(~text.rlike(f"[^{WHITESPACE}]"), F.lit(True))
+    return F.coalesce(~text.rlike(f"{UNICODE}[^{WHITESPACE}]"), F.lit(True))
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^[{WHITESPACE}]+|[{WHITESPACE}]+$", "")
+    return F.regexp_replace(text, f"{UNICODE}^[{WHITESPACE}]+|[{WHITESPACE}]+$", "")
 
 
 def is_error_text(text: Column) -> Column:

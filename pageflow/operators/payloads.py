@@ -36,7 +36,8 @@ def attach_flags(rows: DataFrame, flags: DataFrame, spread_by: list[str], settin
 
     A document may own any share of the rows, so the lookup is spread within documents.
     """
-    per_doc = flags.groupBy("doc_id").agg(F.max("use_image").alias("use_image"))
+    # Only documents with the flag set are looked up; false and missing are the same.
+    per_doc = flags.where("use_image").select("doc_id").distinct().withColumn("use_image", F.lit(True))
     joined = lookup(rows, per_doc, ["doc_id"], spread_by, buckets=settings.lookup_buckets)
     return joined.withColumn("use_image", F.coalesce("use_image", F.lit(False)))
 

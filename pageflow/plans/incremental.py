@@ -95,7 +95,13 @@ def _write_plan(
     store.write(page_keys(added), "keys", run_id)
     added_keys = store.read("keys", run_id, schemas.PAGE_KEYS)
     catalog = store.catalog(head)
-    work = plan_work(added_keys, store.known_keys(head), store.success_keys(head), catalog, as_of, settings)
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        store.write(df, f"steps/{name}", run_id)
+        return store.read(f"steps/{name}", run_id, df.schema)
+
+    known, success = store.known_keys(head), store.successes(head)
+    work = plan_work(added_keys, known, success, catalog, as_of, settings, keep)
     flagged = attach_flags(work, flags, ["page_key", "content_hash"], settings)
     pick = lambda what: F.when(F.col("use_image"), F.col(f"image_{what}")).otherwise(F.col(f"page_{what}"))
     error = rejection(pick("length"), pick("blank"), settings)

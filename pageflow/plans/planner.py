@@ -1,10 +1,14 @@
 """What a run has to do: new pages, due retries, and nothing twice.
 
-Planning works on slim keys only; payloads never take part.
+Planning works on slim keys only; payloads never take part. The tables of earlier runs (successes, known
+keys) are the large ones here: they are scanned and probed with the keys at hand, and shuffled only where
+those keys are too many to broadcast.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,88 +20,108 @@ from pageflow.settings import DEFAULTS, Settings
 ADDED, RETRY = "added", "retry"
 ORDER = ["content_hash", "record_id", "row_file", "row_index"]
 
+# Writes an intermediate table under a name and reads it back, so that it is computed once.
+Keep = Callable[[str, DataFrame], DataFrame]
+
+
+def succeeded(success: DataFrame, pages: DataFrame) -> DataFrame:
+    """Page keys of ``pages`` that are in the success table."""
+    wanted = pages.select("page_key").distinct()
+    return success.select("page_key").join(wanted, "page_key", "left_semi").distinct()
 
-def unseen_pages(added: DataFrame, success_keys: DataFrame) -> DataFrame:
+
+def unseen_pages(added: DataFrame, success: DataFrame) -> DataFrame:
     """Added pages without an earlier success. ``added`` is unique on ``page_key``, so no key is hot."""
-    return added.join(success_keys, "page_key", "left_anti")
+    return added.join(succeeded(success, added), "page_key", "left_anti")
 
 
-def _catalog_by_state(catalog: DataFrame, as_of: Column, settings: Settings) -> DataFrame:
+def catalog_states(catalog: DataFrame, as_of: Column, settings: Settings = DEFAULTS) -> DataFrame:
+    """One row per content: attempts so far and whether it is permanent, due or waiting."""
     state = C.catalog_state(as_of, settings).alias("state")
     return C.one_per_content(catalog).select(*C.KEY, "attempt_count", "last_attempt_at", state)
 
 
 def due_retries(catalog: DataFrame, as_of: Column, settings: Settings = DEFAULTS) -> DataFrame:
-    states = _catalog_by_state(catalog, as_of, settings)
-    return states.where(F.col("state") == C.DUE).drop("state")
+    return catalog_states(catalog, as_of, settings).where(F.col("state") == C.DUE).drop("state")
 
 
-def retry_candidates(
-    previous: DataFrame, due: DataFrame, success_keys: DataFrame, settings: Settings = DEFAULTS
-) -> DataFrame:
-    """Previous pages whose content is due for another attempt, with ``done`` where the page has since
-    succeeded. Pages not done are unique on ``page_key``."""
-    matched = lookup(
-        previous, due, C.KEY, ["page_key", "row_file", "row_index"], "inner", settings.lookup_buckets
+def fresh_pages(added: DataFrame, success: DataFrame, states: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Added pages to process, one per key, with their attempts so far.
+
+    A page that arrives again keeps its attempts, and stays out while its content is given up or waiting.
+    """
+    unseen = unseen_pages(keep_one_per_key(added, "page_key", ORDER), success)
+    relevant = states.join(added.select(*C.KEY).distinct(), C.KEY, "left_semi")
+    known = lookup(unseen, relevant, C.KEY, ["page_key"], buckets=settings.lookup_buckets)
+    return (
+        known.where(F.coalesce(F.col("state") == C.DUE, F.lit(True)))
+        .withColumn("attempt_count", F.coalesce("attempt_count", F.lit(0)))
+        .drop("state")
     )
-    # Copies of one page with one content are one retry; folding them also unloads hot keys.
+
+
+def match_due(previous: DataFrame, due: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Previous pages whose content is due for another attempt.
+
+    Copies of one page with one content are one retry; folding them also unloads hot keys.
+    """
+    matched = lookup(previous, due, C.KEY, ["page_key", "row_file", "row_index"], "inner", settings.lookup_buckets)
     identity = ["page_key", *C.KEY]
-    rest = [c for c in matched.columns if c not in identity]
-    distinct = (
-        matched.groupBy(*identity)
-        .agg(F.min(F.struct("row_file", "row_index", *[c for c in rest if c not in ("row_file", "row_index")])).alias("_first"))
-        .select(*[F.col(c) if c in identity else F.col(f"_first.{c}").alias(c) for c in matched.columns])
+    rest = ["row_file", "row_index"]
+    rest += [c for c in matched.columns if c not in identity and c not in rest]
+    folded = matched.groupBy(*identity).agg(F.min(F.struct(*rest)).alias("_first"))
+    return folded.select(*[c if c in identity else f"_first.{c}" for c in matched.columns])
+
+
+def mark_done(matched: DataFrame, success: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Add ``done`` where the page has succeeded since; the others become unique on ``page_key``."""
+    done = succeeded(success, matched).withColumn("done", F.lit(True))
+    flagged = lookup(matched, done, ["page_key"], C.KEY, buckets=settings.lookup_buckets)
+    flagged = flagged.withColumn("done", F.coalesce("done", F.lit(False)))
+    return keep_one_per_key(flagged.where(~F.col("done")), "page_key", ORDER).unionByName(flagged.where("done"))
+
+
+def retry_candidates(
+    previous: DataFrame, due: DataFrame, success: DataFrame, settings: Settings = DEFAULTS
+) -> DataFrame:
+    return mark_done(match_due(previous, due, settings), success, settings)
+
+
+def combine(fresh: DataFrame, retries: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Fresh pages and retries as one plan, unique on ``page_key`` among rows with ``done`` false.
+
+    New content of a record wins over a retry of its old content; the same content is tried once, as a
+    retry. Rows with ``done`` true are there for the catalog, not for conversion.
+    """
+    rivals = fresh.join(retries.select("record_id").distinct(), "record_id", "left_semi")
+    rivals = rivals.groupBy("record_id").agg(F.min("content_hash").alias("_first"), F.max("content_hash").alias("_last"))
+    replaced = (F.col("_first") != F.col("content_hash")) | (F.col("_last") != F.col("content_hash"))
+    current = lookup(retries, rivals, ["record_id"], ["page_key", "content_hash"], buckets=settings.lookup_buckets)
+    current = (
+        current.where(F.col("done") | ~F.coalesce(replaced, F.lit(False)))
+        .drop("_first", "_last")
+        .withColumn("origin", F.lit(RETRY))
     )
-    flagged = lookup(
-        distinct,
-        success_keys.withColumn("done", F.lit(True)),
-        ["page_key"],
-        C.KEY,
-        buckets=settings.lookup_buckets,
-    ).withColumn("done", F.coalesce("done", F.lit(False)))
-    waiting = keep_one_per_key(flagged.where(~F.col("done")), "page_key", ORDER)
-    return waiting.unionByName(flagged.where("done"))
+    tried = current.where(~F.col("done")).select(*C.KEY).distinct()
+    new = lookup(fresh, tried, C.KEY, ["page_key"], "left_anti", settings.lookup_buckets)
+    new = new.withColumn("done", F.lit(False)).withColumn("origin", F.lit(ADDED))
+    work = new.unionByName(current.where(~F.col("done")))
+    return keep_one_per_key(work, "page_key", ["origin", *ORDER]).unionByName(current.where("done"))
 
 
 def plan_work(
     added: DataFrame,
     previous: DataFrame,
-    success_keys: DataFrame,
+    success: DataFrame,
     catalog: DataFrame,
     as_of: Column,
     settings: Settings = DEFAULTS,
+    keep: Keep = lambda name, df: df,
 ) -> DataFrame:
-    """Slim rows of the pages to process, with ``origin``, ``attempt_count`` and ``last_attempt_at``.
-
-    Unique on ``page_key`` among rows with ``done`` false. Rows with ``done`` true are retries whose page
-    has succeeded since; they are there for the catalog, not for conversion.
-    """
-    states = _catalog_by_state(catalog, as_of, settings)
+    """Slim rows of the pages to process, with ``origin``, ``done``, ``attempt_count`` and ``last_attempt_at``."""
+    states = catalog_states(catalog, as_of, settings)
+    fresh = keep("fresh", fresh_pages(added, success, states, settings))
     due = states.where(F.col("state") == C.DUE).drop("state")
-    unique = keep_one_per_key(added, "page_key", ORDER)
-
-    # A page that arrives again keeps its attempts, and stays out while its content is given up or waiting.
-    known = lookup(unseen_pages(unique, success_keys), states, C.KEY, ["page_key"], buckets=settings.lookup_buckets)
-    fresh = (
-        known.where(F.coalesce(F.col("state") == C.DUE, F.lit(True)))
-        .withColumn("attempt_count", F.coalesce("attempt_count", F.lit(0)))
-        .drop("state")
-    )
-
-    retries = retry_candidates(previous, due, success_keys, settings)
-    by_record = fresh.groupBy("record_id").agg(
-        F.min("content_hash").alias("_first"), F.max("content_hash").alias("_last")
-    )
-    replaced = (F.col("_first") != F.col("content_hash")) | (F.col("_last") != F.col("content_hash"))
-    current = lookup(
-        retries, by_record, ["record_id"], ["page_key", "content_hash"], buckets=settings.lookup_buckets
-    )
-    # New content of a record wins over a retry of its old content.
-    current = current.where(F.col("done") | ~F.coalesce(replaced, F.lit(False))).drop("_first", "_last")
-
-    retried = current.where(~F.col("done")).select(*C.KEY).distinct()
-    new = lookup(fresh, retried, C.KEY, ["page_key"], "left_anti", settings.lookup_buckets)
-    new = new.withColumn("done", F.lit(False)).withColumn("origin", F.lit(ADDED))
-    work = new.unionByName(current.where(~F.col("done")).withColumn("origin", F.lit(RETRY)))
-    work = keep_one_per_key(work, "page_key", ["origin", *ORDER])
-    return work.unionByName(current.where("done").withColumn("origin", F.lit(RETRY)))
+    matched = keep("matched", match_due(previous, due, settings))
+    retries = keep("retries", mark_done(matched, success, settings))
+    return combine(fresh, retries, settings)

@@ -179,7 +179,7 @@ def key_audit(spark, sf_dir):
 @query
 def unseen_pages(spark, sf_dir):
     added = added_pages(td.page_batch(spark, sf_dir, totals=False), 1)
-    done = td.success_previous(spark, sf_dir).distinct()
+    done = td.success_previous(spark, sf_dir)
     return planner.unseen_pages(_keys(added), done).select("page_key", "record_id")
 
 
@@ -201,7 +201,7 @@ def due_retries(spark, sf_dir):
 def retry_candidates(spark, sf_dir):
     previous = previous_pages(td.page_batch(spark, sf_dir, totals=False), 1)
     due = planner.due_retries(td.catalog_from_pages(spark, sf_dir), td.as_of())
-    done = td.success_previous(spark, sf_dir).distinct()
+    done = td.success_previous(spark, sf_dir)
     return planner.retry_candidates(_keys(previous), due, done).select(
         "page_key", "record_id", "content_hash", "attempt_count", "done"
     )
@@ -210,12 +210,19 @@ def retry_candidates(spark, sf_dir):
 @query
 def work_plan(spark, sf_dir):
     pages = td.page_batch_with_changes(spark, sf_dir)
+    folder = work_folder(spark)
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
     plan = planner.plan_work(
         _keys(added_pages(pages, 1)),
         _keys(previous_pages(pages, 1)),
-        td.success_previous(spark, sf_dir).distinct(),
+        td.success_previous(spark, sf_dir),
         td.catalog_from_pages(spark, sf_dir),
         td.as_of(),
+        keep=keep,
     )
     return plan.select("page_key", "record_id", "content_hash", "origin", "attempt_count", "done")
 

@@ -3,6 +3,7 @@
 Layout below the root::
 
     keys/run=R          slim keys of the pages that arrived with run R
+    steps/<step>/run=R  intermediate tables of planning
     plan/run=R          what run R decided to do, by chunk
     results/run=R/...   converted pages of run R, one folder per chunk
     progress/run=R      chunks of run R that are complete
@@ -76,9 +77,6 @@ class PageStore:
         rows = self._committed("results", schemas.CONVERTED, head or self.head())
         return conform_schema(rows.where(F.col("error").isNull()), schemas.SUCCESS)
 
-    def success_keys(self, head: Head) -> DataFrame:
-        return self.successes(head).select("page_key").distinct()
-
     def known_keys(self, head: Head) -> DataFrame:
         """Slim keys of every page seen by committed runs."""
         return self._committed("keys", schemas.PAGE_KEYS, head)
