@@ -12,7 +12,9 @@ from pageflow.settings import FAILED
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    """No rows, in a form whose emptiness the optimizer sees: joins with it fold away."""
+    value = lambda f: null_of(f) if f.nullable else F.lit("" if f.dataType == T.StringType() else 0).alias(f.name)
+    return spark.range(1).where(F.lit(False)).select([value(f) for f in schema.fields])
 
 
 def null_of(field: T.StructField) -> Column:

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from pageflow import schemas
 from pageflow.functions.errors import classify_error
 from pageflow.functions.keys import content_hash, record_id
-from pageflow.operators.catalog import KEY, merge_catalog
+from pageflow.operators.catalog import DUE, KEY, merge_catalog
 from pageflow.operators.convert import Converter
 from pageflow.operators.metrics import breaker_check, count_if, rate, top_categories
 from pageflow.operators.payloads import attach_flags, page_keys, rejection
 from pageflow.operators.tables import conform_schema, empty
 from pageflow.plans.chunks import chunk_of, chunk_sizes, fetch
 from pageflow.plans.pages import convert_pages, finish_pages, with_payload
-from pageflow.plans.planner import ADDED, RETRY, plan_work
+from pageflow.plans.planner import ADDED, RETRY, catalog_states, combine, fresh_pages, mark_done, match_due
 from pageflow.settings import DEFAULTS, Settings
 from pageflow.sources.store import Head, PageStore
 
@@ -56,7 +56,7 @@ def run_batch(
         finished[PLANNED] = last_ingest_id
     last_ingest_id = finished[PLANNED]
 
-    plan = store.read("plan", run_id)
+    plan = store.plan(run_id)
     sizes = chunk_sizes(plan)
     for chunk, rows in sorted(sizes.items()):
         if chunk not in finished:
@@ -75,10 +75,8 @@ def run_batch(
     store.write(metrics, "metrics", run_id)
     _stop_if_tripped(store, run_id, failures, settings)
 
-    work = plan.where(~F.col("done"))
-    catalog = merge_catalog(
-        store.catalog(head), plan, work.where(F.col("origin") == ADDED), failures, as_of, settings
-    )
+    arrived = plan.where((F.col("origin") == ADDED) & ~F.col("done"))
+    catalog = merge_catalog(store.catalog(head), plan, arrived, failures, as_of, settings)
     store.write(catalog, "catalog", run_id)
     store.commit(run_id, head, last_ingest_id, as_of)
 
@@ -92,34 +90,31 @@ def _write_plan(
     run_id: str,
     settings: Settings,
 ) -> None:
-    store.write(page_keys(added), "keys", run_id)
-    added_keys = store.read("keys", run_id, schemas.PAGE_KEYS)
-    catalog = store.catalog(head)
-
     def keep(name: str, df: DataFrame) -> DataFrame:
         store.write(df, f"steps/{name}", run_id)
         return store.read(f"steps/{name}", run_id, df.schema)
 
-    known, success = store.known_keys(head), store.successes(head)
-    work = plan_work(added_keys, known, success, catalog, as_of, settings, keep)
+    store.write(page_keys(added), "keys", run_id)
+    added_keys = store.read("keys", run_id, schemas.PAGE_KEYS)
+    success = store.successes(head)
+    states = catalog_states(store.catalog(head), as_of, settings)
+    due = states.where(F.col("state") == DUE).drop("state")
+    added_rows, due_rows = added_keys.count(), due.count()
+    fresh = fresh_pages(added_keys, success, states, settings)
+    fresh = keep("fresh", fresh) if added_rows else empty(store.spark, fresh.schema)
+    retries = match_due(store.known_keys(head), due, settings)
+    if due_rows:
+        retries = keep("retries", mark_done(keep("matched", retries), success, settings))
+    else:
+        retries = empty(store.spark, mark_done(retries, success, settings).schema)
+    work = combine(fresh, retries, settings)
     flagged = attach_flags(work, flags, ["page_key", "content_hash"], settings)
     pick = lambda what: F.when(F.col("use_image"), F.col(f"image_{what}")).otherwise(F.col(f"page_{what}"))
     error = rejection(pick("length"), pick("blank"), settings)
-    # Both counts come from file footers; every retry belongs to a catalog row.
-    chunk = chunk_of(added_keys.count() + catalog.count(), settings)
-    plan = flagged.select(
-        "page_key",
-        *KEY,
-        "row_file",
-        "row_index",
-        "origin",
-        "done",
-        "attempt_count",
-        "use_image",
-        error.alias("error"),
-        F.when(F.col("done") | error.isNotNull(), F.lit(NO_PAGE)).otherwise(chunk).alias("chunk"),
-    )
-    store.write(plan, "plan", run_id, "chunk")
+    chunk = chunk_of(added_rows + due_rows, settings)
+    fetched = ~F.col("done") & error.isNull()
+    plan = flagged.withColumn("error", error).withColumn("chunk", F.when(fetched, chunk).otherwise(F.lit(NO_PAGE)))
+    store.write(conform_schema(plan, schemas.PLAN), "plan", run_id, "chunk")
 
 
 def _results(wide: DataFrame, converter: Converter, as_of: Column, settings: Settings) -> DataFrame:

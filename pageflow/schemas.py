@@ -67,6 +67,13 @@ FLAGS = schema("doc_id string, use_image boolean")
 
 RESPONSES = schema("page_key string, status_code int, body string")
 
+# What a run does with a page; ``chunk`` is a partition of the table.
+PLAN = T.StructType(
+    schema("page_key string, record_id string, content_hash string").fields
+    + ROW_REF.fields
+    + schema("origin string, done boolean, attempt_count int, use_image boolean, error string, chunk int").fields
+)
+
 # One row per page converted in a run: the success row plus what the catalog and metrics need.
 CONVERTED = T.StructType(
     SUCCESS.fields

@@ -54,16 +54,10 @@ class PageStore:
 
     def head(self) -> Head:
         """One row per run is read to the driver."""
-        rows = (
-            read_or_empty(self.spark, schemas.MANIFEST, self.path("manifest"))
-            .groupBy("run_id")
-            .agg(F.max(F.struct("seq", "last_ingest_id", "catalog_version")).alias("m"))
-            .select("run_id", "m.*")
-            .orderBy("seq")
-            .collect()
-        )
+        rows = read_or_empty(self.spark, schemas.MANIFEST, self.path("manifest")).collect()
         if not rows:
             return Head()
+        rows.sort(key=lambda r: r.seq)
         top = rows[-1]
         return Head(tuple(r.run_id for r in rows), top.seq, top.last_ingest_id, top.catalog_version)
 
@@ -96,9 +90,11 @@ class PageStore:
     def write(self, df: DataFrame, table: str, run_id: str, *partition_by: str) -> None:
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(table, run_id))
 
-    def read(self, table: str, run_id: str, schema: T.StructType | None = None) -> DataFrame:
-        reader = self._reader(schema) if schema is not None else self.spark.read
-        return reader.parquet(self.path(table, run_id))
+    def read(self, table: str, run_id: str, schema: T.StructType) -> DataFrame:
+        return self._reader(schema).parquet(self.path(table, run_id))
+
+    def plan(self, run_id: str) -> DataFrame:
+        return self.spark.read.schema(schemas.PLAN).parquet(self.path("plan", run_id))
 
     def _reader(self, schema: T.StructType) -> DataFrameReader:
         """Chunk folders are not partitions."""
