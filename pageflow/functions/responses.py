@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageflow.functions.scores import variant_score
+from pageflow.functions.scores import variant_scores
 from pageflow.settings import DEFAULTS, Settings
 
 SCORES = ("layout_score", "parse_score", "ocr_score", "table_score")
 
 def _kind(value: Column, *kinds: str) -> Column:
     """Whether a JSON value is of one of the kinds; null where there is no value."""
-    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0).isin(*kinds)
+    return F.schema_of_variant(value).rlike(f"^({'|'.join(kinds)})")
 
 
 def _without_field(value: Column, field: Column, name: str, absent: Column, unusable: Column) -> Column:
@@ -86,13 +86,15 @@ def parse_responses(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     )
     checked = staged.withColumn("error", F.coalesce(call_error, http_error, outer_error, inner_error))
     ok = F.col("error").isNull()
+    scores = variant_scores(F.array(*[F.try_variant_get(confidence, f"$.{s}", "variant") for s in SCORES]))
+    scored = checked.withColumn("_scores", F.when(ok & confidence.isNotNull(), scores))
     parsed = F.struct(
         F.when(ok, F.when(inner.isNull(), text).otherwise(F.col("_bare"))).alias("content"),
-        *[F.when(ok, variant_score(F.try_variant_get(confidence, f"$.{s}", "variant"))).alias(s) for s in SCORES],
+        *[F.get("_scores", F.lit(i)).alias(s) for i, s in enumerate(SCORES)],
         "error",
     )
     # A generator of one row, so that a later filter on the outcome is not pushed below the parsing, which
     # would parse every answer twice.
-    return checked.select(
+    return scored.select(
         *[c for c in df.columns if c not in ("body", "call_error", "error")], F.inline(F.array(parsed))
     )

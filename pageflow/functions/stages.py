@@ -15,13 +15,13 @@ def _last_of_each_key(entries: Column) -> Column:
     )
 
 
-def merge_stage(stage_times: Column, stage: str, at: Column) -> Column:
+def merge_stage(stage_times: Column, stage: Column, at: Column) -> Column:
     """Set ``stage`` to ``at`` and keep the other entries; text that is no JSON object is replaced.
 
     Entry values stay variants, so numbers, lists and nested objects come through as they were.
     """
     stamp = at.cast("variant")
-    fresh = F.create_map(F.lit(stage), stamp)
+    fresh = F.create_map(stage, stamp)
     known = _last_of_each_key(F.from_json(stage_times, "map<string,variant>"))
     merged = F.when(
         F.map_contains_key(known, stage),

@@ -49,8 +49,11 @@ def catalog_state(as_of: Column, settings: Settings = DEFAULTS) -> Column:
 
 
 def new_errors(failures: DataFrame, as_of: Column) -> DataFrame:
-    """Catalog rows for failed pages: ``record_id, content_hash, attempt_count, error, error_category``."""
-    rows = failures.select(
+    """Catalog rows for failed pages (``record_id, content_hash, attempt_count, error, error_category``).
+
+    Several pages may share a content, so these are not folded yet.
+    """
+    return failures.select(
         *KEY,
         (F.col("attempt_count") + 1).cast("int").alias("attempt_count"),
         F.col("error").alias("last_error"),
@@ -58,7 +61,6 @@ def new_errors(failures: DataFrame, as_of: Column) -> DataFrame:
         as_of.alias("last_attempt_at"),
         F.to_date(as_of).alias("error_date"),
     )
-    return one_per_content(rows)
 
 
 def merge_catalog(
@@ -78,7 +80,7 @@ def merge_catalog(
     newest = replaced.groupBy("record_id").agg(
         F.min("content_hash").alias("_first"), F.max("content_hash").alias("_last")
     )
-    kept = one_per_content(catalog).join(settled.select(*KEY).distinct(), KEY, "left_anti")
+    kept = catalog.join(settled.select(*KEY).distinct(), KEY, "left_anti")
     kept = lookup(kept, newest, ["record_id"], ["content_hash"], buckets=settings.lookup_buckets)
     outdated = (F.col("_first") != F.col("content_hash")) | (F.col("_last") != F.col("content_hash"))
     kept = kept.where(~F.coalesce(outdated, F.lit(False))).select(*[f.name for f in schemas.CATALOG])

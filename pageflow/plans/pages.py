@@ -47,16 +47,10 @@ def convert_pages(pages: DataFrame, converter: Converter, settings: Settings = D
 def finish_pages(parsed: DataFrame, as_of: Column, settings: Settings = DEFAULTS) -> DataFrame:
     """Analysis, status and stage time, by the outcome in ``error``."""
     failed = F.col("error").isNotNull()
-    analysed = parsed.withColumn("_analysis", analyse(F.col("content"), failed, settings))
-    stage_times = F.col("stage_times")
     return (
-        analysed.withColumn("status", F.when(failed, FAILED).otherwise(COMPLETED))
-        .withColumn(
-            "stage_times",
-            F.when(failed, merge_stage(stage_times, FAILED, stamp_text(as_of))).otherwise(
-                merge_stage(stage_times, COMPLETED, stamp_text(as_of))
-            ),
-        )
+        parsed.withColumn("_analysis", analyse(F.col("content"), failed, settings))
+        .withColumn("status", F.when(failed, FAILED).otherwise(COMPLETED))
+        .withColumn("stage_times", merge_stage(F.col("stage_times"), F.col("status"), stamp_text(as_of)))
         .withColumnRenamed("content", "markdown")
         .select("*", "_analysis.*")
         .drop("_analysis")

@@ -145,7 +145,7 @@ def classify_error_query(spark, sf_dir):
 @query
 def stage_times(spark, sf_dir):
     pages = td.page_batch(spark, sf_dir, totals=False)
-    merged = merge_stage(F.col("stage_times"), COMPLETED, stamp_text(td.as_of()))
+    merged = merge_stage(F.col("stage_times"), F.lit(COMPLETED), stamp_text(td.as_of()))
     entries = F.explode(F.from_json(merged, "map<string,string>")).alias("stage", "at")
     return pages.select("page_key", entries)
 

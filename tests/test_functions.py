@@ -150,7 +150,7 @@ STAGES = [
 
 
 def test_stage_times(spark):
-    merged = apply(spark, [t for t, _ in STAGES], lambda c: merge_stage(c, "done", F.lit("T")))
+    merged = apply(spark, [t for t, _ in STAGES], lambda c: merge_stage(c, F.lit("done"), F.lit("T")))
     assert [list(json.loads(m).items()) for m in merged] == [list(e.items()) for _, e in STAGES]
 
 

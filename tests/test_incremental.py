@@ -206,3 +206,17 @@ def test_failed_batch(spark, tmp_path):
     assert {(r.markdown, r.status, r.stage_times, r.has_table, r.word_count, r.ocr_score) for r in out.collect()} == {
         ("ERROR: authentication failed", "authentication failed", '{"markdown conversion failed":"2024-01-01T10:00:00"}', False, 0, None)
     }
+
+
+def test_existing_tables_keep_their_column_names(spark, tmp_path):
+    from pageflow.sources.naming import from_legacy, to_legacy
+
+    pages = write_pages(spark, f"{tmp_path}/pages", page("a"))
+    theirs = to_legacy(pages)
+    assert theirs.columns[:10] == [
+        "primaryKey", "originalMediaItemRid", "originalPath", "originalMediaReference", "pageNumber",
+        "totalPages", "pageBase64", "pageImageBase64", "status", "timestamp",
+    ]
+    assert from_legacy(theirs).columns == pages.columns
+    out = to_legacy(in_band(one_shot(from_legacy(theirs), flags(spark), service(spark)[0], at("2024-01-01 10:00:00"))))
+    assert out.first().converted_markdown == "Page 1: ok" and len(out.columns) == 18

@@ -121,3 +121,19 @@ def test_fixture_scalars_stay_in_the_jvm(spark):
     sf = "/root/testdata/sf0.001"
     for df in (td.messages(spark, sf), td.markdown_docs(spark, sf)):
         assert "Python" not in physical(df)
+
+
+def test_generated_code_is_small_enough_to_be_compiled(spark, pages):
+    """The JVM interprets methods above 8000 bytes of code for good, however hot they are."""
+    part = pages.select("row_file", "row_index").withColumns({"attempt_count": F.lit(0), "use_image": F.lit(False)})
+    results = incremental._results(fetch(pages, part, 40), service(spark)[0], at("2024-01-01 10:00:00"), DEFAULTS)
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stages = debug.codegenStringSeq(results._jdf.queryExecution().executedPlan()).iterator()
+        sizes = []
+        while stages.hasNext():
+            sizes.append(stages.next()._3().maxMethodCodeSize())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sizes and 0 < max(sizes) < 8000
