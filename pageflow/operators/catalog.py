@@ -77,10 +77,12 @@ def merge_catalog(
     back only as a new failure. ``replaced``: ``record_id, content_hash`` of newly arrived pages; other
     contents of the same record leave too. Everything else, waiting rows included, is carried over.
     """
-    newest = replaced.groupBy("record_id").agg(
+    # What a run tried may be far more than the catalog holds: it is narrowed to the catalog's keys first.
+    of_catalog = lambda rows, keys: rows.select(*KEY).join(catalog.select(*keys).distinct(), keys, "left_semi")
+    newest = of_catalog(replaced, ["record_id"]).groupBy("record_id").agg(
         F.min("content_hash").alias("_first"), F.max("content_hash").alias("_last")
     )
-    kept = catalog.join(settled.select(*KEY).distinct(), KEY, "left_anti")
+    kept = catalog.join(of_catalog(settled, KEY).distinct(), KEY, "left_anti")
     kept = lookup(kept, newest, ["record_id"], ["content_hash"], buckets=settings.lookup_buckets)
     outdated = (F.col("_first") != F.col("content_hash")) | (F.col("_last") != F.col("content_hash"))
     kept = kept.where(~F.coalesce(outdated, F.lit(False))).select(*[f.name for f in schemas.CATALOG])
