@@ -41,14 +41,16 @@ def parse_responses(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     call_error = F.col("call_error") if "call_error" in df.columns else F.lit(None).cast("string")
     body, value, text, inner = (F.col(c) for c in ("body", "_value", "_text", "_inner"))
     content, confidence = F.col("_content"), F.col("_confidence")
-    staged = (
-        df.withColumn("_doc", F.try_parse_json("body"))
-        .withColumn("_value", F.try_variant_get("_doc", "$.value", "variant"))
-        .withColumn("_text", F.when(_kind(value, "STRING"), F.try_variant_get("_value", "$", "string")))
-        .withColumn("_inner", F.try_parse_json("_text"))
-        .withColumn("_content", F.try_variant_get("_inner", "$.content", "variant"))
-        .withColumn("_confidence", F.try_variant_get("_inner", "$.confidence", "variant"))
-        .withColumn("_bare", F.try_variant_get("_content", "$", "string"))
+    # Each name is an input of the next ones.
+    staged = df.select(
+        "*",
+        F.try_parse_json("body").alias("_doc"),
+        F.try_variant_get("_doc", "$.value", "variant").alias("_value"),
+        F.when(_kind(value, "STRING"), F.try_variant_get("_value", "$", "string")).alias("_text"),
+        F.try_parse_json("_text").alias("_inner"),
+        F.try_variant_get("_inner", "$.content", "variant").alias("_content"),
+        F.try_variant_get("_inner", "$.confidence", "variant").alias("_confidence"),
+        F.try_variant_get("_content", "$", "string").alias("_bare"),
     )
     unexpected = lambda what: F.lit(f"ERROR: Unexpected error - {what}")
     excerpt = F.substring(F.coalesce(body, F.lit("")), 1, settings.body_excerpt)

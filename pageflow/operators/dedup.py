@@ -8,16 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def keep_one_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+def keep_one_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the smallest by ``order`` (then by the remaining columns); null is one key.
 
     A minimum over structs rather than a window: copies of a key are folded into one row before the
     shuffle, so a key with a third of all rows costs no more than any other.
     """
-    ranked = [*order, *[c for c in df.columns if c != key and c not in order]]
+    keys = [key] if isinstance(key, str) else list(key)
+    ranked = [*order, *[c for c in df.columns if c not in keys and c not in order]]
     best = F.min(F.struct(*ranked)).alias("_best")
-    return df.groupBy(key).agg(best).select(
-        *[F.col(c) if c == key else F.col(f"_best.{c}").alias(c) for c in df.columns]
+    return df.groupBy(*keys).agg(best).select(
+        *[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns]
     )
 
 

@@ -31,7 +31,6 @@ def lookup(
     return (
         rows.withColumn(_SALT, salt)
         .join(entries.withColumn(_SALT, salts), [*keys, _SALT], how)
-        .drop(_SALT)
         .select(*rows.columns, *([] if how in ("left_anti", "left_semi") else
                                  [c for c in entries.columns if c not in keys]))
     )

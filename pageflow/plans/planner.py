@@ -66,19 +66,20 @@ def match_due(previous: DataFrame, due: DataFrame, settings: Settings = DEFAULTS
     Copies of one page with one content are one retry; folding them also unloads hot keys.
     """
     matched = lookup(previous, due, C.KEY, ["page_key", "row_file", "row_index"], "inner", settings.lookup_buckets)
-    identity = ["page_key", *C.KEY]
-    rest = ["row_file", "row_index"]
-    rest += [c for c in matched.columns if c not in identity and c not in rest]
-    folded = matched.groupBy(*identity).agg(F.min(F.struct(*rest)).alias("_first"))
-    return folded.select(*[c if c in identity else f"_first.{c}" for c in matched.columns])
+    return keep_one_per_key(matched, ["page_key", *C.KEY], ["row_file", "row_index"])
 
 
 def mark_done(matched: DataFrame, success: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Add ``done`` where the page has succeeded since; the others become unique on ``page_key``."""
     done = succeeded(success, matched).withColumn("done", F.lit(True))
     flagged = lookup(matched, done, ["page_key"], C.KEY, buckets=settings.lookup_buckets)
-    flagged = flagged.withColumn("done", F.coalesce("done", F.lit(False)))
-    return keep_one_per_key(flagged.where(~F.col("done")), "page_key", ORDER).unionByName(flagged.where("done"))
+    return _one_per_page(flagged.withColumn("done", F.coalesce("done", F.lit(False))), ORDER)
+
+
+def _one_per_page(rows: DataFrame, order: list[str]) -> DataFrame:
+    """One row per page key among rows to process; rows with ``done`` true stay, one per content."""
+    content = F.when(F.col("done"), F.concat_ws(" ", *C.KEY))
+    return keep_one_per_key(rows.withColumn("_content", content), ["page_key", "_content"], order).drop("_content")
 
 
 def retry_candidates(
@@ -104,9 +105,8 @@ def combine(fresh: DataFrame, retries: DataFrame, settings: Settings = DEFAULTS)
     )
     tried = current.where(~F.col("done")).select(*C.KEY).distinct()
     new = lookup(fresh, tried, C.KEY, ["page_key"], "left_anti", settings.lookup_buckets)
-    new = new.withColumn("done", F.lit(False)).withColumn("origin", F.lit(ADDED))
-    work = new.unionByName(current.where(~F.col("done")))
-    return keep_one_per_key(work, "page_key", ["origin", *ORDER]).unionByName(current.where("done"))
+    new = new.withColumns({"done": F.lit(False), "origin": F.lit(ADDED)})
+    return _one_per_page(new.unionByName(current), ["origin", *ORDER])
 
 
 def plan_work(

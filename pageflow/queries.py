@@ -54,6 +54,17 @@ def _keys(pages: DataFrame) -> DataFrame:
     return payloads.page_keys(pages)
 
 
+def _keep(spark: SparkSession) -> planner.Keep:
+    """Steps of planning as tables in a work folder, as a run has them."""
+    folder = work_folder(spark)
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    return keep
+
+
 # -- page level ---------------------------------------------------------------------------------
 
 
@@ -201,8 +212,8 @@ def due_retries(spark, sf_dir):
 def retry_candidates(spark, sf_dir):
     previous = previous_pages(td.page_batch(spark, sf_dir, totals=False), 1)
     due = planner.due_retries(td.catalog_from_pages(spark, sf_dir), td.as_of())
-    done = td.success_previous(spark, sf_dir)
-    return planner.retry_candidates(_keys(previous), due, done).select(
+    matched = _keep(spark)("matched", planner.match_due(_keys(previous), due))
+    return planner.mark_done(matched, td.success_previous(spark, sf_dir)).select(
         "page_key", "record_id", "content_hash", "attempt_count", "done"
     )
 
@@ -210,19 +221,13 @@ def retry_candidates(spark, sf_dir):
 @query
 def work_plan(spark, sf_dir):
     pages = td.page_batch_with_changes(spark, sf_dir)
-    folder = work_folder(spark)
-
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
-
     plan = planner.plan_work(
         _keys(added_pages(pages, 1)),
         _keys(previous_pages(pages, 1)),
         td.success_previous(spark, sf_dir),
         td.catalog_from_pages(spark, sf_dir),
         td.as_of(),
-        keep=keep,
+        keep=_keep(spark),
     )
     return plan.select("page_key", "record_id", "content_hash", "origin", "attempt_count", "done")
 

@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 # What a run wants from its session. Wide rows make the difference: a row may hold two payloads of
-# many megabytes, so scans get small splits and Python small batches.
+# many megabytes, so scans get small splits and Python small batches. Recording the call site of every
+# column expression would cost a small run (a micro-batch) more time than its planning.
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,6 +18,7 @@ RECOMMENDED = {
     "spark.sql.parquet.columnarReaderBatchSize": "256",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.sql.execution.arrow.maxBytesPerBatch": "32m",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
