@@ -30,7 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def base64_of(expr: str) -> str:
     """Base64 on one line; the built-in wraps lines."""
-    return f"regexp_replace(base64(cast({expr} as binary)), '[^A-Za-z0-9+/=]', '')"
+    return f"replace(base64(cast({expr} as binary)), '\\r\\n', '')"
 
 
 PAGE_KEY = "concat(conv_id, '-', turn)"
