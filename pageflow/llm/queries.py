@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageflow.llm import exact_dedup
+from pageflow.llm import exact_dedup, token_counts
 from pageflow.session import work_folder
 
+TOKENIZER = "byte_bpe_50k.json"
+TOKEN_LIMIT = 1024
+
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -20,6 +24,14 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(_documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
+    return counted.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")
+    )
+
+
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op8_token_counts": op8_token_counts,
 }
