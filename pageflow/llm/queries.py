@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageflow.llm import exact_dedup, token_counts
+from pageflow.llm import exact_dedup, secret_scan, token_counts
 from pageflow.session import work_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -17,6 +17,24 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(_documents(spark, sf_dir))
+    base = [rule.kind for rule in secret_scan.BASE]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *map(count, base),
+        F.sha2(joined(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = exact_dedup.mark_copies(_documents(spark, sf_dir), work_folder(spark))
     return marked.select(
@@ -32,6 +50,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_secret_scan": op2_secret_scan,
     "op4_exact_dedup": op4_exact_dedup,
     "op8_token_counts": op8_token_counts,
 }
