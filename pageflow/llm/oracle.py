@@ -51,8 +51,32 @@ FROM t
 GROUP BY conv_id
 """
 
+OP10 = """
+WITH d AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+), l AS (
+  SELECT doc_id, i - 1 AS pos, lines[i] AS line, len(lines) AS n
+  FROM d, unnest(range(1, len(lines) + 1)) r(i)
+), w AS (
+  SELECT doc_id, pos,
+         row_number() OVER (PARTITION BY lines[pos + 1], lines[pos + 2], lines[pos + 3] ORDER BY doc_id NULLS LAST, pos) AS nth
+  FROM (SELECT doc_id, lines, i AS pos FROM d, unnest(range(0, len(lines) - 2)) r(i))
+), gone AS (
+  SELECT DISTINCT doc_id, pos + o AS pos FROM w, unnest([0, 1, 2]) u(o) WHERE nth > 1
+), kept AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(g.pos) AS n_removed,
+         coalesce(string_agg(CASE WHEN g.pos IS NULL THEN l.line END, chr(10) ORDER BY l.pos), '') AS text
+  FROM l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos
+  GROUP BY l.doc_id
+)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       length(coalesce(k.text, '')) AS n_chars_left, sha256(coalesce(k.text, '')) AS text_sha256
+FROM documents LEFT JOIN kept k USING (doc_id)
+"""
+
 SQL = {
     "op1_top_k": OP1,
     "op4_exact_dedup": OP4,
     "op6_chat_format": OP6,
+    "op10_line_dedup": OP10,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageflow.llm import chat, exact_dedup, secret_scan, token_counts, topk
+from pageflow.llm import chat, exact_dedup, line_dedup, secret_scan, token_counts, topk
 from pageflow.session import work_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -68,10 +68,22 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.withColumnRenamed("conv", "conv_id")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.dedup_lines(_documents(spark, sf_dir), work_folder(spark))
+    return done.select(
+        F.col("doc.doc_id").alias("doc_id"),
+        "n_lines",
+        "n_removed",
+        F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars_left"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"),
+    )
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_secret_scan": op2_secret_scan,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_chat_format": op6_chat_format,
     "op8_token_counts": op8_token_counts,
+    "op10_line_dedup": op10_line_dedup,
 }
