@@ -52,7 +52,7 @@ def frequent_pieces(docs: DataFrame, text_col: str = "text") -> list[str]:
     )
     sketches = words.groupBy("part").agg(F.expr(f"approx_top_k_accumulate(word, {TRACKED})").alias("sketch"))
     # Grouped by a constant: a task without rows then makes no empty sketch, which could not be combined.
-    merged = sketches.groupBy(F.lit(0)).agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch"))
+    merged = sketches.withColumn("all", F.lit(True)).groupBy("all").agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch"))
     top = merged.select(F.expr(f"approx_top_k_estimate(sketch, {FREQUENT})").alias("top")).first()
     return [row["item"] for row in top["top"]] if top and top["top"] else []
 
