@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageflow.llm import chat, exact_dedup, line_dedup, secret_scan, token_counts, topk
+from pageflow.llm import chat, exact_dedup, line_dedup, secret_scan, token_counts, topk, toxicity
 from pageflow.session import work_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -79,11 +79,23 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model).select(
+        "doc.doc_id",
+        toxicity.held_out("doc.doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_secret_scan": op2_secret_scan,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_chat_format": op6_chat_format,
     "op8_token_counts": op8_token_counts,
+    "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
