@@ -64,11 +64,14 @@ def windows(text: str) -> list[bytes]:
 
 
 def _trained(samples: list[bytes], size: int, segment: int) -> bytes:
-    """A dictionary of the samples' frequent segments; of few samples the samples themselves."""
+    """A dictionary of the samples' frequent segments; samples that fit as they are make one unchanged."""
+    whole = b"".join(sorted(set(samples)))
+    if len(whole) <= size:
+        return whole
     try:
         return zstandard.train_dictionary(size, samples, k=segment, d=6).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(sorted(set(samples)))[-size:]
+        return whole[-size:]
 
 
 def _spaced(text: str) -> bytes:
