@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageflow.llm import chat, exact_dedup, line_dedup, secret_scan, token_counts, topk, toxicity
+from pageflow.llm import chat, exact_dedup, line_dedup, mixing, packing, secret_scan, simhash, token_counts, topk, toxicity
 from pageflow.session import work_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -41,6 +41,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.taken_words(mixing.mix(_documents(spark, sf_dir), work_folder(spark)))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = exact_dedup.mark_copies(_documents(spark, sf_dir), work_folder(spark))
     return marked.select(
@@ -90,11 +95,27 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_documents(spark, sf_dir), work_folder(spark)).withColumnRenamed("id", "doc_id")
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_documents(spark, sf_dir), work_folder(spark))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_secret_scan": op2_secret_scan,
+    "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_chat_format": op6_chat_format,
+    "op7_simhash": op7_simhash,
     "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
