@@ -142,7 +142,7 @@ def format_conversations(
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         template, kind = Template(tokenizer_path), None
-        open_conv, piece, held = None, 0, []
+        open_conv, piece, held = object(), 0, []  # no conversation yet
 
         def close():
             ids, mask = (np.concatenate(p) for p in zip(*held))
@@ -153,10 +153,10 @@ def format_conversations(
             kind = batch["conv"].type
             roles, texts = batch["role"].to_pylist(), batch["text"].to_pylist()
             for conv, first, last in _runs(batch["conv"].to_pylist()):
-                if held and conv != open_conv:
-                    yield close()
-                    piece, held = 0, []
-                open_conv = conv
+                if conv != open_conv:
+                    if held:
+                        yield close()
+                    open_conv, piece, held = conv, 0, []
                 ids, mask, ends = template.turns(roles[first:last], texts[first:last])
                 begin = 0
                 for end in ends:
