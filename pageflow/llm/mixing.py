@@ -34,7 +34,7 @@ CAP = 2
 BLOCK = 256
 SHARD_SLOTS = 4096
 ROUNDS = 24
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 CHUNK = 1 << 16  # slots of a source are generated in chunks
 
 
@@ -176,7 +176,9 @@ def mix(docs: DataFrame, work: str, id_col: str = "doc_id", text_col: str = "tex
     )
     sums = slim.groupBy(F.col("src").alias("source")).agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows"))
     sources = staged(source_targets(sums), f"{work}/sources")
-    pieces, slots = _pieces(_streams(slim, sources)), _slots(_budgets(sources))
+    pieces = _pieces(_streams(slim, sources))
+    # A table of its own: what generators make of a few sources must not pass for a small side of the join.
+    slots = staged(_slots(_budgets(sources)), f"{work}/slots")
     last = F.least(F.col("at") + F.col("words"), F.col("take")) - F.col("at") + F.col("first")
     uses = slots.join(pieces, ["number", "block"]).select("row", "shard", "place", "turn", "first", last.alias("last"))
     rows = slim.join(sources.select("source", "source_size", "target"), F.expr("source <=> src"))
