@@ -89,7 +89,9 @@ def mark_copies(docs: DataFrame, work: str, id_col: str = "doc_id", text_col: st
     alone = flagged.where("not suspect").select(
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest"
     )
-    grouped = suspects.join(_survivors(suspects), "digest").select(
+    # A table of its own, so that the join reads both sides anew and a digest of many rows can be split.
+    survivors = staged(_survivors(suspects), f"{work}/survivors")
+    grouped = suspects.join(survivors, "digest").select(
         "id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "digest"
     )
     return alone.unionByName(grouped)
