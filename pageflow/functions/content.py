@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pageflow.functions.text import is_error_text, words
-from pageflow.settings import DEFAULTS, Settings
 
 
 def has_table(text: Column) -> Column:
@@ -17,19 +16,12 @@ def has_image(text: Column) -> Column:
     return text.contains("[Image]") | text.contains("![")
 
 
-def word_count(text: Column, settings: Settings = DEFAULTS) -> Column:
-    """Words in the whole text; above ``long_text`` characters the pipeline's estimate.
-
-    The estimate scales the word density of the first ``sample_text`` characters to the whole length
-    and is part of the result's definition.
-    """
-    length = F.length(text)
-    sample = F.substring(text, 1, settings.sample_text)
-    estimate = words(sample) / F.length(sample) * length
-    return F.when(length > settings.long_text, estimate.cast("int")).otherwise(words(text))
+def word_count(text: Column) -> Column:
+    """Words in the whole text, however long it is."""
+    return words(text)
 
 
-def analyse(text: Column, failed: Column | None = None, settings: Settings = DEFAULTS) -> Column:
+def analyse(text: Column, failed: Column | None = None) -> Column:
     """Struct of ``has_table``, ``has_image`` and ``word_count``; false and 0 for empty or failed text.
 
     ``failed`` is the outcome of the conversion where it is known. Without it a text that starts with
@@ -40,5 +32,5 @@ def analyse(text: Column, failed: Column | None = None, settings: Settings = DEF
     return F.struct(
         F.when(skip, F.lit(False)).otherwise(has_table(text)).alias("has_table"),
         F.when(skip, F.lit(False)).otherwise(has_image(text)).alias("has_image"),
-        F.when(skip, F.lit(0)).otherwise(word_count(text, settings)).alias("word_count"),
+        F.when(skip, F.lit(0)).otherwise(word_count(text)).alias("word_count"),
     )

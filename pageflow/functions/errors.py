@@ -30,25 +30,30 @@ STATUS_CATEGORIES = (
 UNKNOWN = "UNKNOWN"
 
 
+# Categories whose phrases count before a status code: the first two are final, a timeout may come as a 504.
+BEFORE_STATUS = 3
+
+
+def _by_phrases(message: Column, rules: tuple, chain: Column) -> Column:
+    lowered = F.lower(message)
+    for category, phrases in rules:
+        chain = chain.when(reduce(lambda a, b: a | b, [lowered.contains(p) for p in phrases]), F.lit(category))
+    return chain
+
+
 def classify_error(message: Column, status_code: Column | None = None) -> Column:
     """Category of an error text.
 
-    With ``status_code`` an HTTP failure is classified by its code, since the text may quote digits
-    from the answer's body; everything else is classified by the text.
+    With ``status_code`` an HTTP failure is classified by its code, since the text may quote digits from the
+    answer's body; only the permanent phrases and timeouts go before the code. Everything else is classified
+    by the text.
     """
-    lowered = F.lower(message)
-    by_text = reduce(
-        lambda chain, rule: chain.when(
-            reduce(lambda a, b: a | b, [lowered.contains(p) for p in rule[1]]), F.lit(rule[0])
-        ),
-        CATEGORY_PHRASES,
-        F.when(F.coalesce(F.length(message) == 0, F.lit(True)), F.lit(UNKNOWN)),
-    ).otherwise(F.lit(UNKNOWN))
+    blank = F.when(F.coalesce(F.length(message) == 0, F.lit(True)), F.lit(UNKNOWN))
+    by_text = _by_phrases(message, CATEGORY_PHRASES, blank).otherwise(F.lit(UNKNOWN))
     if status_code is None:
         return by_text
-    by_status = reduce(
-        lambda chain, rule: chain.when(status_code.isin(*rule[1]), F.lit(rule[0])),
-        STATUS_CATEGORIES,
-        F.when(status_code.isNull() | (status_code < 400), by_text),
-    )
-    return by_status.otherwise(F.lit(UNKNOWN))
+    chain = F.when(status_code.isNull() | (status_code < 400), by_text)
+    chain = _by_phrases(message, CATEGORY_PHRASES[:BEFORE_STATUS], chain)
+    for category, codes in STATUS_CATEGORIES:
+        chain = chain.when(status_code.isin(*codes), F.lit(category))
+    return chain.otherwise(F.lit(UNKNOWN))

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageflow.functions.scores import variant_scores
-from pageflow.settings import DEFAULTS, Settings
 
 SCORES = ("layout_score", "parse_score", "ocr_score", "table_score")
 
@@ -32,11 +31,11 @@ def _without_field(value: Column, field: Column, name: str, absent: Column, unus
     )
 
 
-def parse_responses(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def parse_responses(df: DataFrame) -> DataFrame:
     """Turn ``status_code``, ``body``, ``call_error`` and ``mode`` into content, scores and ``error``.
 
     ``error`` is null exactly where the conversion succeeded; ``content`` is null where it failed.
-    A missing ``call_error`` column means that every call was answered.
+    A missing ``call_error`` column means that every call was answered. An HTTP failure quotes the whole body.
     """
     call_error = F.col("call_error") if "call_error" in df.columns else F.lit(None).cast("string")
     body, value, text, inner = (F.col(c) for c in ("body", "_value", "_text", "_inner"))
@@ -53,11 +52,10 @@ def parse_responses(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
         F.try_variant_get("_content", "$", "string").alias("_bare"),
     )
     unexpected = lambda what: F.lit(f"ERROR: Unexpected error - {what}")
-    excerpt = F.substring(F.coalesce(body, F.lit("")), 1, settings.body_excerpt)
     status = F.col("status_code").cast("string")
     http_error = F.when(
         F.col("status_code") >= 400,
-        F.concat(F.lit("ERROR: "), F.col("mode"), F.lit(" API failed "), status, F.lit(": "), excerpt),
+        F.concat(F.lit("ERROR: "), F.col("mode"), F.lit(" API failed "), status, F.lit(": "), F.coalesce(body, F.lit(""))),
     )
     outer_error = F.when(F.col("_doc").isNull(), F.lit("ERROR: Network error - response is not JSON")).otherwise(
         _without_field(

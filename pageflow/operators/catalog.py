@@ -18,7 +18,7 @@ PERMANENT, DUE, WAITING = "permanent", "due", "waiting"
 
 def one_per_content(catalog: DataFrame) -> DataFrame:
     """Fold catalog rows to one per key, the one with most attempts (latest, on a tie)."""
-    ranked = ["attempt_count", "last_attempt_at", "error_category", "last_error", "error_date"]
+    ranked = ["attempt_count", "last_attempt_at", "error_category", "last_error", "error_date", "page_key"]
     folded = catalog.groupBy(*KEY).agg(F.max(F.struct(*ranked)).alias("_top"))
     return conform_schema(folded.select(*KEY, "_top.*"), schemas.CATALOG)
 
@@ -49,7 +49,7 @@ def catalog_state(as_of: Column, settings: Settings = DEFAULTS) -> Column:
 
 
 def new_errors(failures: DataFrame, as_of: Column) -> DataFrame:
-    """Catalog rows for failed pages (``record_id, content_hash, attempt_count, error, error_category``).
+    """Catalog rows for failed pages (``page_key, record_id, content_hash, attempt_count, error, error_category``).
 
     Several pages may share a content, so these are not folded yet.
     """
@@ -60,6 +60,7 @@ def new_errors(failures: DataFrame, as_of: Column) -> DataFrame:
         category_or_unknown().alias("error_category"),
         as_of.alias("last_attempt_at"),
         F.to_date(as_of).alias("error_date"),
+        "page_key",
     )
 
 
@@ -74,16 +75,17 @@ def merge_catalog(
     """The catalog after a run.
 
     ``settled``: keys tried in this run or known to have succeeded; they leave the catalog and come
-    back only as a new failure. ``replaced``: ``record_id, content_hash`` of newly arrived pages; other
-    contents of the same record leave too. Everything else, waiting rows included, is carried over.
+    back only as a new failure. ``replaced``: ``page_key, record_id, content_hash`` of newly arrived pages;
+    other contents of the same page leave too. Everything else is carried over: waiting rows, rows of other
+    pages that share the record id, and rows whose page key is unknown.
     """
     # What a run tried may be far more than the catalog holds: it is narrowed to the catalog's keys first.
-    of_catalog = lambda rows, keys: rows.select(*KEY).join(catalog.select(*keys).distinct(), keys, "left_semi")
-    newest = of_catalog(replaced, ["record_id"]).groupBy("record_id").agg(
-        F.min("content_hash").alias("_first"), F.max("content_hash").alias("_last")
-    )
-    kept = catalog.join(of_catalog(settled, KEY).distinct(), KEY, "left_anti")
-    kept = lookup(kept, newest, ["record_id"], ["content_hash"], buckets=settings.lookup_buckets)
-    outdated = (F.col("_first") != F.col("content_hash")) | (F.col("_last") != F.col("content_hash"))
+    of_catalog = lambda rows, keys: rows.join(catalog.select(*keys).distinct(), keys, "left_semi")
+    kept = catalog.join(of_catalog(settled.select(*KEY), KEY).distinct(), KEY, "left_anti")
+    arrived = of_catalog(replaced.select("page_key", *KEY), ["page_key"])
+    arrived = arrived.groupBy("page_key").agg(F.min(F.concat_ws(" ", *KEY)).alias("_first"), F.max(F.concat_ws(" ", *KEY)).alias("_last"))
+    kept = lookup(kept, arrived, ["page_key"], KEY, buckets=settings.lookup_buckets)
+    own = F.concat_ws(" ", *KEY)
+    outdated = (F.col("_first") != own) | (F.col("_last") != own)
     kept = kept.where(~F.coalesce(outdated, F.lit(False))).select(*[f.name for f in schemas.CATALOG])
     return one_per_content(kept.unionByName(new_errors(failures, as_of)))

@@ -23,23 +23,29 @@ def python_converter(open_service: Callable[[], PageCall], calls_at_once: int =
     ``open_service`` runs once per task and returns ``call(payload, page_number, mode) -> (status_code,
     body)``; a session or token it opens lives as long as the task. Only the three arguments travel to
     Python, in Arrow batches; the other columns stay in the JVM. A call that raises becomes that page's
-    ``call_error``, so one page never fails a task. ``calls_at_once`` overlaps calls that wait on a service.
+    ``call_error``, so one page never fails a task; a service that can't be opened fails all of a task's pages. ``calls_at_once`` overlaps calls that wait on a service.
     """
 
     def answers(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         from concurrent.futures import ThreadPoolExecutor
 
-        call = open_service()
+        closed = None
+        try:
+            call = open_service()
+        except Exception as e:
+            closed = f"ERROR: Service could not be opened - {type(e).__name__}: {e}"
 
         def one(page):
             payload, page_number, mode = page
             if payload is None:
                 return None, None, None
+            if closed:
+                return None, None, closed
             number = None if pd.isna(page_number) else int(page_number)
             try:
                 status_code, body = call(payload, number, mode)
                 return int(status_code), body, None
-            except (ConnectionError, TimeoutError) as e:
+            except OSError as e:  # the base of connection and time-out errors of HTTP clients as well
                 return None, None, f"ERROR: Network error - {e}"
             except Exception as e:
                 return None, None, f"ERROR: Unexpected error - {type(e).__name__}: {e}"

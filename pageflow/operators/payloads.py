@@ -52,12 +52,17 @@ def rejection(length: Column, blank: Column, settings: Settings = DEFAULTS) -> C
     return (
         F.when(~is_valid(length, settings), F.lit(INVALID_PAYLOAD))
         .when(blank, F.lit(BLANK_PAYLOAD))
-        .when(length > settings.max_length, F.lit(OVERSIZE_PAYLOAD))
+        .when(is_oversize(length, settings), F.lit(OVERSIZE_PAYLOAD))
     )
 
 
+def is_oversize(length: Column, settings: Settings = DEFAULTS) -> Column:
+    """Longer than the service's limit, if it has one."""
+    return F.lit(False) if settings.max_length is None else length > settings.max_length
+
+
 def guard(payload: Column, settings: Settings = DEFAULTS) -> Column:
     """The two checks of the service call itself: blank and oversize payloads."""
     return F.when(is_blank(payload), F.lit(BLANK_PAYLOAD)).when(
-        F.length(payload) > settings.max_length, F.lit(OVERSIZE_PAYLOAD)
+        is_oversize(F.length(payload), settings), F.lit(OVERSIZE_PAYLOAD)
     )

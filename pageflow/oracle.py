@@ -77,8 +77,7 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "rejected": (
         ("flagged",),
         f"""SELECT *, CASE WHEN coalesce(length(payload), 0) <= 200 THEN 'ERROR: Invalid or missing encoding'
-            WHEN NOT regexp_matches(payload, '[^{WS}]') THEN 'ERROR: Empty or null encoding provided'
-            WHEN length(payload) > 50000000 THEN 'ERROR: Encoding exceeds size limit' END AS rejection
+            WHEN NOT regexp_matches(payload, '[^{WS}]') THEN 'ERROR: Empty or null encoding provided' END AS rejection
         FROM flagged""",
     ),
     "fx3": (
@@ -101,7 +100,7 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
             (turn % 4)::INTEGER AS attempt_count, 'ERROR: earlier' AS last_error,
             CASE turn WHEN 6 THEN 'PERMANENT_SIZE_LIMIT' WHEN 4 THEN NULL ELSE 'SERVER_ERROR' END AS error_category,
             CASE WHEN turn = 2 THEN TIMESTAMP '2024-01-30 11:59:00' ELSE TIMESTAMP '2024-01-30 06:00:00' END
-                AS last_attempt_at
+                AS last_attempt_at, page_key
         FROM k1 WHERE conv_id % 4 = 1""",
     ),
     "states": (
@@ -129,7 +128,8 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
             WHEN 6 THEN 'not json'
             WHEN 7 THEN json_object('value', '{"content":"x","confidence":null}')::VARCHAR
             WHEN 8 THEN '{"value":null}'
-            WHEN 9 THEN 'slow down' WHEN 10 THEN 'unavailable'
+            WHEN 9 THEN CASE WHEN conv_id % 2 = 1 THEN 'Encoding exceeds size limit' ELSE 'slow down' END
+            WHEN 10 THEN CASE WHEN conv_id % 2 = 1 THEN 'gateway timed out' ELSE 'unavailable' END
             WHEN 11 THEN json_object('value', json_object('content', concat('ERROR: ', text))::VARCHAR)::VARCHAR
             END AS body
         FROM conversations""",
@@ -156,7 +156,7 @@ def parsed(mode: str) -> str:
         {', '.join(score(s) for s in ('layout_score', 'parse_score', 'ocr_score', 'table_score'))}
     FROM (SELECT *, CASE
         WHEN {mode} IS NULL THEN NULL
-        WHEN status_code >= 400 THEN concat('ERROR: ', {mode}, ' API failed ', status_code::VARCHAR, ': ', left(coalesce(body, ''), 500))
+        WHEN status_code >= 400 THEN concat('ERROR: ', {mode}, ' API failed ', status_code::VARCHAR, ': ', coalesce(body, ''))
         WHEN doc_type IS NULL THEN 'ERROR: Network error - response is not JSON'
         WHEN doc_type <> 'OBJECT' THEN 'ERROR: Unexpected error - response is not an object'
         WHEN value_type IS NULL THEN concat('ERROR: No ''value'' field in response: ', body)
@@ -186,6 +186,9 @@ def category(text: str) -> str:
 
 def category_by_status(text: str, status: str) -> str:
     return f"""CASE WHEN {status} IS NULL OR {status} < 400 THEN {category(text)}
+        WHEN lower({text}) LIKE '%invalid or missing encoding%' THEN 'PERMANENT_INVALID_ENCODING'
+        WHEN lower({text}) LIKE '%encoding exceeds size limit%' THEN 'PERMANENT_SIZE_LIMIT'
+        WHEN regexp_matches(lower({text}), 'timeout|timed out') THEN 'TIMEOUT'
         WHEN {status} = 429 THEN 'RATE_LIMIT' WHEN {status} IN (500, 502, 503, 504) THEN 'SERVER_ERROR'
         WHEN {status} IN (401, 403) THEN 'AUTH_ERROR' WHEN {status} = 400 THEN 'BAD_REQUEST' ELSE 'UNKNOWN' END"""
 
@@ -251,14 +254,15 @@ def plan(pages: str) -> dict[str, tuple[tuple[str, ...], str]]:
         "retries": (
             ("candidates", "fresh"),
             """SELECT * FROM candidates c WHERE done OR NOT EXISTS (SELECT 1 FROM fresh f
-                WHERE f.record_id = c.record_id AND f.content_hash <> c.content_hash)""",
+                WHERE f.page_key = c.page_key
+                    AND (f.record_id <> c.record_id OR f.content_hash <> c.content_hash))""",
         ),
         "work": (
             ("fresh", "retries"),
             """SELECT page_key, record_id, content_hash, 'retry' AS origin, attempt_count, done FROM retries
             UNION ALL
             SELECT page_key, record_id, content_hash, 'added', attempt_count, false FROM fresh f
-            WHERE NOT EXISTS (SELECT 1 FROM retries r WHERE NOT r.done
+            WHERE NOT EXISTS (SELECT 1 FROM retries r WHERE NOT r.done AND r.page_key = f.page_key
                 AND r.record_id = f.record_id AND r.content_hash = f.content_hash)""",
         ),
     }
@@ -331,7 +335,8 @@ BATCH["done_pages"] = (
 BATCH["new_errors"] = (
     ("done_pages",),
     f"""SELECT record_id, content_hash, (attempt_count + 1)::INTEGER AS attempt_count, error AS last_error,
-        {category_by_status('error', 'status_code')} AS error_category, {AS_OF} AS last_attempt_at
+        {category_by_status('error', 'status_code')} AS error_category, {AS_OF} AS last_attempt_at,
+        page_key
     FROM done_pages WHERE error IS NOT NULL""",
 )
 TIMES = """strftime(last_attempt_at, '%Y-%m-%d %H:%M:%S') AS last_attempt_at,
@@ -339,12 +344,14 @@ TIMES = """strftime(last_attempt_at, '%Y-%m-%d %H:%M:%S') AS last_attempt_at,
 
 
 def catalog_after(settled: str, replaced: str) -> str:
-    return f"""SELECT record_id, content_hash, attempt_count, last_error, error_category, {TIMES}
+    return f"""SELECT record_id, content_hash, attempt_count, last_error, error_category, {TIMES}, page_key
     FROM (
-        SELECT record_id, content_hash, attempt_count, last_error, error_category, last_attempt_at FROM fx4p c
+        SELECT record_id, content_hash, attempt_count, last_error, error_category, last_attempt_at, page_key FROM fx4p c
         WHERE NOT EXISTS (SELECT 1 FROM {settled} s WHERE s.record_id = c.record_id AND s.content_hash = c.content_hash)
-            AND NOT EXISTS (SELECT 1 FROM {replaced} r WHERE r.record_id = c.record_id AND r.content_hash <> c.content_hash)
-        UNION ALL SELECT record_id, content_hash, attempt_count, last_error, error_category, last_attempt_at FROM new_errors)"""
+            AND NOT EXISTS (SELECT 1 FROM {replaced} r WHERE r.page_key = c.page_key
+                AND (r.record_id <> c.record_id OR r.content_hash <> c.content_hash))
+        UNION ALL SELECT record_id, content_hash, attempt_count, last_error, error_category, last_attempt_at, page_key
+        FROM new_errors)"""
 
 
 TRIED = {
@@ -353,7 +360,7 @@ TRIED = {
         ("tried", "fx4p", "parsed5"),
         f"""SELECT t.record_id, t.content_hash, (coalesce(c.attempt_count, 0) + 1)::INTEGER AS attempt_count,
             p.error AS last_error, {category_by_status('p.error', 'p.status_code')} AS error_category,
-            {AS_OF} AS last_attempt_at
+            {AS_OF} AS last_attempt_at, t.page_key
         FROM tried t JOIN parsed5 p USING (page_key)
         LEFT JOIN fx4p c ON c.record_id = t.record_id AND c.content_hash = t.content_hash
         WHERE p.error IS NOT NULL""",
@@ -374,10 +381,6 @@ def is_permanent(c: str = "") -> str:
         OR {c}attempt_count >= 3)"""
 
 
-ESTIMATE = f"""CASE WHEN length(text) > 5000
-    THEN trunc({words('left(text, 1000)')}::DOUBLE / length(left(text, 1000))::DOUBLE * length(text)::DOUBLE)::INTEGER
-    ELSE {words('text')} END"""
-
 ONE_SHOT = with_ctes(
     f"""SELECT {SUCCESS_NAMES.replace(' markdown,', ' coalesce(error, markdown) AS markdown,')} FROM finished""",
     "finished",
@@ -401,8 +404,7 @@ SQL: dict[str, str] = {
     "payload_validity": with_ctes(
         """SELECT page_key, coalesce(length(page_payload) > 200, false) AS page_valid,
         coalesce(length(payload) > 200, false) AS payload_valid,
-        CASE WHEN coalesce(length(payload), 0) <= 200 THEN 'ERROR: Invalid or missing encoding'
-            WHEN length(payload) > 50000000 THEN 'ERROR: Encoding exceeds size limit' END AS error FROM flagged""",
+        CASE WHEN coalesce(length(payload), 0) <= 200 THEN 'ERROR: Invalid or missing encoding' END AS error FROM flagged""",
         "flagged",
     ),
     "payload_guard": with_ctes(
@@ -430,7 +432,7 @@ SQL: dict[str, str] = {
         FROM fx8""",
         "fx8",
     ),
-    "word_count_sampled": f"SELECT doc_id, {ESTIMATE} AS word_count FROM documents",
+    "word_count_whole": f"SELECT doc_id, {words('text')} AS word_count FROM documents",
     "classify_error": with_ctes(f"SELECT event_id, {category('message')} AS error_category FROM messages", "messages"),
     "stage_times": with_ctes(
         f"""SELECT page_key, unnest(json_keys(m)) AS stage,
@@ -547,5 +549,13 @@ SQL: dict[str, str] = {
         "done_pages",
         extra=BATCH,
     ),
+    "batch_run_report": with_ctes(
+        """SELECT 'run-2' AS run_id, error_category, count(*) AS error_count, avg(attempt_count) AS avg_attempts,
+            count(*) FILTER (attempt_count >= 3) AS exhausted_count,
+            count(*) FILTER (error_category IN ('PERMANENT_INVALID_ENCODING', 'PERMANENT_SIZE_LIMIT')) AS permanent_count
+        FROM new_errors GROUP BY error_category""",
+        "new_errors",
+        extra=BATCH,
+    ),
     "stream_run": BATCH_RUN,
 }

@@ -1,42 +1,68 @@
 """Fetching the wide rows of a slim plan without moving payloads.
 
-A plan names pages by file and row. It is cut into chunks by file, so that a chunk's plan is small enough
-to broadcast to the scan and the scan opens that chunk's files only. Payloads stay in the tasks that read
-them, whatever the size of the table; a chunk is also the unit in which a broken run is taken up again.
+A plan names pages by file and row. Its rows are packed into chunks by counted size: whole files, or blocks of
+``chunk_rows`` row numbers of a larger file, one after the other, until ``chunk_rows`` rows or ``chunk_files``
+files are reached. A chunk thus has fewer than twice as many of either, which bounds what is broadcast to its scan
+and the list of files that narrows it, whatever the size of the table. Payloads stay in the tasks that read them.
+A chunk is also the unit in which a broken run is taken up again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pageflow.functions.keys import content_hash
 from pageflow.settings import DEFAULTS, Settings
 
-ROWS_PER_BLOCK = 65_536
+# Chunks that one task numbers at most when the plan is packed.
+CHUNKS_PER_BUCKET = 1000
 
 
-def chunk_of(expected_rows: int, settings: Settings = DEFAULTS) -> Column:
-    """Chunk number of a plan row. Blocks of one file share a chunk; a huge file has several blocks."""
-    chunks = max(1, -(-expected_rows // settings.chunk_rows))
-    block = F.floor(F.col("row_index") / ROWS_PER_BLOCK)
-    return F.pmod(F.xxhash64("row_file", block), F.lit(chunks)).cast("int")
+def with_chunks(rows: DataFrame, expected_rows: int, settings: Settings = DEFAULTS) -> DataFrame:
+    """Add ``chunk`` to slim rows with ``row_file, row_index``, of which there are ``expected_rows`` at most."""
+    if expected_rows <= min(settings.chunk_rows, settings.chunk_files):
+        return rows.withColumn("chunk", F.lit(0))
+    block = F.floor(F.col("row_index") / settings.chunk_rows)
+    buckets = 1 + expected_rows // (settings.chunk_rows * CHUNKS_PER_BUCKET)
+    units = rows.groupBy("row_file", block.alias("_block")).agg(F.count("*").alias("_rows"))
+    share = F.greatest(F.col("_rows") / settings.chunk_rows, F.lit(1 / settings.chunk_files))
+    bucket = F.pmod(F.xxhash64("row_file"), F.lit(buckets))
+    before = Window.partitionBy("_bucket").orderBy("row_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    packed = units.withColumns({"_bucket": bucket, "_share": share}).withColumn(
+        "chunk", (F.floor(F.coalesce(F.sum("_share").over(before), F.lit(0.0))) * buckets + F.col("_bucket")).cast("int")
+    )
+    numbered = rows.withColumn("_block", block).join(packed.select("row_file", "_block", "chunk"), ["row_file", "_block"])
+    return numbered.drop("_block")
 
 
-def chunk_sizes(plan: DataFrame) -> dict[int, int]:
-    """Rows per chunk, for chunks that fetch pages: one row per chunk comes to the driver."""
-    rows = plan.where(F.col("chunk") >= 0).groupBy("chunk").agg(F.count("*").alias("n")).collect()
-    return {r.chunk: r.n for r in rows}
+def chunk_numbers(plan: DataFrame) -> list[int]:
+    """Chunks that fetch pages."""
+    return sorted(r.chunk for r in plan.where(F.col("chunk") >= 0).select("chunk").distinct().collect())
 
 
-def fetch(pages: DataFrame, part: DataFrame, part_rows: int, settings: Settings = DEFAULTS) -> DataFrame:
-    """Pages named by ``part`` (``row_file, row_index`` and columns to add), of which there are ``part_rows``.
+def fetch(pages: DataFrame, part: DataFrame) -> DataFrame:
+    """Pages named by ``part``: a chunk's ``row_file, row_index`` and columns to add.
 
-    Broadcast up to twice the planned chunk size; should the hash have put more into one chunk, Spark
-    picks the join. The file list narrows the scan and is skipped when it would be long.
+    Where ``part`` has ``expected_hash``, a page whose content is another is not fetched: files may have been
+    replaced since.
     """
-    files = part.select("row_file").distinct().limit(settings.chunk_files + 1).collect()
-    if len(files) <= settings.chunk_files:
-        pages = pages.where(F.col("row_file").isin([f.row_file for f in files]))
-    if part_rows <= 2 * settings.chunk_rows:
-        part = F.broadcast(part)
-    return pages.join(part, ["row_file", "row_index"])
+    files = [r.row_file for r in part.select("row_file").distinct().collect()]
+    wide = pages.where(F.col("row_file").isin(files)).join(F.broadcast(part), ["row_file", "row_index"])
+    if "expected_hash" not in part.columns:
+        return wide
+    same = F.col("expected_hash").isNull() | (content_hash() == F.col("expected_hash"))
+    return wide.where(same).drop("expected_hash")
+
+
+def find_again(pages: DataFrame, lost: DataFrame) -> DataFrame:
+    """Where the pages of ``lost`` (plan rows) are now: the same rows with a new ``row_file, row_index``.
+
+    Pages are looked up by key and content, in one scan that hashes only pages with a wanted key. Pages that
+    are found nowhere, and pages without a key, don't come back.
+    """
+    wanted = lost.drop("row_file", "row_index")
+    named = pages.join(wanted.select("page_key").distinct(), "page_key", "left_semi")
+    hashed = named.select("page_key", content_hash().alias("content_hash"), F.struct("row_file", "row_index").alias("_at"))
+    places = hashed.groupBy("page_key", "content_hash").agg(F.min("_at").alias("_at"))
+    return wanted.join(places, ["page_key", "content_hash"]).select(*wanted.columns, "_at.*")

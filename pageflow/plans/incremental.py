@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, as_completed
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,19 +13,20 @@ from pageflow.functions.errors import classify_error
 from pageflow.functions.keys import content_hash, record_id
 from pageflow.operators.catalog import DUE, KEY, merge_catalog
 from pageflow.operators.convert import Converter
-from pageflow.operators.metrics import breaker_check, count_if, rate, top_categories
+from pageflow.operators.metrics import breaker_check, count_if, error_summary, rate, top_categories
 from pageflow.operators.payloads import attach_flags, page_keys, rejection
 from pageflow.operators.tables import conform_schema, empty
-from pageflow.plans.chunks import chunk_of, chunk_sizes, fetch
+from pageflow.plans.chunks import chunk_numbers, fetch, find_again, with_chunks
 from pageflow.plans.pages import convert_pages, finish_pages, with_payload
 from pageflow.plans.planner import ADDED, RETRY, catalog_states, combine, fresh_pages, mark_done, match_due
-from pageflow.settings import DEFAULTS, Settings
+from pageflow.settings import DEFAULTS, MISSING_PAGE, Settings
 from pageflow.sources.store import Head, PageStore
 
 # Progress entry of the planning step; chunks count from 0.
 PLANNED = -1
 # Chunk of plan rows that fetch no page.
 NO_PAGE = -1
+FAILURE = ["page_key", *KEY, "attempt_count", "error", "error_category"]
 
 
 class BreakerTripped(RuntimeError):
@@ -37,48 +41,112 @@ def run_batch(
     converter: Converter,
     as_of: Column,
     run_id: str,
-    last_ingest_id: int = 0,
+    last_ingest_id: int = -1,
     settings: Settings = DEFAULTS,
 ) -> None:
     """Process the pages in ``added`` and the retries that are due, and commit the run.
 
     ``pages`` is the whole page table, with row identity; retried pages are fetched from it. ``run_id``
-    makes the run idempotent: committed, it does nothing; broken off, it resumes with what is finished.
-    After a tripped breaker start the next attempt under a new id, so that pages are converted anew.
+    makes the run idempotent: committed, it does nothing; broken off, it resumes with what is finished. After a
+    tripped breaker, or another run's commit in between, it plans and converts anew. A run is committed only if
+    every planned page has a result or an error.
     """
     head = store.head()
     if run_id in head.runs:
         return
-    finished = store.progress(run_id)
+    version = store.version(run_id)
+    finished = store.progress(version)
     if PLANNED not in finished:
-        _write_plan(store, head, added, flags, as_of, run_id, settings)
-        store.mark_finished(run_id, PLANNED, last_ingest_id)
+        _write_plan(store, head, added, flags, as_of, version, settings)
+        store.mark_finished(version, PLANNED, last_ingest_id)
         finished[PLANNED] = last_ingest_id
     last_ingest_id = finished[PLANNED]
 
-    plan = store.plan(run_id)
-    sizes = chunk_sizes(plan)
-    for chunk, rows in sorted(sizes.items()):
-        if chunk not in finished:
-            part = plan.where(F.col("chunk") == chunk).select("row_file", "row_index", "attempt_count", "use_image")
-            wide = fetch(pages, part, rows, settings)
-            _results(wide, converter, as_of, settings).write.mode("overwrite").parquet(
-                f"{store.path('results', run_id)}/chunk-{chunk:05d}"
-            )
-            store.mark_finished(run_id, chunk, last_ingest_id)
-    if not sizes:
-        store.write(empty(store.spark, schemas.CONVERTED), "results", run_id)
-
-    results = store.read("results", run_id, schemas.CONVERTED)
+    plan = store.plan(version)
+    convert = lambda part, name: _results(fetch(pages, part), converter, as_of, settings).write.mode("overwrite").parquet(
+        f"{store.path('results', version)}/{name}"
+    )
+
+    def convert_chunk(chunk: int) -> None:
+        convert(_part(plan.where(F.col("chunk") == chunk)), f"chunk-{chunk:05d}")
+        store.mark_finished(version, chunk, last_ingest_id)
+
+    chunks = chunk_numbers(plan)
+    if not chunks:
+        store.write(empty(store.spark, schemas.CONVERTED), "results", version)
+    _in_flight(convert_chunk, [c for c in chunks if c not in finished], settings.chunks_at_once)
+
+    results = store.read("results", version, schemas.CONVERTED)
     failures = _failures(results, plan)
-    metrics = _metrics(results, plan, as_of, run_id)
-    store.write(metrics, "metrics", run_id)
-    _stop_if_tripped(store, run_id, failures, settings)
+    store.write(_metrics(results, plan, None, as_of, run_id), "metrics", version)
+    if _unaccounted(store, version):
+        gone = _recover(store, pages, plan, results, convert, version, settings)
+        results = store.read("results", version, schemas.CONVERTED)
+        failures = _failures(results, plan).unionByName(gone)
+        store.write(_metrics(results, plan, gone, as_of, run_id), "metrics", version)
+        if missing := _unaccounted(store, version):
+            raise RuntimeError(f"{missing} planned pages of {run_id} have neither a result nor an error")
+    _stop_if_tripped(store, run_id, version, failures, settings)
 
     arrived = plan.where((F.col("origin") == ADDED) & ~F.col("done"))
     catalog = merge_catalog(store.catalog(head), plan, arrived, failures, as_of, settings)
-    store.write(catalog, "catalog", run_id)
-    store.commit(run_id, head, last_ingest_id, as_of)
+    store.write(catalog, "catalog", version)
+    counted = failures.withColumn("attempt_count", F.col("attempt_count") + 1)
+    report = error_summary(counted, settings).withColumn("run_id", F.lit(run_id))
+    store.write(conform_schema(report, schemas.REPORT), "report", version)
+    store.commit(run_id, version, head, last_ingest_id, as_of)
+
+
+def _in_flight(work: Callable[[int], None], items: list[int], at_once: int) -> None:
+    """Some Spark jobs at a time; after a failure those not started are dropped."""
+    with ThreadPoolExecutor(at_once) as pool:
+        futures = [pool.submit(work, item) for item in items]
+        try:
+            for future in as_completed(futures):
+                future.result()
+        except BaseException:
+            pool.shutdown(wait=False, cancel_futures=True)
+            raise
+
+
+def _part(rows: DataFrame) -> DataFrame:
+    """What a fetch needs of plan rows; a retry must still find the content that failed."""
+    expected = F.when(F.col("origin") == RETRY, F.col("content_hash")).alias("expected_hash")
+    return rows.select("row_file", "row_index", "attempt_count", "use_image", expected)
+
+
+def _unaccounted(store: PageStore, version: str) -> int:
+    """Planned pages without an outcome."""
+    row = store.read("metrics", version, schemas.METRICS).first()
+    return row.planned_count - row.success_count - row.error_count
+
+
+def _recover(
+    store: PageStore,
+    pages: DataFrame,
+    plan: DataFrame,
+    results: DataFrame,
+    convert: Callable[[DataFrame, str], None],
+    version: str,
+    settings: Settings,
+) -> DataFrame:
+    """Convert planned pages that are no longer where the plan says; returns failures for those found nowhere.
+
+    Page files may have been compacted, archived or replaced between two runs.
+    """
+    wanted = plan.where(F.col("chunk") >= 0)
+    lost = wanted.join(results.select("row_file", "row_index"), ["row_file", "row_index"], "left_anti")
+    columns = [c for c in plan.columns if c != "chunk"]
+    store.write(lost.select(*columns), "steps/lost", version)
+    lost = store.read("steps/lost", version, plan.select(*columns).schema)
+    store.write(with_chunks(find_again(pages, lost), lost.count(), settings), "steps/moved", version)
+    moved = store.read("steps/moved", version, schemas.PLAN)
+    for chunk in chunk_numbers(moved):
+        convert(_part(moved.where(F.col("chunk") == chunk)), f"moved-{chunk:05d}")
+    found = moved.select("page_key", *KEY)
+    gone = lost.join(found, ["page_key", *KEY], "left_anti")
+    reasoned = gone.withColumns({"error": F.lit(MISSING_PAGE), "error_category": classify_error(F.lit(MISSING_PAGE))})
+    return reasoned.select(*FAILURE)
 
 
 def _write_plan(
@@ -87,15 +155,15 @@ def _write_plan(
     added: DataFrame,
     flags: DataFrame,
     as_of: Column,
-    run_id: str,
+    version: str,
     settings: Settings,
 ) -> None:
     def keep(name: str, df: DataFrame) -> DataFrame:
-        store.write(df, f"steps/{name}", run_id)
-        return store.read(f"steps/{name}", run_id, df.schema)
+        store.write(df, f"steps/{name}", version)
+        return store.read(f"steps/{name}", version, df.schema)
 
-    store.write(page_keys(added), "keys", run_id)
-    added_keys = store.read("keys", run_id, schemas.PAGE_KEYS)
+    store.write(page_keys(added), "keys", version)
+    added_keys = store.read("keys", version, schemas.PAGE_KEYS)
     success = store.successes(head)
     states = catalog_states(store.catalog(head), as_of, settings)
     due = states.where(F.col("state") == DUE).drop("state")
@@ -111,17 +179,23 @@ def _write_plan(
     flagged = attach_flags(work, flags, ["page_key", "content_hash"], settings)
     pick = lambda what: F.when(F.col("use_image"), F.col(f"image_{what}")).otherwise(F.col(f"page_{what}"))
     error = rejection(pick("length"), pick("blank"), settings)
-    chunk = chunk_of(added_rows + due_rows, settings)
-    fetched = ~F.col("done") & error.isNull()
-    plan = flagged.withColumn("error", error).withColumn("chunk", F.when(fetched, chunk).otherwise(F.lit(NO_PAGE)))
-    store.write(conform_schema(plan, schemas.PLAN), "plan", run_id, "chunk")
+    decided = flagged.withColumn("error", error)
+    rows = added_rows + retries.count()
+    fetched = ~F.col("done") & F.col("error").isNull()
+    if rows <= min(settings.chunk_rows, settings.chunk_files):
+        plan = decided.withColumn("chunk", F.when(fetched, F.lit(0)).otherwise(F.lit(NO_PAGE)))
+    else:
+        decided = keep("decided", decided)
+        others = decided.where(~fetched).withColumn("chunk", F.lit(NO_PAGE))
+        plan = with_chunks(decided.where(fetched), rows, settings).unionByName(others)
+    store.write(conform_schema(plan, schemas.PLAN), "plan", version, "chunk")
 
 
 def _results(wide: DataFrame, converter: Converter, as_of: Column, settings: Settings) -> DataFrame:
     """Convert a chunk. A failed page keeps its keys for the catalog and leaves its payloads behind."""
     failed = F.col("error").isNotNull()
-    parsed = convert_pages(with_payload(wide), converter, settings)
-    rows = finish_pages(parsed, as_of, settings)
+    parsed = convert_pages(with_payload(wide), converter)
+    rows = finish_pages(parsed, as_of)
     category = F.when(failed, classify_error(F.col("error"), F.col("status_code")))
     keyed = rows.select(
         *[c for c in rows.columns if c not in ("page_payload", "page_image")],
@@ -134,17 +208,18 @@ def _results(wide: DataFrame, converter: Converter, as_of: Column, settings: Set
 
 
 def _failures(results: DataFrame, plan: DataFrame) -> DataFrame:
-    columns = [*KEY, "attempt_count", "error", "error_category"]
     rejected = plan.where(~F.col("done") & F.col("error").isNotNull())
     rejected = rejected.withColumn("error_category", classify_error(F.col("error")))
-    return results.where(F.col("error").isNotNull()).select(columns).unionByName(rejected.select(columns))
+    return results.where(F.col("error").isNotNull()).select(*FAILURE).unionByName(rejected.select(*FAILURE))
 
 
-def _metrics(results: DataFrame, plan: DataFrame, as_of: Column, run_id: str) -> DataFrame:
-    """One aggregate over converted and planned rows together."""
+def _metrics(results: DataFrame, plan: DataFrame, gone: DataFrame | None, as_of: Column, run_id: str) -> DataFrame:
+    """One aggregate over converted and planned rows together; ``gone``: failures of pages that were not found."""
     seen = ["error", "markdown", "has_table", "has_image", "origin"]
     work = plan.where(~F.col("done"))
     schema = results.withColumn("origin", F.lit("")).select(*seen).schema
+    if gone is not None:
+        results = results.unionByName(gone, allowMissingColumns=True)
     rows = conform_schema(results.drop("origin"), schema).unionByName(conform_schema(work, schema))
     planned, failed = F.col("origin").isNotNull(), F.col("error").isNotNull()
     success, failure = count_if(~planned & ~failed), count_if(failed)
@@ -166,10 +241,12 @@ def _metrics(results: DataFrame, plan: DataFrame, as_of: Column, run_id: str) ->
     return conform_schema(counts.withColumn("run_id", F.lit(run_id)).withColumn("as_of", as_of), schemas.METRICS)
 
 
-def _stop_if_tripped(store: PageStore, run_id: str, failures: DataFrame, settings: Settings) -> None:
-    counts = store.read("metrics", run_id, schemas.METRICS).withColumn("processed_count", F.col("planned_count"))
+def _stop_if_tripped(store: PageStore, run_id: str, version: str, failures: DataFrame, settings: Settings) -> None:
+    """End the attempt if nearly everything failed: the run's next start converts anew."""
+    counts = store.read("metrics", version, schemas.METRICS).withColumn("processed_count", F.col("planned_count"))
     row = breaker_check(counts, settings).first()
     if row.tripped:
+        store.give_up(run_id)
         top = ", ".join(f"{r.error_category}: {r.error_count}" for r in top_categories(failures).collect())
         raise BreakerTripped(
             f"{row.error_count} of {row.processed_count} pages failed ({row.error_rate:.1%}): {top}. "

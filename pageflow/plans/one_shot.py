@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pageflow import schemas
 from pageflow.operators.convert import Converter
 from pageflow.operators.payloads import attach_flags
-from pageflow.operators.tables import conform_schema
-from pageflow.plans.chunks import chunk_of, chunk_sizes, fetch
+from pageflow.operators.tables import conform_schema, empty
+from pageflow.plans.chunks import chunk_numbers, fetch, with_chunks
 from pageflow.plans.pages import check_payload, convert_pages, finish_pages, with_payload
-from pageflow.session import work_folder
 from pageflow.settings import DEFAULTS, Settings
 
+PLAN = schemas.schema("row_file string, row_index bigint, use_image boolean, chunk int")
+
 
 def _process(flagged: DataFrame, converter: Converter, as_of: Column, settings: Settings) -> DataFrame:
     checked = check_payload(with_payload(flagged), settings)
-    return finish_pages(convert_pages(checked, converter, settings), as_of, settings)
+    return finish_pages(convert_pages(checked, converter), as_of)
 
 
 def one_shot(
@@ -43,19 +45,24 @@ def one_shot_run(
     converter: Converter,
     as_of: Column,
     output: str,
+    run_id: str,
     settings: Settings = DEFAULTS,
 ) -> DataFrame:
-    """``one_shot`` written to ``output`` for page tables of any size; ``pages`` carry their row identity."""
-    spark = pages.sparkSession
+    """Convert every page once, written below ``output/run=<run_id>``; returns what was written, with ``error``.
+
+    The default for tables of any size: ``pages`` carry their row identity, flags are joined to slim rows, and
+    figures are read from the result instead of converting again. The plan lies beside the result.
+    """
+    spark, home = pages.sparkSession, f"{output.rstrip('/')}/run={run_id}"
     slim = pages.select("doc_id", "row_file", "row_index")
-    flagged = attach_flags(slim, flags, ["row_file", "row_index"], settings)
-    plan_path = work_folder(spark)
-    chunk = chunk_of(slim.count(), settings).alias("chunk")
-    flagged.select("row_file", "row_index", "use_image", chunk).write.partitionBy("chunk").parquet(plan_path)
-    plan = spark.read.parquet(plan_path)
-    for number, rows in sorted(chunk_sizes(plan).items()):
-        part = plan.where(F.col("chunk") == number).drop("chunk")
-        wide = fetch(pages, part, rows, settings)
-        done = in_band(_process(wide, converter, as_of, settings))
-        done.write.mode("overwrite").parquet(f"{output}/chunk={number}")
-    return conform_schema(spark.read.parquet(output), schemas.SUCCESS)
+    flagged = attach_flags(slim, flags, ["row_file", "row_index"], settings).select("row_file", "row_index", "use_image")
+    plan_path = f"{home}/plan"
+    with_chunks(flagged, slim.count(), settings).write.mode("overwrite").partitionBy("chunk").parquet(plan_path)
+    plan = spark.read.schema(PLAN).parquet(plan_path)
+    schema = T.StructType([*schemas.SUCCESS.fields, T.StructField("error", T.StringType())])
+    folders = []
+    for number in chunk_numbers(plan):
+        wide = fetch(pages, plan.where(F.col("chunk") == number).drop("chunk"))
+        folders.append(f"{home}/pages/chunk-{number:05d}")
+        conform_schema(_process(wide, converter, as_of, settings), schema).write.mode("overwrite").parquet(folders[-1])
+    return spark.read.schema(schema).parquet(*folders) if folders else empty(spark, schema)

@@ -32,7 +32,7 @@ def check_payload(pages: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     )
 
 
-def convert_pages(pages: DataFrame, converter: Converter, settings: Settings = DEFAULTS) -> DataFrame:
+def convert_pages(pages: DataFrame, converter: Converter) -> DataFrame:
     """Run the converter over pages with ``payload`` and ``mode`` and read its answers.
 
     A ``rejected`` column names pages that are kept back; they come out as failures for that reason, in
@@ -41,14 +41,14 @@ def convert_pages(pages: DataFrame, converter: Converter, settings: Settings = D
     answered = converter(pages).drop("payload")
     if "rejected" in pages.columns:
         answered = answered.withColumn("call_error", F.coalesce("rejected", "call_error")).drop("rejected")
-    return parse_responses(answered, settings)
+    return parse_responses(answered)
 
 
-def finish_pages(parsed: DataFrame, as_of: Column, settings: Settings = DEFAULTS) -> DataFrame:
+def finish_pages(parsed: DataFrame, as_of: Column) -> DataFrame:
     """Analysis, status and stage time, by the outcome in ``error``."""
     failed = F.col("error").isNotNull()
     return (
-        parsed.withColumn("_analysis", analyse(F.col("content"), failed, settings))
+        parsed.withColumn("_analysis", analyse(F.col("content"), failed))
         .withColumn("status", F.when(failed, FAILED).otherwise(COMPLETED))
         .withColumn("stage_times", merge_stage(F.col("stage_times"), F.col("status"), stamp_text(as_of)))
         .withColumnRenamed("content", "markdown")

@@ -46,11 +46,11 @@ def due_retries(catalog: DataFrame, as_of: Column, settings: Settings = DEFAULTS
 
 
 def fresh_pages(added: DataFrame, success: DataFrame, states: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Added pages to process, one per key, with their attempts so far.
+    """Added pages to process, one per key (one per content where the key is null), with their attempts so far.
 
     A page that arrives again keeps its attempts, and stays out while its content is given up or waiting.
     """
-    unseen = unseen_pages(keep_one_per_key(added, "page_key", ORDER), success)
+    unseen = unseen_pages(keep_one_per_key(added, "page_key", ORDER, C.KEY), success)
     relevant = states.join(added.select(*C.KEY).distinct(), C.KEY, "left_semi")
     known = lookup(unseen, relevant, C.KEY, ["page_key"], buckets=settings.lookup_buckets)
     return (
@@ -77,8 +77,8 @@ def mark_done(matched: DataFrame, success: DataFrame, settings: Settings = DEFAU
 
 
 def _one_per_page(rows: DataFrame, order: list[str]) -> DataFrame:
-    """One row per page key among rows to process; rows with ``done`` true stay, one per content."""
-    content = F.when(F.col("done"), F.concat_ws(" ", *C.KEY))
+    """One row per page key among rows to process; done rows and those without a key stay, one per content."""
+    content = F.when(F.col("done") | F.col("page_key").isNull(), F.concat_ws(" ", *C.KEY))
     return keep_one_per_key(rows.withColumn("_content", content), ["page_key", "_content"], order).drop("_content")
 
 
@@ -91,20 +91,17 @@ def retry_candidates(
 def combine(fresh: DataFrame, retries: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Fresh pages and retries as one plan, unique on ``page_key`` among rows with ``done`` false.
 
-    New content of a record wins over a retry of its old content; the same content is tried once, as a
-    retry. Rows with ``done`` true are there for the catalog, not for conversion.
+    New content of a page wins over a retry of its old content; the same content is tried once, as a retry.
+    Pages are told apart by their key, not by record id, which pages of a document without page numbers share.
+    Rows with ``done`` true are there for the catalog, not for conversion.
     """
-    rivals = fresh.join(retries.select("record_id").distinct(), "record_id", "left_semi")
-    rivals = rivals.groupBy("record_id").agg(F.min("content_hash").alias("_first"), F.max("content_hash").alias("_last"))
-    replaced = (F.col("_first") != F.col("content_hash")) | (F.col("_last") != F.col("content_hash"))
-    current = lookup(retries, rivals, ["record_id"], ["page_key", "content_hash"], buckets=settings.lookup_buckets)
-    current = (
-        current.where(F.col("done") | ~F.coalesce(replaced, F.lit(False)))
-        .drop("_first", "_last")
-        .withColumn("origin", F.lit(RETRY))
-    )
-    tried = current.where(~F.col("done")).select(*C.KEY).distinct()
-    new = lookup(fresh, tried, C.KEY, ["page_key"], "left_anti", settings.lookup_buckets)
+    arrived = fresh.join(retries.select("page_key").distinct(), "page_key", "left_semi")
+    arrived = arrived.select("page_key", F.concat_ws(" ", *C.KEY).alias("_arrived"))
+    current = lookup(retries, arrived, ["page_key"], C.KEY, buckets=settings.lookup_buckets)
+    replaced = F.coalesce(F.col("_arrived") != F.concat_ws(" ", *C.KEY), F.lit(False))
+    current = current.where(F.col("done") | ~replaced).drop("_arrived").withColumn("origin", F.lit(RETRY))
+    tried = current.where(~F.col("done")).select("page_key", *C.KEY).distinct()
+    new = lookup(fresh, tried, ["page_key", *C.KEY], C.KEY, "left_anti", settings.lookup_buckets)
     new = new.withColumns({"done": F.lit(False), "origin": F.lit(ADDED)})
     return _one_per_page(new.unionByName(current), ["origin", *ORDER])
 

@@ -141,11 +141,9 @@ def content_analysis(spark, sf_dir):
 
 
 @query
-def word_count_sampled(spark, sf_dir):
-    """The long-text estimate, with its two limits lowered to the size of the test texts."""
-    limits = replace(DEFAULTS, long_text=5_000, sample_text=1_000)
+def word_count_whole(spark, sf_dir):
     docs = td.table(spark, sf_dir, "documents")
-    return docs.select("doc_id", word_count(F.col("text"), limits).alias("word_count"))
+    return docs.select("doc_id", word_count(F.col("text")).alias("word_count"))
 
 
 @query
@@ -179,7 +177,7 @@ def fail_batch(spark, sf_dir):
 @query
 def dedup_added(spark, sf_dir):
     keys = _keys(td.page_batch_with_copies(spark, sf_dir))
-    return dedup.keep_one_per_key(keys, "page_key", planner.ORDER).select("page_key", "record_id", "content_hash")
+    return dedup.keep_one_per_key(keys, "page_key", planner.ORDER, C.KEY).select("page_key", "record_id", "content_hash")
 
 
 @query
@@ -265,15 +263,18 @@ def dedup_success(spark, sf_dir):
     """Success rows for a batch with copies: one row per page, the one with the smaller content hash."""
     keys = _keys(td.page_batch_with_copies(spark, sf_dir)).select("page_key", "record_id", "content_hash")
     done = _parsed(spark, sf_dir).where(F.col("error").isNull()).select("page_key", "content", "parse_score")
-    return dedup.keep_one_per_key(keys.join(done, "page_key"), "page_key", ["content_hash", "record_id"])
+    return dedup.keep_one_per_key(keys.join(done, "page_key"), "page_key", ["content_hash", "record_id"], C.KEY)
 
 
 def _one_shot(spark, sf_dir):
-    return one_shot(
+    """Written once; figures are read from what was written."""
+    return one_shot_run(
         td.page_batch(spark, sf_dir),
         td.page_flags(spark, sf_dir),
         recorded_converter(td.responses(spark, sf_dir)),
         td.as_of(),
+        work_folder(spark),
+        "one-shot",
     )
 
 
@@ -320,13 +321,17 @@ def one_shot_query(spark, sf_dir):
 
 @query
 def one_shot_chunked(spark, sf_dir):
-    """The same table, written chunk by chunk."""
-    return one_shot_run(
-        td.page_batch(spark, sf_dir),
-        td.page_flags(spark, sf_dir),
-        recorded_converter(td.responses(spark, sf_dir)),
-        td.as_of(),
-        work_folder(spark),
+    """The same table in small chunks."""
+    return in_band(
+        one_shot_run(
+            td.page_batch(spark, sf_dir),
+            td.page_flags(spark, sf_dir),
+            recorded_converter(td.responses(spark, sf_dir)),
+            td.as_of(),
+            work_folder(spark),
+            "chunked",
+            replace(DEFAULTS, chunk_rows=4_000, chunk_files=4),
+        )
     )
 
 
@@ -389,6 +394,11 @@ def batch_run_metrics(spark, sf_dir):
     return _after_batch(spark, sf_dir).metrics().drop("as_of")
 
 
+@query
+def batch_run_report(spark, sf_dir):
+    return _after_batch(spark, sf_dir).report()
+
+
 @query
 def stream_run(spark, sf_dir):
     """The added pages as files, one micro-batch each; the success table equals that of one batch."""

@@ -46,7 +46,7 @@ SUCCESS = T.StructType(
 
 CATALOG = schema(
     "record_id string not null, content_hash string not null, attempt_count int not null, "
-    "last_error string, error_category string, last_attempt_at timestamp, error_date date"
+    "last_error string, error_category string, last_attempt_at timestamp, error_date date, page_key string"
 )
 
 # A row of a page file. Both columns come from the file reader, so they are free and stable.
@@ -91,3 +91,9 @@ METRICS = schema(
 MANIFEST = schema(
     "run_id string, seq bigint, last_ingest_id bigint, catalog_version string, as_of timestamp"
 )
+
+# Failures of a run by category.
+REPORT = schema(
+    "run_id string, error_category string, error_count bigint, avg_attempts double, exhausted_count bigint, "
+    "permanent_count bigint"
+)

@@ -11,6 +11,7 @@ FAILED = "markdown conversion failed"
 INVALID_PAYLOAD = "ERROR: Invalid or missing encoding"
 BLANK_PAYLOAD = "ERROR: Empty or null encoding provided"
 OVERSIZE_PAYLOAD = "ERROR: Encoding exceeds size limit"
+MISSING_PAGE = "ERROR: Page not found in the page table"
 
 # Error categories that are never retried.
 PERMANENT_CATEGORIES = ("PERMANENT_INVALID_ENCODING", "PERMANENT_SIZE_LIMIT")
@@ -22,24 +23,23 @@ IMAGE_MODE = "Image"
 
 @dataclass(frozen=True)
 class Settings:
-    """Limits of one run. The defaults are the fixed limits of the pipeline.
+    """Rules of one run.
 
-    ``lookup_buckets``, ``chunk_rows`` and ``chunk_files`` only steer the physical plan; results do not
-    depend on them.
+    ``min_length`` is a declared validity rule. ``max_length`` is a limit of some services; it is off unless
+    set where the converter is opened. The last four only steer the physical plan; results do not depend on
+    them.
     """
 
     min_length: int = 200
-    max_length: int = 50_000_000
-    long_text: int = 1_000_000
-    sample_text: int = 100_000
+    max_length: int | None = None
     max_attempts: int = 3
     breaker_min_rows: int = 100
     breaker_min_failures: int = 100
     breaker_rate: float = 0.9
-    body_excerpt: int = 500
     lookup_buckets: int = 16
-    chunk_rows: int = 500_000
-    chunk_files: int = 10_000
+    chunk_rows: int = 100_000
+    chunk_files: int = 2_000
+    chunks_at_once: int = 4
 
 
 DEFAULTS = Settings()

@@ -2,23 +2,28 @@
 
 Layout below the root::
 
-    keys/run=R          slim keys of the pages that arrived with run R
-    steps/<step>/run=R  intermediate tables of planning
-    plan/run=R          what run R decided to do, by chunk
-    results/run=R/...   converted pages of run R, one folder per chunk
-    progress/run=R      chunks of run R that are complete
-    catalog/run=R       error catalog as of run R
-    metrics/run=R       one row
-    manifest               one row per committed run
-
+    keys/run=V          slim keys of the pages that arrived with the run
+    steps/<step>/run=V  intermediate tables of planning
+    plan/run=V          what the run decided to do, by chunk
+    results/run=V/...   converted pages of the run, one folder per chunk
+    progress/run=V/...  chunks of the run that are complete
+    ended/run=R/...     attempts of run R that were given up
+    catalog/run=V       error catalog as of the run
+    metrics/run=V       one row
+    report/run=V        failures by category
+    manifest            one row per committed run, naming its version V
+
+A run is tried in attempts; its version V is the run id and, from the second attempt on, the attempt's number.
 A run counts from the moment its manifest row is written, which is the last thing it does. Readers take
-the list of runs from the manifest, so a run that died leaves nothing visible, and a run that is started
-again under its id replaces or reuses what it left.
+versions from the manifest, so an attempt that died or was given up leaves nothing visible. A run that died
+and is started again under its id goes on with what its attempt has finished.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,14 +34,20 @@ from pageflow.operators.tables import conform_schema, empty
 from pageflow.sources.tables import read_or_empty
 
 PROGRESS = schemas.schema("chunk int, last_ingest_id bigint")
+VERSION = T.StructField("run", T.StringType())
 HISTORY = "history"
 
 
+class CommitConflict(RuntimeError):
+    """The state that a run was planned on is no longer the newest."""
+
+
 @dataclass(frozen=True)
 class Head:
-    """The newest committed run, and all committed run ids in order."""
+    """The newest committed run, and all committed run ids and versions in order."""
 
     runs: tuple[str, ...] = ()
+    versions: tuple[str, ...] = ()
     seq: int = -1
     last_ingest_id: int = -1
     catalog_version: str | None = None
@@ -59,12 +70,18 @@ class PageStore:
             return Head()
         rows.sort(key=lambda r: r.seq)
         top = rows[-1]
-        return Head(tuple(r.run_id for r in rows), top.seq, top.last_ingest_id, top.catalog_version)
+        return Head(
+            tuple(r.run_id for r in rows),
+            tuple(r.catalog_version for r in rows),
+            top.seq,
+            max(r.last_ingest_id for r in rows),
+            top.catalog_version,
+        )
 
     def _committed(self, table: str, schema: T.StructType, head: Head) -> DataFrame:
         if not head.runs:
             return empty(self.spark, schema)
-        return self._reader(schema).parquet(*[self.path(table, r) for r in head.runs])
+        return self._reader(schema).parquet(*[self.path(table, v) for v in head.versions])
 
     def successes(self, head: Head | None = None) -> DataFrame:
         """The success table: all pages converted by committed runs."""
@@ -82,8 +99,17 @@ class PageStore:
         return read_or_empty(self.spark, schemas.CATALOG, self.path("catalog", head.catalog_version))
 
     def metrics(self) -> DataFrame:
-        rows = read_or_empty(self.spark, schemas.METRICS, self.path("metrics"))
-        return conform_schema(rows, schemas.METRICS).where(F.col("run_id").isin(*self.head().runs))
+        return self._of_runs("metrics", schemas.METRICS)
+
+    def report(self) -> DataFrame:
+        """Failures by run and category."""
+        return self._of_runs("report", schemas.REPORT)
+
+    def _of_runs(self, table: str, schema: T.StructType) -> DataFrame:
+        """Rows of committed versions; imported history has none."""
+        versions = self.head().versions
+        rows = read_or_empty(self.spark, T.StructType([*schema.fields, VERSION]), self.path(table))
+        return rows.where(F.col("run").isin(*versions)).select(*schema.names) if versions else empty(self.spark, schema)
 
     # -- writing --------------------------------------------------------------------------------
 
@@ -100,23 +126,48 @@ class PageStore:
         """Chunk folders are not partitions."""
         return self.spark.read.schema(schema).option("recursiveFileLookup", True)
 
-    def progress(self, run_id: str) -> dict[int, int]:
-        """Finished steps of a run that is not committed yet: chunk to last ingest id."""
-        rows = read_or_empty(self.spark, PROGRESS, self.path("progress", run_id)).distinct().collect()
+    def progress(self, version: str) -> dict[int, int]:
+        """Finished steps of an attempt that is not committed yet: chunk to last ingest id."""
+        return self._marks("progress", version)
+
+    def mark_finished(self, version: str, chunk: int, last_ingest_id: int) -> None:
+        self._mark("progress", version, chunk, last_ingest_id)
+
+    def version(self, run_id: str) -> str:
+        """The version that the run's current attempt writes."""
+        given_up = len(self._marks("ended", run_id))
+        return f"{run_id}~{given_up}" if given_up else run_id
+
+    def give_up(self, run_id: str) -> None:
+        """End the current attempt: the run's next start plans and converts anew."""
+        self._mark("ended", run_id, len(self._marks("ended", run_id)), 0)
+
+    def _marks(self, table: str, name: str) -> dict[int, int]:
+        try:
+            rows = self._reader(PROGRESS).parquet(self.path(table, name)).distinct().collect()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}
         return {r.chunk: r.last_ingest_id for r in rows}
 
-    def mark_finished(self, run_id: str, chunk: int, last_ingest_id: int) -> None:
+    def _mark(self, table: str, name: str, chunk: int, last_ingest_id: int) -> None:
+        """A folder of its own for each mark, so that several can be written at once."""
         row = self.spark.range(1).select(
             F.lit(chunk).alias("chunk"), F.lit(last_ingest_id).cast("long").alias("last_ingest_id")
         )
-        row.coalesce(1).write.mode("append").parquet(self.path("progress", run_id))
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.path(table, name)}/mark_{chunk}")
 
-    def commit(self, run_id: str, head: Head, last_ingest_id: int, as_of: Column) -> None:
+    def commit(self, run_id: str, version: str, head: Head, last_ingest_id: int, as_of: Column) -> None:
+        """Make a run visible, unless another one was committed since it was planned on ``head``."""
+        if self.head().seq != head.seq:
+            self.give_up(run_id)
+            raise CommitConflict(f"another run was committed while {run_id} ran; start it again, it plans anew")
         row = self.spark.range(1).select(
             F.lit(run_id).alias("run_id"),
             F.lit(head.seq + 1).cast("long").alias("seq"),
-            F.lit(last_ingest_id).cast("long").alias("last_ingest_id"),
-            F.lit(run_id).alias("catalog_version"),
+            F.lit(max(last_ingest_id, head.last_ingest_id)).cast("long").alias("last_ingest_id"),
+            F.lit(version).alias("catalog_version"),
             as_of.alias("as_of"),
         )
         row.coalesce(1).write.mode("append").parquet(self.path("manifest"))
@@ -139,4 +190,4 @@ class PageStore:
         self.write(page_keys(previous), "keys", HISTORY)
         self.write(conform_schema(successes, schemas.CONVERTED), "results", HISTORY)
         self.write(conform_schema(catalog, schemas.CATALOG), "catalog", HISTORY)
-        self.commit(HISTORY, head, last_ingest_id, as_of)
+        self.commit(HISTORY, HISTORY, head, last_ingest_id, as_of)

@@ -145,6 +145,7 @@ def catalog_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("error_category"),
             at.alias("last_attempt_at"),
             F.to_date(at).alias("error_date"),
+            "page_key",
         ),
         schemas.CATALOG,
     )
@@ -166,7 +167,8 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     cases = " ".join(f"when {k} then {answer(v)}" for k, v in inner.items())
     body = f"""case (conv_id * 8 + turn) % 12 {cases}
         when 3 then '{{"other":1}}' when 6 then 'not json' when 8 then '{{"value":null}}'
-        when 9 then 'slow down' when 10 then 'unavailable' end"""
+        when 9 then if(conv_id % 2 = 1, 'Encoding exceeds size limit', 'slow down')
+        when 10 then if(conv_id % 2 = 1, 'gateway timed out', 'unavailable') end"""
     return table(spark, sf_dir, "conversations").select(
         F.expr(PAGE_KEY).alias("page_key"),
         F.expr(DOC_ID).alias("doc_id"),

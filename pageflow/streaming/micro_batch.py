@@ -25,12 +25,15 @@ def stream_pages(
     earlier: DataFrame | None = None,
     files_per_batch: int = 1000,
     settings: Settings = DEFAULTS,
+    name: str = "pages",
 ) -> StreamingQuery:
     """Start a query that runs one incremental run per micro-batch of new page files, then stops.
 
-    The success table and the error catalog are the state, so no watermark is needed. A micro-batch that
-    is replayed after a failure keeps its run id and is committed once. ``earlier`` holds pages that
-    never were in ``folder``; ``as_of`` is asked once per micro-batch.
+    The success table and the error catalog are the state, so no watermark is needed. ``name`` tells the streams
+    of a store apart: give each input folder its own. Run ids hold the name, the id that Spark keeps in the
+    stream's checkpoint, and the batch number: a micro-batch that is replayed keeps its run id and is committed
+    once, one after a tripped breaker converts anew, and a renewed checkpoint reads its folder as new.
+    ``earlier`` holds pages that never were in ``folder``; ``as_of`` is asked once per micro-batch.
     """
     spark = store.spark
 
@@ -38,14 +41,16 @@ def stream_pages(
         pages = read_pages(spark, folder, schemas.PAGE)
         if earlier is not None:
             pages = pages.unionByName(earlier.select(*pages.columns))
-        run_batch(store, added, pages, flags, converter, as_of(), f"batch-{batch_id:08d}", batch_id, settings)
+        checkpoint = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        run_id = f"{name}-{checkpoint}-{batch_id:08d}"
+        run_batch(store, added, pages, flags, converter, as_of(), run_id, settings=settings)
 
     arriving = with_row_ref(
         spark.readStream.schema(schemas.PAGE).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
     )
     return (
         arriving.writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", store.path("stream"))
+        .option("checkpointLocation", f"{store.path('stream')}/{name}")
         .trigger(availableNow=True)
         .start()
     )

@@ -45,17 +45,9 @@ def test_word_count_matches_split_on_random_texts(spark):
     assert counts == [len(t.split()) if t else 0 for t in texts]
 
 
-def test_long_text_is_estimated(spark):
-    limits = Settings(long_text=50, sample_text=10)
-    texts = ["a b c d e " + "x" * 41, "ab cd " * 9, "x" * 50, "a " * 25, "😀 b " * 20]
-
-    def expected(text):
-        if len(text) <= 50:
-            return len(text.split())
-        sample = text[:10]
-        return int(len(sample.split()) / len(sample) * len(text))
-
-    assert apply(spark, texts, lambda c: word_count(c, limits)) == [expected(t) for t in texts]
+def test_long_text_is_counted_whole(spark):
+    texts = ["dense " * 20_000 + "x" * 1_000_000, "a b " * 400_000]
+    assert apply(spark, texts, word_count) == [len(t.split()) for t in texts]
 
 
 @pytest.mark.parametrize(

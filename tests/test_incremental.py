@@ -7,15 +7,15 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import at, catalog_rows, flags, page, service, write_pages
+from helpers import PAGES, at, catalog_rows, flags, page, payload, service, write_pages
 from pageflow import schemas
 from pageflow.operators import tables
-from pageflow.plans.chunks import fetch
+from pageflow.operators.convert import python_converter
 from pageflow.plans.incremental import BreakerTripped, run_batch
 from pageflow.plans.one_shot import in_band, one_shot, one_shot_run
 from pageflow.settings import Settings
-from pageflow.sources.store import PageStore
-from pageflow.sources.tables import added_pages, previous_pages
+from pageflow.sources.store import CommitConflict, PageStore
+from pageflow.sources.tables import added_pages, previous_pages, read_pages
 
 
 def run(store, pages, ingest, converter, when, run_id, flag_docs=(), settings=Settings()):
@@ -104,7 +104,7 @@ def test_broken_run_resumes_with_what_is_finished(spark, tmp_path, monkeypatch):
     store = PageStore(spark, f"{tmp_path}/store")
     # One row per chunk block: every file is a chunk of its own.
     pages = write_pages(spark, f"{tmp_path}/pages", *[page(f"p{i}") for i in range(40)], files=8)
-    small = Settings(chunk_rows=5)
+    small = Settings(chunk_rows=5, chunks_at_once=1)
     converter, calls = service(spark)
     marked = []
     original = PageStore.mark_finished
@@ -131,7 +131,7 @@ def test_broken_run_resumes_with_what_is_finished(spark, tmp_path, monkeypatch):
 def test_chunks_do_not_change_the_result(spark, tmp_path):
     pages = write_pages(spark, f"{tmp_path}/pages", *[page(f"p{i}", "fail" if i % 4 == 0 else f"ok {i}") for i in range(60)], files=6)
     outcomes = []
-    for name, limits in (("one", Settings()), ("many", Settings(chunk_rows=7)), ("wide", Settings(chunk_rows=7, chunk_files=0))):
+    for name, limits in (("one", Settings()), ("many", Settings(chunk_rows=7)), ("wide", Settings(chunk_rows=7, chunk_files=1, chunks_at_once=1))):
         store = PageStore(spark, f"{tmp_path}/{name}")
         run(store, pages, 1, service(spark)[0], "2024-01-01 10:00:00", "r1", settings=limits)
         outcomes.append((sorted((r.page_key, r.markdown) for r in store.successes().collect()), catalog_rows(store)))
@@ -139,13 +139,91 @@ def test_chunks_do_not_change_the_result(spark, tmp_path):
     assert len(outcomes[0][0]) == 45 and len(outcomes[0][1]) == 15
 
 
-def test_oversized_chunk_is_joined_without_a_broadcast(spark, tmp_path):
-    pages = write_pages(spark, f"{tmp_path}/pages", *[page(f"p{i}") for i in range(10)])
-    part = pages.select("row_file", "row_index")
-    limits = Settings(chunk_rows=2)
-    plan = lambda rows: fetch(pages, part, rows, limits)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan(4) and "broadcast" not in plan(5)
-    assert fetch(pages, part, 10, limits).count() == 10
+def failing_once(spark, tmp_path):
+    store, folder = PageStore(spark, f"{tmp_path}/store"), f"{tmp_path}/pages"
+    pages = write_pages(spark, folder, page("a", "fail a"), page("b", "fail b"))
+    run(store, pages, 1, service(spark)[0], "2024-01-01 10:00:00", "r1")
+    return store, pages
+
+
+def test_retries_are_found_again_in_a_rewritten_table(spark, tmp_path):
+    store, pages = failing_once(spark, tmp_path)
+    moved = f"{tmp_path}/compacted"
+    pages.drop("row_file", "row_index").coalesce(1).write.parquet(moved)
+    converter, calls = service(spark, recover=True)
+    m = run(store, read_pages(spark, moved, PAGES), 1, converter, "2024-01-01 11:00:00", "r2")
+    assert (m.planned_count, m.success_count, m.error_count, calls.value) == (2, 2, 0, 2)
+    assert catalog_rows(store) == [] and store.successes().count() == 2
+
+
+def test_pages_that_are_gone_stay_in_the_catalog(spark, tmp_path):
+    store, pages = failing_once(spark, tmp_path)
+    moved = f"{tmp_path}/partly"
+    pages.where("page_key = 'a'").drop("row_file", "row_index").write.parquet(moved)
+    m = run(store, read_pages(spark, moved, PAGES), 1, service(spark, recover=True)[0], "2024-01-01 11:00:00", "r2")
+    assert (m.planned_count, m.success_count, m.error_count) == (2, 1, 1)
+    assert [(r[0], r[1]) for r in catalog_rows(store)] == [("doc-b::1", 2)]
+
+
+def test_a_reused_file_does_not_send_another_page(spark, tmp_path):
+    store, pages = failing_once(spark, tmp_path)
+    at_old_places = pages.withColumn("page_payload", F.lit(payload("another page")))
+    converter, calls = service(spark, recover=True)
+    m = run(store, at_old_places, 1, converter, "2024-01-01 11:00:00", "r2")
+    assert (m.planned_count, m.success_count, m.error_count, calls.value) == (2, 0, 2, 0)
+
+
+def test_waiting_page_survives_another_page_of_its_record(spark, tmp_path):
+    store, folder = PageStore(spark, f"{tmp_path}/store"), f"{tmp_path}/pages"
+    pages = write_pages(spark, folder, page("a", "fail a", doc="D", number=None))
+    run(store, pages, 1, service(spark)[0], "2024-01-01 10:00:00", "r1")
+    pages = write_pages(spark, folder, page("b", "b", ingest=2, doc="D", number=None))
+    run(store, pages, 2, service(spark)[0], "2024-01-01 10:01:00", "r2")
+    assert len(catalog_rows(store)) == 1
+    run(store, pages, 2, service(spark, recover=True)[0], "2024-01-02 10:00:00", "r3")
+    assert catalog_rows(store) == [] and sorted(r.page_key for r in store.successes().collect()) == ["a", "b"]
+
+
+def test_pages_without_a_key_are_all_converted(spark, tmp_path):
+    store = PageStore(spark, f"{tmp_path}/store")
+    pages = write_pages(spark, f"{tmp_path}/pages", page(None, "x"), page(None, "y"), page(None, "fail z"))
+    m = run(store, pages, 1, service(spark)[0], "2024-01-01 10:00:00", "r1")
+    assert (m.planned_count, m.success_count, m.error_count) == (3, 2, 1)
+
+
+def test_second_of_two_overlapping_runs_is_not_committed(spark, tmp_path, monkeypatch):
+    store = PageStore(spark, f"{tmp_path}/store")
+    pages = write_pages(spark, f"{tmp_path}/pages", page("a"), page("b"))
+    commit, inner = PageStore.commit, []
+
+    def overtaken(self, run_id, *rest):
+        if run_id == "slow" and not inner:
+            inner.append(run(PageStore(spark, store.root), pages, 1, service(spark)[0], "2024-01-01 10:00:00", "fast"))
+        commit(self, run_id, *rest)
+
+    monkeypatch.setattr(PageStore, "commit", overtaken)
+    with pytest.raises(CommitConflict):
+        run_batch(store, added_pages(pages, -1), pages, flags(spark), service(spark)[0], at("2024-01-01 10:00:00"), "slow", 1)
+    assert store.head().runs == ("fast",) and store.successes().count() == 2
+    # Started again it plans anew and finds nothing to do.
+    run_batch(store, added_pages(pages, -1), pages, flags(spark), service(spark)[0], at("2024-01-01 10:00:00"), "slow", 1)
+    assert store.head().runs == ("fast", "slow") and store.successes().count() == 2
+
+
+def test_report_by_category(spark, tmp_path):
+    store, _ = failing_once(spark, tmp_path)
+    assert [tuple(r) for r in store.report().collect()] == [("r1", "SERVER_ERROR", 2, 1.0, 0, 0)]
+
+
+def test_service_that_cannot_be_opened_fails_pages_not_tasks(spark, tmp_path):
+    def closed():
+        raise PermissionError("no credentials")
+
+    store = PageStore(spark, f"{tmp_path}/store")
+    pages = write_pages(spark, f"{tmp_path}/pages", page("a"), page("b"))
+    m = run(store, pages, 1, python_converter(closed), "2024-01-01 10:00:00", "r1")
+    assert (m.success_count, m.error_count) == (0, 2)
+    assert {r.last_error for r in store.catalog().collect()} == {"ERROR: Service could not be opened - PermissionError: no credentials"}
 
 
 def test_breaker_commits_nothing(spark, tmp_path):
@@ -154,8 +232,8 @@ def test_breaker_commits_nothing(spark, tmp_path):
     with pytest.raises(BreakerTripped, match=r"105 of 110 .*SERVER_ERROR: 95, PERMANENT_INVALID_ENCODING: 10"):
         run(store, pages, 1, service(spark)[0], "2024-01-01 10:00:00", "r1")
     assert store.head().runs == () and store.catalog().isEmpty() and store.successes().isEmpty()
-    # The next attempt has its own id and converts anew.
-    m = run(store, pages, 1, service(spark, recover=True)[0], "2024-01-01 11:00:00", "r1b")
+    # The next start of the run converts anew.
+    m = run(store, pages, 1, service(spark, recover=True)[0], "2024-01-01 11:00:00", "r1")
     assert (m.success_count, m.error_count) == (100, 10)
 
 
@@ -195,8 +273,14 @@ def test_one_shot_in_one_pass_and_in_chunks(spark, tmp_path):
     }
     assert rows["a"].status == "markdown conversion completed" and rows["b"].status == "markdown conversion failed"
     assert rows["b"].page_payload is not None and rows["b"].word_count == 0
-    written = one_shot_run(pages, flags(spark, "doc-c"), service(spark)[0], at("2024-01-01 10:00:00"), f"{tmp_path}/out", Settings(chunk_rows=2))
-    assert sorted(map(str, written.collect())) == sorted(map(str, rows.values()))
+    once = lambda p, **limits: in_band(
+        one_shot_run(p, flags(spark, "doc-c"), service(spark)[0], at("2024-01-01 10:00:00"), f"{tmp_path}/out", "r1", Settings(**limits))
+    )
+    assert sorted(map(str, once(pages, chunk_rows=2).collect())) == sorted(map(str, rows.values()))
+    # The same folder again, with fewer chunks, fewer pages and none: nothing of an earlier run comes back.
+    assert once(pages).count() == 5
+    assert once(pages.where("page_key = 'a'")).count() == 1
+    assert once(pages.where("false")).count() == 0
 
 
 def test_failed_batch(spark, tmp_path):

@@ -33,10 +33,10 @@ def success(spark, *page_keys):
 
 
 def catalog(spark, *rows):
-    """Rows of (record_id, content_hash, attempts, category, last attempt)."""
+    """Rows of (record_id, content_hash, attempts, category, last attempt[, page key])."""
     df = spark.createDataFrame(
-        list(rows),
-        "record_id string, content_hash string, attempt_count int, error_category string, last string",
+        [(*r, None)[:6] for r in rows],
+        "record_id string, content_hash string, attempt_count int, error_category string, last string, page_key string",
     )
     stamped = df.withColumn("last_attempt_at", F.col("last").cast("timestamp")).withColumn("last_error", F.lit("ERROR: x"))
     return tables.conform_schema(stamped, schemas.CATALOG)
@@ -54,10 +54,21 @@ def test_new_pages_only(spark):
     assert plan(spark, [("a", "r1", "h1"), ("b", "r2", "h2")], [], ["b"], []) == [("a", "h1", "added", 0, False)]
 
 
-def test_duplicate_keys_keep_the_smallest_hash_and_null_is_one_key(spark):
-    added = [("a", "r1", "h2"), ("a", "r1", "h1"), ("a", "r0", "h1"), (None, "r3", "h9"), (None, "r4", "h3")]
+def test_duplicate_keys_keep_the_smallest_hash_and_pages_without_a_key_are_kept_by_content(spark):
+    added = [("a", "r1", "h2"), ("a", "r1", "h1"), ("a", "r0", "h1"), *[(None, "r3", "h9")] * 2, (None, "r4", "h3"), (None, "r3", "h8")]
     work = planner.plan_work(keys(spark, *added), keys(spark), success(spark), catalog(spark), at()).collect()
-    assert {(r.page_key, r.record_id, r.content_hash) for r in work} == {("a", "r0", "h1"), (None, "r4", "h3")}
+    assert sorted((str(r.page_key), r.record_id, r.content_hash) for r in work) == [
+        ("None", "r3", "h8"),
+        ("None", "r3", "h9"),
+        ("None", "r4", "h3"),
+        ("a", "r0", "h1"),
+    ]
+
+
+def test_another_page_of_the_same_record_does_not_replace_a_retry(spark):
+    """Pages of a document without page numbers share their record id."""
+    planned = plan(spark, [("b", "d::-1", "h2")], [("a", "d::-1", "h1")], [], [("d::-1", "h1", 1, "TIMEOUT", LONG_AGO)])
+    assert planned == [("a", "h1", "retry", 1, False), ("b", "h2", "added", 0, False)]
 
 
 def test_due_retry_is_planned_with_its_attempts(spark):
@@ -171,12 +182,8 @@ def brute_force(added, previous, done, errors):
                 finished.add((k, r, h))
             else:
                 retries[k] = min(retries.get(k, (h, r)), (h, r))
-    hashes = {}
-    for r, h, _ in fresh.values():
-        hashes.setdefault(r, set()).add(h)
-    retries = {k: (h, r) for k, (h, r) in retries.items() if not hashes.get(r, set()) - {h}}
-    tried = {(r, h) for h, r in retries.values()}
-    work = {k: (h, "added", n) for k, (r, h, n) in fresh.items() if (r, h) not in tried}
+    retries = {k: (h, r) for k, (h, r) in retries.items() if k not in fresh or fresh[k][:2] == (r, h)}
+    work = {k: (h, "added", n) for k, (r, h, n) in fresh.items() if k not in retries}
     for k, (h, r) in retries.items():
         work.setdefault(k, (h, "retry", states[r, h][1]))
     return sorted([(k, h, o, n, False) for k, (h, o, n) in work.items()] + [(k, h, "retry", states[r, h][1], True) for k, r, h in finished])
@@ -208,14 +215,21 @@ def test_plan_against_brute_force(spark, seed):
 
 def merged(spark, old, settled=(), replaced=(), failed=()):
     failures = spark.createDataFrame(
-        list(failed), "record_id string, content_hash string, attempt_count int, error string, error_category string"
+        [(f"p-{f[0]}", *f) for f in failed],
+        "page_key string, record_id string, content_hash string, attempt_count int, error string, error_category string",
+    )
+    pairs = lambda rows: spark.createDataFrame(
+        [(f"p-{r[0]}", *r) if len(r) == 2 else r for r in rows], "page_key string, record_id string, content_hash string"
     )
-    pairs = lambda rows: spark.createDataFrame(list(rows), "record_id string, content_hash string")
     df = C.merge_catalog(catalog(spark, *old), pairs(settled), pairs(replaced), failures, at())
     return sorted((r.record_id, r.content_hash, r.attempt_count, r.error_category) for r in df.collect())
 
 
-OLD = [("r1", "h1", 1, "TIMEOUT", LONG_AGO), ("r2", "h2", 3, "TIMEOUT", LONG_AGO), ("r3", "h3", 2, "TIMEOUT", NOW)]
+OLD = [
+    ("r1", "h1", 1, "TIMEOUT", LONG_AGO, "p-r1"),
+    ("r2", "h2", 3, "TIMEOUT", LONG_AGO, "p-r2"),
+    ("r3", "h3", 2, "TIMEOUT", NOW, "p-r3"),
+]
 
 
 def test_untouched_rows_are_carried_over_waiting_ones_too(spark):
@@ -234,6 +248,10 @@ def test_old_content_leaves_when_new_content_arrives(spark):
     ]
 
 
+def test_content_of_another_page_of_the_record_retires_nothing(spark):
+    assert merged(spark, OLD, replaced=[("other", "r2", "h9")]) == merged(spark, OLD)
+
+
 def test_failures_of_one_content_are_one_row(spark):
     failed = [("r9", "h9", 0, f"ERROR: {i}", "UNKNOWN") for i in range(5)] + [("r9", "h9", 1, "ERROR: z", None)]
     assert merged(spark, [], failed=failed) == [("r9", "h9", 2, "UNKNOWN")]

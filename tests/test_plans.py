@@ -14,8 +14,8 @@ from pageflow.operators import payloads
 from pageflow.operators.dedup import keep_one_per_key
 from pageflow.operators.joins import lookup
 from pageflow.plans import incremental, planner
-from pageflow.plans.chunks import fetch
-from pageflow.settings import DEFAULTS
+from pageflow.plans.chunks import chunk_numbers, fetch, with_chunks
+from pageflow.settings import DEFAULTS, Settings
 from pageflow.sources import testdata as td
 
 PAYLOADS = ("page_payload", "page_image", "payload")
@@ -64,7 +64,7 @@ def test_large_table_is_probed_not_shuffled(spark, pages):
 def test_converting_a_chunk_moves_no_payload_and_calls_python_once(spark, pages):
     part = pages.select("row_file", "row_index").limit(30).withColumns({"attempt_count": F.lit(0), "use_image": F.lit(False)})
     stored = spark.createDataFrame(part.collect(), part.schema)
-    results = incremental._results(fetch(pages, stored, 30), service(spark)[0], at("2024-01-01 10:00:00"), DEFAULTS)
+    results = incremental._results(fetch(pages, stored), service(spark)[0], at("2024-01-01 10:00:00"), DEFAULTS)
     plan = physical(results)
     assert "BroadcastHashJoin" in plan and not exchanges(plan)
     assert len(re.findall(r"(?:ArrowEvalPython|MapInPandas|BatchEvalPython)\b", plan)) == 1
@@ -77,13 +77,46 @@ def test_scan_opens_only_the_chunks_files(spark, pages):
     files = [r.row_file for r in pages.select("row_file").distinct().collect()]
     assert len(files) == 4
     part = pages.where(F.col("row_file") == files[0]).select("row_file", "row_index")
-    wide = fetch(pages, part, part.count())
+    wide = fetch(pages, part)
     assert wide.count() == part.count()
     scans = [s for s in physical(wide).split("FileScan")[1:] if "page_payload" in s]
     assert len(scans) == 1 and files[0] in scans[0] and "file_path" in scans[0].split("DataFilters")[1]
     assert {r.row_file for r in wide.select("row_file").distinct().collect()} == {files[0]}
 
 
+def test_chunks_are_packed_by_counted_size(spark):
+    """More files than any limit: whole files, bounded chunks, and a scan that is always narrowed."""
+    limits = Settings(chunk_rows=100, chunk_files=10)
+    sizes = [3] * 45 + [70, 70, 70] + [250]
+    rows = [(f"f{n:03d}", i) for n, size in enumerate(sizes) for i in range(size)]
+    df = with_chunks(spark.createDataFrame(rows, "row_file string, row_index long"), len(rows), limits)
+    per_chunk, chunks_of = {}, {}
+    for r in df.collect():
+        per_chunk.setdefault(r.chunk, []).append(r.row_file)
+        chunks_of.setdefault((r.row_file, r.row_index // 100), set()).add(r.chunk)
+    assert sum(map(len, per_chunk.values())) == len(rows)
+    assert all(len(c) == 1 for c in chunks_of.values())
+    assert all(len(files) < 200 and len(set(files)) <= 20 for files in per_chunk.values())
+
+
+def test_no_fetch_shuffles_a_payload(spark, pages):
+    """With broadcasts by size off and more files than the limit."""
+    limits = Settings(chunk_rows=8, chunk_files=2)
+    plan = with_chunks(pages.select("row_file", "row_index"), 40, limits)
+    numbers = chunk_numbers(plan)
+    assert len(numbers) > 1
+    stored = spark.createDataFrame(plan.collect(), plan.schema)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = [fetch(pages, stored.where(F.col("chunk") == n).drop("chunk")) for n in numbers]
+        assert sum(p.count() for p in parts) == 40
+        for p in parts:
+            plan = physical(p)
+            assert not exchanges(plan) and "file_path" in plan.split("DataFilters")[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_hot_keys_are_spread_when_a_lookup_shuffles(spark):
     """With broadcasts off: a key with a third of all rows reaches many tasks, and only partial results do."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -126,7 +159,7 @@ def test_fixture_scalars_stay_in_the_jvm(spark):
 def test_generated_code_is_small_enough_to_be_compiled(spark, pages):
     """The JVM interprets methods above 8000 bytes of code for good, however hot they are."""
     part = pages.select("row_file", "row_index").withColumns({"attempt_count": F.lit(0), "use_image": F.lit(False)})
-    results = incremental._results(fetch(pages, part, 40), service(spark)[0], at("2024-01-01 10:00:00"), DEFAULTS)
+    results = incremental._results(fetch(pages, part), service(spark)[0], at("2024-01-01 10:00:00"), DEFAULTS)
     debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:

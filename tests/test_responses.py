@@ -72,8 +72,9 @@ def test_answer(parsed, i):
     assert (row.error is None) if error is None else row.error.startswith(error)
 
 
-def test_http_excerpt_is_cut(parsed):
-    assert all(len(r.error) == len("ERROR: Page API failed 500: ") + 500 for r in parsed.values() if r.status_code == 500)
+def test_http_failure_quotes_the_whole_body(parsed):
+    failed = [i for i, (status, *_) in enumerate(CASES) if status == 500]
+    assert failed and all(parsed[i].error == f"ERROR: Page API failed 500: {CASES[i][1]}" for i in failed)
 
 
 def test_call_error_comes_first(spark):

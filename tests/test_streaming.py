@@ -18,8 +18,8 @@ def arriving(spark, folder, rows, files):
     spark.createDataFrame([r[:-1] for r in rows], schemas.PAGE).repartition(files, "page_key").write.mode("append").parquet(folder)
 
 
-def stream(store, folder, converter, when="2024-01-01 10:00:00", per_batch=1):
-    q = stream_pages(store, folder, flags(store.spark), converter, lambda: at(when), files_per_batch=per_batch)
+def stream(store, folder, converter, when="2024-01-01 10:00:00", per_batch=1, name="pages"):
+    q = stream_pages(store, folder, flags(store.spark), converter, lambda: at(when), files_per_batch=per_batch, name=name)
     q.awaitTermination()
 
 
@@ -76,3 +76,36 @@ def test_batch_that_dies_is_replayed_and_counted_once(spark, tmp_path, monkeypat
     stream(store, folder, converter, "2024-01-01 10:05:00")
     # The staged answers are used: no page is sent twice.
     assert calls.value == 12 and len(successes(store)) == 9 and len(catalog_rows(store)) == 3
+
+
+def test_stream_goes_on_after_a_tripped_breaker(spark, tmp_path):
+    folder = f"{tmp_path}/in"
+    arriving(spark, folder, [page(f"p{i}", f"fail {i}") for i in range(110)], 1)
+    store = PageStore(spark, f"{tmp_path}/store")
+    for _ in range(2):
+        with pytest.raises(Exception, match="110 of 110"):
+            stream(store, folder, service(spark)[0])
+    healthy, calls = service(spark, recover=True)
+    stream(store, folder, healthy)
+    assert len(successes(store)) == calls.value == 110
+
+
+def test_renewed_checkpoint_and_second_folder_lose_nothing(spark, tmp_path):
+    store = PageStore(spark, f"{tmp_path}/store")
+    arriving(spark, f"{tmp_path}/one", [page("a")], 1)
+    stream(store, f"{tmp_path}/one", service(spark)[0])
+    (tmp_path / "store/stream/pages").rename(tmp_path / "old-checkpoint")
+    arriving(spark, f"{tmp_path}/two", [page("b")], 1)
+    stream(store, f"{tmp_path}/two", service(spark)[0])
+    arriving(spark, f"{tmp_path}/three", [page("c")], 1)
+    stream(store, f"{tmp_path}/three", service(spark)[0], name="third")
+    assert [r[0] for r in successes(store)] == ["a", "b", "c"]
+
+
+def test_streams_do_not_take_the_ingest_mark_back(spark, tmp_path):
+    store = PageStore(spark, f"{tmp_path}/store")
+    pages = write_pages(spark, f"{tmp_path}/pages", page("a", ingest=7))
+    run_batch(store, pages, pages, flags(spark), service(spark)[0], at("2024-01-01 10:00:00"), "r1", 7)
+    arriving(spark, f"{tmp_path}/in", [page("b")], 1)
+    stream(store, f"{tmp_path}/in", service(spark)[0])
+    assert store.head().last_ingest_id == 7 and len(successes(store)) == 2
