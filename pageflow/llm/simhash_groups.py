@@ -8,7 +8,7 @@ shares a Golay codeword index (at most one bit apart). At a similarity of 0.8 a
 
 Texts alike but for case and white space are one node. Buckets stream through tasks in order. In a bucket of up to
 ``SMALL_BUCKET`` nodes all pairs are candidates. In a larger one each node is compared with the bucket's most central
-node and with its nearest nodes, block by block, a block's centre being carried on; candidates grow with the number
+node and with its nearest one, block by block, a block's centre being carried on; candidates grow with the number
 of nodes, and a group of near copies meets in very many buckets. All candidates are verified on whole shingle sets,
 so groups are never too wide.
 
@@ -34,9 +34,8 @@ from pageflow.llm.simhash import SEED, SEGMENTS, shingle_hashes, words_of
 SHINGLE = 5
 SIMILARITY = 0.8
 PRINTS = 8
-SMALL_BUCKET = 12
+SMALL_BUCKET = 4
 BLOCK = 2048  # nodes of a bucket that are compared with each other at once
-NEAREST = 2
 
 
 def _spread(hashes: np.ndarray, number: int) -> np.ndarray:
@@ -83,20 +82,27 @@ def print_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def block_pairs(nodes: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Candidate pairs among the nodes of a block, and the place of its centre."""
-    n = len(nodes)
-    raw = prints.astype("<i8").view(np.uint8).reshape(-1, 8)
-    middle = np.packbits(np.unpackbits(raw, axis=1, bitorder="little").sum(axis=0, dtype=np.int64) * 2 > n, bitorder="little").view("<i8")[0]
-    centre = int(np.argmin(np.bitwise_count((prints ^ middle).view(np.uint64))))
+    """Candidate pairs among the nodes of a block, and the place of its centre.
+
+    Nodes with one fingerprint are compared with the first of them, which alone meets other fingerprints. Of
+    equally near ones the first is taken, in all buckets: the same pair is then found again, not another one.
+    """
+    distinct, first, group = np.unique(prints, return_index=True, return_inverse=True)
+    raw = distinct.astype("<i8").view(np.uint8).reshape(-1, 8)
+    held = np.unpackbits(raw, axis=1, bitorder="little").sum(axis=0, dtype=np.int64) * 2 > len(distinct)
+    middle = np.packbits(held, bitorder="little").view("<i8")[0]
+    centre = int(first[np.argmin(np.bitwise_count((distinct ^ middle).view(np.uint64)))])
+    order = np.sort(first)
+    n = len(order)
     if n <= SMALL_BUCKET:
         a, b = np.triu_indices(n, 1)
-        return nodes[a], nodes[b], centre
-    apart = np.bitwise_count((prints[:, None] ^ prints).view(np.uint64)).astype(np.uint8)
-    np.fill_diagonal(apart, 255)
-    near = np.argpartition(apart, NEAREST, axis=1)[:, :NEAREST]
-    a = np.concatenate([np.repeat(np.arange(n), NEAREST), np.arange(n)])
-    b = np.concatenate([near.ravel(), np.full(n, centre)])
-    return nodes[a], nodes[b], centre
+        a, b = order[a], order[b]
+    else:
+        own = prints[order]
+        apart = np.bitwise_count((own[:, None] ^ own).view(np.uint64)).astype(np.uint8)
+        np.fill_diagonal(apart, 255)
+        a, b = np.tile(order, 2), np.concatenate([order[np.argmin(apart, axis=1)], np.full(n, centre)])
+    return nodes[np.concatenate([np.arange(len(nodes)), a])], nodes[np.concatenate([first[group], b])], centre
 
 
 def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,14 +179,14 @@ def similar_groups(
     pairs = met.distinct().join(ids.toDF("a", "na"), "a").join(ids.toDF("b", "nb"), "b").where("na <> nb")
     pairs = staged(pairs.select(F.greatest("na", "nb").alias("a"), F.least("na", "nb").alias("b")).distinct(), f"{work}/pairs")
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{work}/wanted")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.unique(shingle_hashes(words_of(t), shingle)).view(np.int64) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["node"], pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    sets = staged(numbered.join(wanted, "node", "left_semi").mapInArrow(shingled, "node long, shingles array<long>"), f"{work}/sets")
+    sets = staged(numbered.join(bounded(wanted, wanted.count() * 40), "node", "left_semi").mapInArrow(shingled, "node long, shingles array<long>"), f"{work}/sets")
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     alike = F.size("sa") + F.size("sb") - common
