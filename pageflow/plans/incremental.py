@@ -164,7 +164,7 @@ def _write_plan(
 
     store.write(page_keys(added), "keys", version)
     added_keys = store.read("keys", version, schemas.PAGE_KEYS)
-    success = store.successes(head)
+    success = store.success_keys(head)
     states = catalog_states(store.catalog(head), as_of, settings)
     due = states.where(F.col("state") == DUE).drop("state")
     added_rows, due_rows = added_keys.count(), due.count()

@@ -11,6 +11,8 @@ Layout below the root::
     catalog/run=V       error catalog as of the run
     metrics/run=V       one row
     report/run=V        failures by category
+    snapshot_keys/run=N, snapshot_successes/run=N   keys of all runs up to number N, for planning
+    snapshots/run=all/... numbers of finished snapshots
     manifest            one row per committed run, naming its version V
 
 A run is tried in attempts; its version V is the run id and, from the second attempt on, the attempt's number.
@@ -21,7 +23,8 @@ and is started again under its id goes on with what its attempt has finished.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -35,6 +38,8 @@ from pageflow.sources.tables import read_or_empty
 
 PROGRESS = schemas.schema("chunk int, last_ingest_id bigint")
 VERSION = T.StructField("run", T.StringType())
+TEMPORARY = ("plan", "progress", "steps/*")
+PER_RUN = ("keys", "plan", "results", "progress", "catalog", "metrics", "report")
 HISTORY = "history"
 
 
@@ -79,7 +84,7 @@ class PageStore:
         )
 
     def _committed(self, table: str, schema: T.StructType, head: Head) -> DataFrame:
-        if not head.runs:
+        if not head.versions:
             return empty(self.spark, schema)
         return self._reader(schema).parquet(*[self.path(table, v) for v in head.versions])
 
@@ -90,7 +95,46 @@ class PageStore:
 
     def known_keys(self, head: Head) -> DataFrame:
         """Slim keys of every page seen by committed runs."""
-        return self._committed("keys", schemas.PAGE_KEYS, head)
+        return self._since_snapshot("snapshot_keys", schemas.PAGE_KEYS, head, lambda h: self._committed("keys", schemas.PAGE_KEYS, h))
+
+    def success_keys(self, head: Head) -> DataFrame:
+        """Page keys of all successes: what planning needs of the success table."""
+        keys = schemas.SUCCESS_KEYS
+        return self._since_snapshot("snapshot_successes", keys, head, lambda h: self.successes(h).select("page_key"))
+
+    def _since_snapshot(self, table: str, schema: T.StructType, head: Head, of_runs: Callable[[Head], DataFrame]) -> DataFrame:
+        """The newest snapshot and the runs after it, so that a scan names few paths however many runs there were."""
+        done = [n for n in self._marks("snapshots", "all") if n <= head.seq]
+        if not done:
+            return of_runs(head)
+        newest = max(done)
+        later = replace(head, versions=head.versions[newest + 1 :])
+        stored = self.read(table, str(newest), schema)
+        return stored.unionByName(of_runs(later)) if later.versions else stored
+
+    def take_snapshot(self) -> None:
+        """Fold the keys of all committed runs into one table each. Worth it every some hundred runs."""
+        head = self.head()
+        if head.seq >= 0 and head.seq not in self._marks("snapshots", "all"):
+            self.write(self.known_keys(head), "snapshot_keys", str(head.seq))
+            self.write(self.success_keys(head).distinct(), "snapshot_successes", str(head.seq))
+            self._mark("snapshots", "all", head.seq, 0)
+
+    def clean_up(self) -> list[str]:
+        """Delete what only a running or broken run needs: plans, steps and progress of committed runs, and every
+        table of attempts that were never committed. Call it while no run is under way. Returns the folders.
+        """
+        committed = set(self.head().versions)
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        files = path(self.root).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        gone = []
+        for pattern in (*PER_RUN, "steps/*"):
+            for status in files.globStatus(path(f"{self.root}/{pattern}/run=*")) or []:
+                version = status.getPath().getName().removeprefix("run=")
+                if version not in committed or pattern in TEMPORARY:
+                    files.delete(status.getPath(), True)
+                    gone.append(str(status.getPath()))
+        return gone
 
     def catalog(self, head: Head | None = None) -> DataFrame:
         head = head or self.head()

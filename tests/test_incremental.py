@@ -210,6 +210,40 @@ def test_second_of_two_overlapping_runs_is_not_committed(spark, tmp_path, monkey
     assert store.head().runs == ("fast", "slow") and store.successes().count() == 2
 
 
+def test_snapshots_stand_for_the_runs_before_them(spark, tmp_path):
+    store, folder = PageStore(spark, f"{tmp_path}/store"), f"{tmp_path}/pages"
+    pages = write_pages(spark, folder, page("a"), page("b", "fail b"))
+    run(store, pages, 1, service(spark)[0], "2024-01-01 10:00:00", "r1")
+    store.take_snapshot()
+    before = store.head()
+    store.take_snapshot()
+    pages = write_pages(spark, folder, page("a", ingest=2), page("c", ingest=2))
+    converter, calls = service(spark, recover=True)
+    m = run(store, pages, 2, converter, "2024-01-01 11:00:00", "r2")
+    assert (m.added_count, m.retry_count, m.success_count, calls.value) == (1, 1, 2, 2)
+    assert [r.page_key for r in store.success_keys(before).collect()] == ["a"]
+    assert sorted(r.page_key for r in store.success_keys(store.head()).collect()) == ["a", "b", "c"]
+    assert store.known_keys(store.head()).count() == 4
+
+
+def test_clean_up_keeps_what_is_committed(spark, tmp_path, monkeypatch):
+    store = PageStore(spark, f"{tmp_path}/store")
+    pages = write_pages(spark, f"{tmp_path}/pages", page("a"), page("b", "fail b"))
+    run(store, pages, 1, service(spark)[0], "2024-01-01 10:00:00", "r1")
+
+    def die(self, *args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(PageStore, "commit", die)
+        with pytest.raises(KeyboardInterrupt):
+            run(store, pages, 1, service(spark, recover=True)[0], "2024-01-01 11:00:00", "r2")
+    gone = store.clean_up()
+    assert any("results/run=r2" in g for g in gone) and not any("results/run=r1" in g for g in gone)
+    assert store.successes().count() == 1 and store.metrics().count() == 1 and len(catalog_rows(store)) == 1
+    assert run(store, pages, 1, service(spark, recover=True)[0], "2024-01-01 11:00:00", "r2").success_count == 1
+
+
 def test_report_by_category(spark, tmp_path):
     store, _ = failing_once(spark, tmp_path)
     assert [tuple(r) for r in store.report().collect()] == [("r1", "SERVER_ERROR", 2, 1.0, 0, 0)]
