@@ -11,6 +11,9 @@ from pageflow.settings import DEFAULTS
 
 _SALT = "_salt"
 
+# Entries that are broadcast as they are: at some hundred bytes each, tens of megabytes.
+PLAIN_ROWS = 100_000
+
 
 def lookup(
     rows: DataFrame,
@@ -19,18 +22,26 @@ def lookup(
     spread_by: Sequence[str],
     how: str = "left",
     buckets: int = DEFAULTS.lookup_buckets,
+    plain_rows: int = PLAIN_ROWS,
 ) -> DataFrame:
     """Join ``rows`` to ``entries`` that are unique on ``keys``, however the keys of ``rows`` are spread.
 
-    Should the join shuffle, each key of ``rows`` is spread over ``buckets`` tasks by ``spread_by``
-    (columns that differ between the rows of one key), and every entry is sent to all of them. A small
-    ``entries`` is still broadcast, by Spark's own size check. Null keys match nothing.
+    Up to ``plain_rows`` entries (they are counted, no further than that) are broadcast. More are shuffled: each
+    key of ``rows`` is spread over ``buckets`` tasks by ``spread_by`` (columns that differ between the rows of one
+    key), and every entry is sent to all of them. Spark takes the copies for as small as the originals, so they
+    are kept from being broadcast. Null keys match nothing.
     """
+    if entries.limit(plain_rows + 1).count() <= plain_rows:
+        return rows.join(F.broadcast(entries), list(keys), how).select(*_columns(rows, entries, keys, how))
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(buckets)).cast("int")
     salts = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))
     return (
         rows.withColumn(_SALT, salt)
-        .join(entries.withColumn(_SALT, salts), [*keys, _SALT], how)
-        .select(*rows.columns, *([] if how in ("left_anti", "left_semi") else
-                                 [c for c in entries.columns if c not in keys]))
+        .join(entries.withColumn(_SALT, salts).hint("merge"), [*keys, _SALT], how)
+        .select(*_columns(rows, entries, keys, how))
     )
+
+
+def _columns(rows: DataFrame, entries: DataFrame, keys: Sequence[str], how: str) -> list[str]:
+    added = [] if how in ("left_anti", "left_semi") else [c for c in entries.columns if c not in keys]
+    return [*rows.columns, *added]

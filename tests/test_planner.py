@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from itertools import product
 
 import pytest
 from pyspark.sql import functions as F
@@ -264,8 +265,8 @@ def test_lookup_equals_a_plain_join_when_one_key_holds_most_rows(spark):
     rows = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"))
     rows = rows.unionByName(spark.range(5).select(F.col("id"), F.lit(None).cast("long").alias("k")))
     entries = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    for how in ("left", "inner", "left_anti"):
-        got = lookup(rows, entries, ["k"], ["id"], how)
+    for how, plain_rows in product(("left", "inner", "left_anti"), (0, 1000)):
+        got = lookup(rows, entries, ["k"], ["id"], how, plain_rows=plain_rows)
         want = rows.join(entries, "k", how).select(got.columns)
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 

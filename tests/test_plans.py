@@ -125,7 +125,7 @@ def test_hot_keys_are_spread_when_a_lookup_shuffles(spark):
     try:
         rows = spark.range(48_000).select("id", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
         entries = spark.range(-1, 1000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-        joined = lookup(rows, entries, ["k"], ["id"])
+        joined = lookup(rows, entries, ["k"], ["id"], plain_rows=0)
         sizes = joined.where("k = -1").groupBy(F.spark_partition_id().alias("p")).count().collect()
         assert sum(r["count"] for r in sizes) == 16_000
         assert len(sizes) >= 8 and max(r["count"] for r in sizes) <= 16_000 / 4
@@ -135,6 +135,13 @@ def test_hot_keys_are_spread_when_a_lookup_shuffles(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_many_entries_are_not_broadcast_as_copies(spark):
+    rows, entries = spark.range(100).toDF("k"), spark.range(200).toDF("k").withColumn("v", F.lit(1))
+    assert "BroadcastHashJoin" in physical(lookup(rows, entries, ["k"], ["k"]))
+    plan = physical(lookup(rows, entries, ["k"], ["k"], plain_rows=100))
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
 def test_filter_on_the_outcome_does_not_parse_twice(spark):
     df = spark.createDataFrame([(200, '{"value": "x"}', "Page")], "status_code int, body string, mode string")
     plan = physical(parse_responses(df).where("error is null"))
