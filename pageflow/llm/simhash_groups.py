@@ -172,12 +172,12 @@ def similar_groups(
                 row, keys, held = print_keys(found[at : at + 1024])
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(own[at : at + 1024][row]), pa.array(held)], ["key", "node", "print"])
 
+    ids = staged(rows.select("row", "digest").join(nodes.select("digest", "node"), "digest").select("row", "node"), f"{work}/ids")
+    copies = ids.where("row <> node").select(F.col("row").alias("node"))
+    numbered = numbered.join(bounded(copies, copies.count() * 40), "node", "left_anti")
     keys = numbered.mapInArrow(keyed, "key long, node long, print long")
     met = keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_bucket_pairs, "a long, b long")
-    ids = rows.select("row", "digest").join(nodes.select("digest", "node"), "digest").select("row", "node")
-    ids = staged(ids, f"{work}/ids")
-    pairs = met.distinct().join(ids.toDF("a", "na"), "a").join(ids.toDF("b", "nb"), "b").where("na <> nb")
-    pairs = staged(pairs.select(F.greatest("na", "nb").alias("a"), F.least("na", "nb").alias("b")).distinct(), f"{work}/pairs")
+    pairs = staged(met.distinct(), f"{work}/pairs")
 
     wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{work}/wanted")
 
