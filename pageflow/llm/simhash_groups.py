@@ -3,14 +3,17 @@
 Two documents are similar if their sets of five-word shingles have a Jaccard similarity of 0.8 or more. One changed
 word costs five shingles but one word, so candidates come from fingerprints over the set of words: ``PRINTS``
 independent ones of 64 bits. Documents meet in a bucket if, in one fingerprint, a segment is equal and the next one
-shares a Golay codeword index (at most one bit apart). At a similarity of 0.8 a pair meets with probability 0.92, at
-0.85 with 0.97, at 0.9 with 0.999 (measured figures: README).
+shares a Golay codeword index (at most one bit apart).
 
 Texts alike but for case and white space are one node. Buckets stream through tasks in order. In a bucket of up to
-``SMALL_BUCKET`` nodes all pairs are candidates. In a larger one each node is compared with the bucket's most central
-node and with its nearest one, block by block, a block's centre being carried on; candidates grow with the number
-of nodes, and a group of near copies meets in very many buckets. All candidates are verified on whole shingle sets,
-so groups are never too wide.
+``SMALL_BUCKET`` different fingerprints all of them are compared. In a larger one each node is compared with the
+bucket's most central node and with its nearest one, block by block, a block's centre being carried on; nodes with
+one fingerprint are compared with the first of them. That connects most of a large group with few candidates, and is
+not the whole answer: chance, and what these comparisons leave out, cost links.
+
+The second pass is complete. The prefix filter (``prefix_join``) over the shingle sets finds every pair of the
+similarity or more that the first pass has not connected. All candidates are verified on whole shingle sets, so
+groups are neither too wide nor too narrow.
 
 Rules: as in ``simhash``; texts with fewer than five words are one shingle, texts without words are one node.
 """
@@ -26,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageflow.llm import golay
+from pageflow.llm import golay, prefix_join
 from pageflow.llm.common import bounded, staged, whole_text
 from pageflow.llm.components import components
 from pageflow.llm.simhash import SEED, SEGMENTS, shingle_hashes, words_of
@@ -36,6 +39,8 @@ SIMILARITY = 0.8
 PRINTS = 8
 SMALL_BUCKET = 4
 BLOCK = 2048  # nodes of a bucket that are compared with each other at once
+ORDER_NODES = 4096  # whose shingles are counted, about, for the order of the prefix filter
+ORDER_SHINGLES = 1 << 18  # most frequent ones that are told apart from rare ones
 
 
 def _spread(hashes: np.ndarray, number: int) -> np.ndarray:
@@ -139,6 +144,59 @@ def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield compared(False)
 
 
+def _shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """``node, shingles``: the distinct shingles of each ``node, text``."""
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(words_of(t), shingle)).view(np.int64) for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["node"], pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    return texts.select("node", "text").mapInArrow(shingled, "node long, shingles array<long>")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, folder: str, similarity: float, shingle: int) -> DataFrame:
+    """The ``pairs`` (``a, b``) of the similarity or more."""
+    wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{folder}-wanted")
+    sets = staged(_shingle_sets(texts.join(bounded(wanted, wanted.count() * 40), "node", "left_semi"), shingle), f"{folder}-sets")
+    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    alike = F.size("sa") + F.size("sb") - common
+    return both.where((common >= F.lit(similarity) * alike) | (alike == 0)).select("a", "b")
+
+
+def _unconnected_pairs(texts: DataFrame, roots: DataFrame, work: str, similarity: float, shingle: int) -> DataFrame:
+    """Candidates ``a, b`` by the prefix filter: all pairs of the similarity or more, but for those under one root."""
+    sample = texts.where(F.pmod(F.xxhash64("node"), F.lit(max(1, texts.count() // ORDER_NODES))) == 0)
+    counted = _shingle_sets(sample, shingle).select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"))
+    often = counted.where("n > 1").orderBy(F.desc("n"), "shingle").limit(ORDER_SHINGLES).collect()
+    frequent = np.array([(r["shingle"], r["n"]) for r in often], np.int64).reshape(-1, 2)
+    common, counts = frequent[:, 0].astype(np.uint64), frequent[:, 1]
+    at = np.argsort(common)
+    shared = texts.sparkSession.sparkContext.broadcast((common[at], counts[at]))
+
+    def prefixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, counts = shared.value
+        for batch in batches:
+            found = []
+            for node, root, text in zip(batch["node"].to_pylist(), batch["root"].to_pylist(), batch["text"].to_pylist()):
+                members = np.unique(shingle_hashes(words_of(text), shingle))
+                n = prefix_join.prefix_length(len(members), similarity)
+                keys = prefix_join.ordered(members, common, counts)[:n].view(np.int64)
+                found.append((keys, np.full(n, node), np.full(n, len(members), np.int32), np.arange(n, dtype=np.int32), np.full(n, root)))
+            if found:
+                columns = [pa.array(np.concatenate(c)) for c in zip(*found)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "node", "size", "pos", "root"])
+
+    rooted = texts.join(bounded(roots, roots.count() * 40), "node", "left").select("node", F.coalesce("root", "node").alias("root"), "text")
+    keys = rooted.mapInArrow(prefixed, "key long, node long, size int, pos int, root long")
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return prefix_join.pairs_of_sorted(batches, similarity)
+
+    return keys.repartition("key").sortWithinPartitions("key").mapInArrow(met, "a long, b long").distinct()
+
+
 def similar_groups(
     docs: DataFrame,
     work: str,
@@ -150,7 +208,7 @@ def similar_groups(
 ) -> DataFrame:
     """``row, id, group_row, group_id``: the group's row with the smallest id (null last, then row) stands for it.
 
-    ``row`` numbers ``docs`` as read (a stored table). ``work``: a shared folder.
+    ``row`` numbers ``docs`` (a stored table). ``work``: a shared folder.
     """
     text = F.lower(F.trim(F.regexp_replace(whole_text(text_col), r"[\x20\x09-\x0D]+", " ")))
     rows = staged(
@@ -179,19 +237,13 @@ def similar_groups(
     met = keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_bucket_pairs, "a long, b long")
     pairs = staged(met.distinct(), f"{work}/pairs")
 
-    wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{work}/wanted")
-
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(words_of(t), shingle)).view(np.int64) for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["node"], pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
-
-    sets = staged(numbered.join(bounded(wanted, wanted.count() * 40), "node", "left_semi").mapInArrow(shingled, "node long, shingles array<long>"), f"{work}/sets")
-    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    alike = F.size("sa") + F.size("sb") - common
-    links = both.where((common >= F.lit(similarity) * alike) | (alike == 0)).select("a", "b")
-    roots = staged(components(links, f"{work}/components"), f"{work}/roots")
+    links = staged(_verified(pairs, numbered, f"{work}/near", similarity, shingle), f"{work}/near-links")
+    roots = staged(components(links, f"{work}/components"), f"{work}/near-roots")
+    rest = staged(_unconnected_pairs(numbered, roots, work, similarity, shingle), f"{work}/rest")
+    more = staged(_verified(rest, numbered, f"{work}/rest", similarity, shingle), f"{work}/rest-links")
+    # Stars of the first pass stand for its links.
+    stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = staged(components(stars.unionByName(more), f"{work}/all-components"), f"{work}/roots")
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = rooted.groupBy("root").agg(F.min("first").alias("first"))
     member = staged(rooted.select("node", "root").join(groups, "root").select("node", "first"), f"{work}/groups")

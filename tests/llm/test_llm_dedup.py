@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from llm_cases import ODD
 from pyspark.sql import functions as F
 
-from pageflow.llm import exact_dedup, golay, line_dedup, simhash, simhash_groups
+from pageflow.llm import exact_dedup, golay, line_dedup, prefix_join, simhash, simhash_groups
 from pageflow.llm.components import components
 
 WS = re.compile(r"[\x20\x09-\x0D]+")
@@ -210,3 +212,48 @@ def test_one_document_of_each_group_stays(spark, make_docs, work):
     assert left.columns == docs.columns
     assert sorted(r.doc_id for r in left.where(F.col("doc_id").isNotNull()).collect()) == [1, 4, 6, 8, 9]
     assert left.where(F.col("doc_id").isNull()).count() == 1
+
+
+def grouped(make_docs, work, texts):
+    got = simhash_groups.similar_groups(make_docs(list(enumerate(texts))), work()).collect()
+    return {r.id: r.group_id for r in got}
+
+
+def groups_brute(texts):
+    root = list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            if root[a] != root[b] and similarity(texts[a], texts[b]) >= 0.8:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    return dict(enumerate(root))
+
+
+def test_no_link_is_lost_in_large_buckets(spark, make_docs, work):
+    # Texts over one set of words meet in all buckets: groups of copies that differ in order, and many decoys between.
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(60)]
+    texts = []
+    for _ in range(12):
+        base = rng.sample(words, 60)
+        for cut in (0, 1, 2, 3):
+            texts.append(" ".join(base[: 60 - cut] + base[60 - cut :][::-1]))
+    rng.shuffle(texts)
+    assert grouped(make_docs, work, texts) == groups_brute(texts)
+
+
+def test_no_pair_of_a_bucket_is_left_out():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 63, 40).astype(np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(base, 38, replace=False), rng.integers(0, 1 << 63, 1).astype(np.uint64)])) for _ in range(150)]
+    rows = []
+    for node, members in enumerate(sets):
+        n = prefix_join.prefix_length(len(members), 0.8)
+        keys = prefix_join.ordered(members, np.sort(base), np.full(len(base), 3))[:n]
+        rows += [(int(k.view(np.int64)), node, len(members), at, node % 7) for at, k in enumerate(keys)]
+    rows.sort()
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + 50])], ["key", "node", "size", "pos", "root"]) for i in range(0, len(rows), 50)]
+    met = {(a, b) for batch in prefix_join.pairs_of_sorted(iter(batches), 0.8) for a, b in zip(*(c.to_pylist() for c in batch.columns))}
+    alike = {(a, b) for a in range(150) for b in range(a) if a % 7 != b % 7 and len(np.intersect1d(sets[a], sets[b])) >= 0.8 * len(np.union1d(sets[a], sets[b]))}
+    assert alike and alike <= met
+    assert all(a % 7 != b % 7 for a, b in met)
