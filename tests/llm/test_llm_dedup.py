@@ -257,3 +257,14 @@ def test_no_pair_of_a_bucket_is_left_out():
     alike = {(a, b) for a in range(150) for b in range(a) if a % 7 != b % 7 and len(np.intersect1d(sets[a], sets[b])) >= 0.8 * len(np.union1d(sets[a], sets[b]))}
     assert alike and alike <= met
     assert all(a % 7 != b % 7 for a, b in met)
+
+def test_texts_of_one_fingerprint_meet_each_other(spark, make_docs, work):
+    rng = random.Random(9)
+    sentences = [" ".join(f"s{i}w{j}" for j in range(12)) for i in range(20)]
+    swapped = sentences[:]
+    swapped[3], swapped[4] = swapped[4], swapped[3]
+    first = " ".join(sentences).split()
+    rng.shuffle(first)
+    texts = [" ".join(first), " ".join(sentences), " ".join(swapped)]
+    assert similarity(texts[1], texts[2]) > 0.8
+    assert grouped(make_docs, work, texts) == {0: 0, 1: 1, 2: 1}
