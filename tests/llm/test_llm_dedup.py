@@ -268,3 +268,16 @@ def test_texts_of_one_fingerprint_meet_each_other(spark, make_docs, work):
     texts = [" ".join(first), " ".join(sentences), " ".join(swapped)]
     assert similarity(texts[1], texts[2]) > 0.8
     assert grouped(make_docs, work, texts) == {0: 0, 1: 1, 2: 1}
+
+@pytest.mark.parametrize("cut", [0.8, 0.85, 0.9])
+def test_block_edits(spark, make_docs, work, cut):
+    rng = random.Random(int(100 * cut))
+    texts = []
+    for g in range(25):
+        base = [f"g{g}w{rng.randrange(100_000)}" for _ in range(204)]
+        kept = 4 + math.ceil(cut * 200)
+        added = [f"n{g}w{i}" for i in range(math.floor(200 / cut) - 200)]
+        texts += [" ".join(base), " ".join(base[:kept]) if g % 2 else " ".join(base + added)]
+    got = grouped(make_docs, work, texts)
+    assert all(cut <= similarity(*texts[2 * g : 2 * g + 2]) < cut + 0.02 for g in range(25))
+    assert all(got[2 * g + 1] == got[2 * g] == 2 * g for g in range(25))
