@@ -12,6 +12,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 # A side of a join is broadcast only when its proven size is at most this.
 BROADCAST_BYTES = 64 << 20
 
+FILE_ROW_BITS = 38  # of a row's number: rows of a file
+
 
 def staged(df: DataFrame, folder: str) -> DataFrame:
     """Write ``df`` below the shared work folder and read it back, so that no later step repeats its work."""
@@ -27,3 +29,15 @@ def whole_text(column: Column | str) -> Column:
 def bounded(df: DataFrame, size_bytes: int) -> DataFrame:
     """``df`` marked for broadcast if its proven size allows it, else as it is: Spark then picks the join."""
     return F.broadcast(df) if size_bytes <= BROADCAST_BYTES else df
+
+
+def numbered(docs: DataFrame, *columns: Column, name: str = "row") -> DataFrame:
+    """``columns`` of ``docs`` (a stored table) and the row's number: the place of its file by name, then that in the file.
+
+    The number comes from the data, so a later job finds the same one however the scan is split.
+    """
+    paths = sorted(r[0] for r in docs.select(F.col("_metadata.file_path")).distinct().collect())
+    files = docs.sparkSession.createDataFrame([(p, n << FILE_ROW_BITS) for n, p in enumerate(paths)], "_file string, _first long")
+    placed = docs.select(*columns, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    joined = placed.join(F.broadcast(files), "_file")
+    return joined.withColumn(name, F.col("_first") + F.col("_at")).drop("_file", "_first", "_at")

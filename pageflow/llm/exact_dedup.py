@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageflow.llm.common import SPACE, bounded, staged, whole_text
+from pageflow.llm.common import SPACE, bounded, numbered, staged, whole_text
 
 BITS_PER_ROW = 16
 PROBES = 2
@@ -98,10 +98,10 @@ def mark_copies(docs: DataFrame, work: str, id_col: str = "doc_id", text_col: st
 
 
 def drop_copies(docs: DataFrame, work: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the copies. Rows without a copy are not shuffled; of the others only keys are."""
-    rows = docs.select(
+    """``docs`` (a stored table) without the copies. Rows without a copy are not shuffled; of the others only keys are."""
+    rows = numbered(
+        docs,
         F.struct("*").alias("doc"),
-        F.monotonically_increasing_id().alias("row"),
         F.col(id_col).alias("id"),
         F.length(whole_text(text_col)).cast("long").alias("size"),
         text_digest(text_col).alias("digest"),

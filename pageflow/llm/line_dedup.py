@@ -9,7 +9,7 @@ A line that goes always has an earlier line like it, and the first of those stay
 Rules
 * Lines are cut at ``\\n`` only; a window is the exact text of ``WINDOW`` lines, so texts with fewer lines keep all.
   Windows without a letter or digit count like others.
-* Order of occurrences: id (null last), then the rows as read, then position.
+* Order of occurrences: id (null last), then the rows as stored (file by name, place in it), then position.
 * Null text: no lines, stays null. Repeated ids are different rows. Other columns are kept as they are; names may
   clash. An empty table gives an empty table.
 * Keys are 128-bit hashes. Counts are combined on the map side and the join on keys can be split, so a line that
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageflow.llm.common import bounded, staged
+from pageflow.llm.common import bounded, numbered, staged
 
 WINDOW = 3
 ROW_BYTES = 120  # a broadcast row of intervals, without the intervals
@@ -71,11 +71,9 @@ def _kept_lines(lines: Column, gone: Column) -> Column:
 def dedup_lines(docs: DataFrame, work: str, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc`` (the input row as a struct), ``text`` without repeated passages, ``n_lines``, ``n_removed``, ``gone``.
 
-    Nothing but keys and positions is shuffled unless the intervals outgrow a broadcast.
+    ``docs`` is a stored table. Nothing but keys and positions is shuffled unless the intervals outgrow a broadcast.
     """
-    whole = docs.select(
-        F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")
-    )
+    whole = numbered(docs, F.struct("*").alias("doc"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     found = staged(windows(whole.select("row", "id", "text"), window), f"{work}/windows")
     gone = staged(merged_intervals(later_occurrences(found, work), window), f"{work}/intervals")
     size = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()

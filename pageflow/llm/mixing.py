@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageflow.llm.common import WORD, staged, whole_text
+from pageflow.llm.common import WORD, numbered, staged, whole_text
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -162,11 +162,11 @@ def _slots(budgets: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, work: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> Mix:
-    """Plan the mix of all ``docs``; ``row`` numbers them as ``monotonically_increasing_id`` does. ``work``: a shared folder."""
+    """Plan the mix of all ``docs``; a stored table; ``row`` is that of ``numbered``. ``work``: a shared folder."""
     text = whole_text(text_col)
     slim = staged(
-        docs.select(
-            F.monotonically_increasing_id().alias("row"),
+        numbered(
+            docs,
             F.col(id_col).alias("id"),
             F.col(source_col).cast("string").alias("src"),
             F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
@@ -198,7 +198,7 @@ def mixed_texts(docs: DataFrame, mixed: Mix, text_col: str = "text") -> DataFram
     space behind them.
     """
     runs = mixed.uses.groupBy("row", "turn").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("runs"), F.sum(F.col("last") - F.col("first")).alias("taken"))
-    whole = docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("whole"))
+    whole = numbered(docs, F.struct("*").alias("doc"), F.col(text_col).alias("whole"))
     sizes = mixed.rows.select("row", "size")
     joined = whole.join(runs.join(sizes, "row"), "row")
     words = F.regexp_extract_all("whole", F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), F.lit(0))

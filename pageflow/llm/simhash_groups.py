@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageflow.llm import golay, prefix_join
-from pageflow.llm.common import bounded, staged, whole_text
+from pageflow.llm.common import bounded, numbered, staged, whole_text
 from pageflow.llm.components import components
 from pageflow.llm.simhash import SEED, SEGMENTS, shingle_hashes, words_of
 
@@ -212,15 +212,13 @@ def similar_groups(
     """
     text = F.lower(F.trim(F.regexp_replace(whole_text(text_col), r"[\x20\x09-\x0D]+", " ")))
     rows = staged(
-        docs.select(
-            F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("digest")
-        ),
+        numbered(docs, F.col(id_col).alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("digest")),
         f"{work}/rows",
     )
     first = F.min(F.struct(F.col("id").isNull(), "id", "row"))
     nodes = staged(rows.groupBy("digest").agg(F.min("row").alias("node"), first.alias("first")), f"{work}/nodes")
 
-    numbered = docs.select(F.monotonically_increasing_id().alias("node"), whole_text(text_col).alias("text"))
+    texts = numbered(docs, whole_text(text_col).alias("text"), name="node")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,15 +230,15 @@ def similar_groups(
 
     ids = staged(rows.select("row", "digest").join(nodes.select("digest", "node"), "digest").select("row", "node"), f"{work}/ids")
     copies = ids.where("row <> node").select(F.col("row").alias("node"))
-    numbered = numbered.join(bounded(copies, copies.count() * 40), "node", "left_anti")
-    keys = numbered.mapInArrow(keyed, "key long, node long, print long")
+    texts = texts.join(bounded(copies, copies.count() * 40), "node", "left_anti")
+    keys = texts.mapInArrow(keyed, "key long, node long, print long")
     met = keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_bucket_pairs, "a long, b long")
     pairs = staged(met.distinct(), f"{work}/pairs")
 
-    links = staged(_verified(pairs, numbered, f"{work}/near", similarity, shingle), f"{work}/near-links")
+    links = staged(_verified(pairs, texts, f"{work}/near", similarity, shingle), f"{work}/near-links")
     roots = staged(components(links, f"{work}/components"), f"{work}/near-roots")
-    rest = staged(_unconnected_pairs(numbered, roots, work, similarity, shingle), f"{work}/rest")
-    more = staged(_verified(rest, numbered, f"{work}/rest", similarity, shingle), f"{work}/rest-links")
+    rest = staged(_unconnected_pairs(texts, roots, work, similarity, shingle), f"{work}/rest")
+    more = staged(_verified(rest, texts, f"{work}/rest", similarity, shingle), f"{work}/rest-links")
     # Stars of the first pass stand for its links.
     stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     roots = staged(components(stars.unionByName(more), f"{work}/all-components"), f"{work}/roots")
@@ -255,5 +253,5 @@ def drop_similar(docs: DataFrame, work: str, id_col: str = "doc_id", text_col: s
     """``docs`` with one document of each group; only numbers of rows are shuffled or broadcast, if that many fit."""
     groups = similar_groups(docs, work, id_col, text_col)
     gone = staged(groups.where("row <> group_row").select("row"), f"{work}/gone")
-    numbered = docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"))
-    return numbered.join(bounded(gone, gone.count() * 40), "row", "left_anti").select("doc.*")
+    rows = numbered(docs, F.struct("*").alias("doc"))
+    return rows.join(bounded(gone, gone.count() * 40), "row", "left_anti").select("doc.*")

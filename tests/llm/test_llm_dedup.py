@@ -14,7 +14,7 @@ import xxhash
 from llm_cases import ODD
 from pyspark.sql import functions as F
 
-from pageflow.llm import exact_dedup, golay, line_dedup, prefix_join, simhash, simhash_groups
+from pageflow.llm import exact_dedup, golay, line_dedup, mixing, prefix_join, simhash, simhash_groups
 from pageflow.llm.components import components
 
 WS = re.compile(r"[\x20\x09-\x0D]+")
@@ -281,3 +281,30 @@ def test_block_edits(spark, make_docs, work, cut):
     got = grouped(make_docs, work, texts)
     assert all(cut <= similarity(*texts[2 * g : 2 * g + 2]) < cut + 0.02 for g in range(25))
     assert all(got[2 * g + 1] == got[2 * g] == 2 * g for g in range(25))
+
+
+@pytest.mark.parametrize("operator", ["lines", "exact", "similar", "mix"])
+def test_rows_keep_their_numbers_when_the_scan_is_split_anew(spark, make_docs, work, operator):
+    rng = random.Random(6)
+    passage = "p one\np two\np three"
+    rows = [(i, "\n".join(" ".join(rng.choices("abcdefghijklmnop", k=8)) for _ in range(6)) + (f"\n{passage}" if i % 3 == 0 else ""), f"s{i % 2}") for i in range(80)]
+    rows += [(100 + i, rows[i][1]) for i in range(10)]
+    docs, setting = make_docs(rows, files=8), "spark.sql.files.minPartitionNum"
+
+    def result(later):
+        spark.conf.set(setting, "1")
+        if operator == "lines":
+            done = line_dedup.dedup_lines(docs, work()).select("doc.doc_id", "text")
+        elif operator == "exact":
+            done = exact_dedup.drop_copies(docs, work()).select("doc_id", "text")
+        elif operator == "similar":
+            done = simhash_groups.drop_similar(docs, work()).select("doc_id", "text")
+        else:
+            done = mixing.mixed_texts(docs, mixing.mix(docs, work())).select("doc.doc_id", "turn", "text")
+        spark.conf.set(setting, later)
+        return sorted(map(tuple, done.collect()))
+
+    try:
+        assert result("64") == result("1")
+    finally:
+        spark.conf.unset(setting)
