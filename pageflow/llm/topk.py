@@ -9,8 +9,11 @@ broadcast; what a task returns is ``k`` rows a query, and the winners of all tas
 
 Rules
 * Components count as ``floor(scale * x)``, scores are exact integers, ties go to the smaller id.
-* Rows without an id or vector, with a null or non-finite component, or a component beyond ``LARGEST`` after
-  scaling (its products may not fit) take no part. Only vectors of the query's length are its candidates.
+* Rows without an id or vector, or with a null or non-finite component, take no part; nor do those with a component
+  that BIGINT can't hold after scaling, for which the contract's SQL has no result either. Only vectors of the
+  query's length are its candidates.
+* Vectors with a component beyond ``FINE`` after scaling, whose products may not fit a double, are scored one by one
+  in integers. A score that BIGINT can't hold is an error.
 * Rows with the query's id are the query's own. Each query row gets its ranks; fewer candidates give fewer rows.
 * In dimensions that are many against the block, the bound falls late and most of a block is scored.
 """
@@ -29,7 +32,9 @@ from pageflow.llm.common import staged
 BLOCK = 8192  # vectors of a block
 QUERY_BYTES = 16 << 20  # of a round's broadcast queries
 SEED_ROWS = 4096  # vectors whose scores start the thresholds
-LARGEST = 1 << 20  # of a scaled component: products of up to 4096 of them fit a double without rounding
+LARGEST = (1 << 63) - 1024  # of a scaled component: the largest double that BIGINT holds
+FINE = 1 << 20  # of a scaled component: products of up to ``FINE_DIMS`` of them fit a double without rounding
+FINE_DIMS = 4096
 
 
 def integer_vectors(vectors: DataFrame, scale: int, id_col: str, vector_col: str) -> DataFrame:
@@ -38,7 +43,7 @@ def integer_vectors(vectors: DataFrame, scale: int, id_col: str, vector_col: str
     scaled = F.transform(x, lambda e: F.lit(float(scale)) * e.cast("double"))
     fine = F.forall(scaled, lambda e: F.coalesce(F.abs(e) <= F.lit(float(LARGEST)), F.lit(False)) & ~F.isnan(e))
     return vectors.where(F.col(id_col).isNotNull() & x.isNotNull() & fine).select(
-        F.col(id_col).cast("long").alias("id"), F.transform(scaled, lambda e: F.floor(e).cast("int")).alias("v")
+        F.col(id_col).cast("long").alias("id"), F.transform(scaled, lambda e: F.floor(e)).alias("v")
     )
 
 
@@ -50,19 +55,36 @@ class Best:
         self.scores: list[np.ndarray] = [np.zeros(0, np.int64)] * queries
         self.ids: list[np.ndarray] = [np.zeros(0, np.int64)] * queries
 
-    def kth(self, q: int) -> float:
+    def kth(self, q: int) -> int | float:
         """An unseen vector below this score can't be among the best."""
-        own = float(self.scores[q][-1]) if len(self.scores[q]) == self.k else -np.inf
-        return max(own, self.floor[q])
+        own = int(self.scores[q][-1]) if len(self.scores[q]) == self.k else -np.inf
+        return max(own, float(self.floor[q]))
 
     def add(self, q: int, scores: np.ndarray, ids: np.ndarray) -> None:
-        good = scores >= self.kth(q)
+        kth = self.kth(q)
+        good = scores >= (int(kth) if np.isfinite(kth) else kth)
         if good.any():
             scores, ids = np.concatenate([self.scores[q], scores[good]]), np.concatenate([self.ids[q], ids[good]])
             top = np.lexsort((ids, -scores))[: self.k]
             self.scores[q], self.ids[q] = scores[top], ids[top]
 
 
+def fine(vectors: np.ndarray) -> np.ndarray:
+    """Which rows have products with each other that a double adds up without rounding."""
+    if vectors.shape[1] > FINE_DIMS:
+        return np.zeros(len(vectors), bool)
+    return (np.abs(vectors) <= FINE).all(axis=1)
+
+
+def exact_scores(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products in integers of any size; int64 where their sums provably fit."""
+    if not vectors.size:
+        return np.zeros(len(vectors), np.int64)
+    if float(np.abs(vectors).max()) * np.abs(query.astype(np.float64)).sum() < 2.0**62:
+        return vectors @ query
+    return np.array([int(s) for s in vectors.astype(object) @ query.astype(object)], np.int64)
+
+
 class Block:
     """Vectors with one list per dimension, sorted by the component."""
 
@@ -122,10 +144,15 @@ def _search(batches: Iterator[pa.RecordBatch], queries, k: int) -> Iterator[pa.R
     """Best ``k`` of these candidates for each ``(row, id, vector, floor)`` query."""
     best = Best(len(queries), k, np.array([f for *_, f in queries], float))
     for ids, vectors in _blocks(batches, BLOCK):
-        block = Block(ids, vectors)
+        low = fine(vectors)
+        block, other = Block(ids[low], vectors[low]), ~low
         for q, (_, query_id, query, _) in enumerate(queries):
             if len(query) == vectors.shape[1]:
-                block.search(q, query_id, query, best)
+                if searched := fine(query[None])[0]:
+                    block.search(q, query_id, query, best)
+                rest = (other if searched else np.ones(len(ids), bool)) & (ids != query_id)
+                if rest.any():
+                    best.add(q, exact_scores(vectors[rest], query), ids[rest])
     for q, (row, query_id, _, _) in enumerate(queries):
         if n := len(best.ids[q]):
             columns = [pa.array([row] * n, pa.int64()), pa.array([query_id] * n, pa.int64()), pa.array(best.ids[q]), pa.array(best.scores[q])]
@@ -137,10 +164,11 @@ def _seeds(queries, seed: list[tuple[int, np.ndarray]], k: int) -> np.ndarray:
     floors = np.full(len(queries), -np.inf)
     by_length: dict[int, list[tuple[int, np.ndarray]]] = {}
     for i, v in seed:
-        by_length.setdefault(len(v), []).append((i, v))
+        if fine(v[None])[0]:  # a bound from some of them is one all the same
+            by_length.setdefault(len(v), []).append((i, v))
     matrices = {n: (np.array([i for i, _ in rows]), np.array([v for _, v in rows], np.float64)) for n, rows in by_length.items()}
     for q, (_, query_id, query) in enumerate(queries):
-        if len(query) in matrices:
+        if len(query) in matrices and fine(query[None])[0]:
             ids, vectors = matrices[len(query)]
             scores = (vectors @ query.astype(np.float64))[ids != query_id]
             if len(scores) >= k:
@@ -159,13 +187,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, work: str, scale: int,
         integer_vectors(queries, scale, id_col, vector_col).withColumn("query", F.monotonically_increasing_id()),
         f"{work}/queries",
     )
-    seed = [(r["id"], np.array(r["v"])) for r in candidates.limit(SEED_ROWS).collect()]
+    seed = [(r["id"], np.array(r["v"], np.int64)) for r in candidates.limit(SEED_ROWS).collect()]
     size = numbered.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
     rounds = max(1, -(-size[0] * (size[1] * 8 + 200) // QUERY_BYTES))
     found = None
     for turn in range(rounds):
         mine = numbered.where(F.pmod(F.xxhash64("query"), F.lit(rounds)) == turn)
-        rows = [(r["query"], r["id"], np.array(r["v"])) for r in mine.collect()]
+        rows = [(r["query"], r["id"], np.array(r["v"], np.int64)) for r in mine.collect()]
         floors = _seeds(rows, seed, k)
         shared = spark.sparkContext.broadcast([(*row, float(f)) for row, f in zip(rows, floors)])
 

@@ -56,6 +56,23 @@ def test_top_k_of_odd_vectors(spark, work):
     assert found(spark, rows, queries, 5, work()) == top_brute(rows, queries, 5)
 
 
+def test_large_components_take_part(spark, work):
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(60)]
+    rows += [(100, [5000.0, 1.0, 0.0, 0.0]), (101, [-5000.0, 2.0, 1.0, 0.0]), (102, [3e6, -2e6, 1e5, 7.0]), (103, [3e6, -2e6, 1e5, 7.0])]
+    queries = {0, 1, 100, 102}
+    got = found(spark, rows, queries, 5, work())
+    assert got == top_brute(rows, queries, 5)
+    assert {q for q, *_ in got} == queries and {i for q, _, i, _ in got if q != 100} >= {100, 102, 103}
+
+
+def test_large_scores_are_exact():
+    vectors = np.array([[1 << 40, 3], [-(1 << 40), 5], [7, (1 << 62) + 1]])
+    assert topk.exact_scores(vectors, np.array([1 << 22, 1])).tolist() == [(1 << 62) + 3, 5 - (1 << 62), (7 << 22) + (1 << 62) + 1]
+    with pytest.raises(OverflowError):
+        topk.exact_scores(vectors, np.array([1 << 40, 0]))
+
+
 def test_top_k_of_nothing(spark, work):
     assert found(spark, [], {0}, 5, work()) == []
 
