@@ -7,7 +7,7 @@ A text's score is a logistic function, calibrated on texts that its dictionaries
 often its windows get shorter.
 
 Fitting uses a bounded sample: at most ``FIT_TOXIC`` and ``FIT_ORDINARY`` labelled rows in order of a hash, texts of
-at most ``FIT_TEXT_BYTES``. Scoring covers every row and whole texts, in the tasks that read them.
+at most ``FIT_TEXT_BYTES``, one of each id (the first by hash). Scoring covers every row and whole texts, in the tasks that read them.
 
 Rules
 * Only the text makes the score. A null or empty text is one empty window: the lowest evidence.
@@ -203,8 +203,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         known.where("toxic <= 0").orderBy(*order).limit(FIT_ORDINARY)
     )
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.octet_length("text") <= FIT_TEXT_BYTES)
-    rows = texts.join(F.broadcast(picked), "id").select("id", "toxic", "text").collect()
-    rows = sorted({(r["id"], r["toxic"], r["text"]) for r in rows})
+    # One text per id, combined on the map side: the driver gets no more rows than were picked.
+    one = F.min(F.struct(F.xxhash64("text").alias("order"), "text"))
+    rows = texts.join(F.broadcast(picked), "id").groupBy("id", "toxic").agg(one.alias("one")).select("id", "toxic", "one.text").collect()
+    rows = sorted((r["id"], r["toxic"], r["text"]) for r in rows)
     toxic, ordinary = ([t for _, label, t in rows if (label > 0) == wanted] for wanted in (True, False))
     if min(len(toxic), len(ordinary)) < 2:
         return Model(None, (), bad / (bad + good))

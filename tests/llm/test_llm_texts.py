@@ -197,3 +197,13 @@ def test_scores_of_odd_rows(spark, make_docs):
     got = toxicity.score(docs, model).collect()
     assert len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got)
     assert toxicity.score(make_docs([]), model).count() == 0
+
+
+def test_a_repeated_id_brings_one_text_to_the_driver(spark, make_docs, monkeypatch):
+    rows = [(i, f"ordinary words {i}") for i in range(1, 40)] + [(7, f"another text {n}") for n in range(200)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(1, 40)], "doc_id long, toxic int")
+    docs, seen = make_docs(rows), []
+    monkeypatch.setattr(toxicity, "fit_texts", lambda toxic, ordinary, share: seen.extend(toxic + ordinary) or toxicity.Model(None, ()))
+    toxicity.fit(docs, labels)
+    kept = {r.doc_id for r in docs.where(~toxicity.held_out("doc_id")).select("doc_id").collect()}
+    assert len(seen) == len(kept)
