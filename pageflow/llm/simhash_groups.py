@@ -39,6 +39,7 @@ SIMILARITY = 0.8
 PRINTS = 8
 SMALL_BUCKET = 4
 BLOCK = 2048  # nodes of a bucket that are compared with each other at once
+PREFIX_ROWS = 1 << 14  # of a batch, so that a task needs little memory
 ORDER_NODES = 4096  # whose shingles are counted, about, for the order of the prefix filter
 ORDER_SHINGLES = 1 << 18  # most frequent ones that are told apart from rare ones
 
@@ -177,16 +178,19 @@ def _unconnected_pairs(texts: DataFrame, roots: DataFrame, work: str, similarity
 
     def prefixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, counts = shared.value
+        names, found, held = ["key", "node", "size", "pos", "root"], [], 0
         for batch in batches:
-            found = []
-            for node, root, text in zip(batch["node"].to_pylist(), batch["root"].to_pylist(), batch["text"].to_pylist()):
+            for node, root, text in zip(*(batch[c].to_pylist() for c in ("node", "root", "text"))):
                 members = np.unique(shingle_hashes(words_of(text), shingle))
                 n = prefix_join.prefix_length(len(members), similarity)
                 keys = prefix_join.ordered(members, common, counts)[:n].view(np.int64)
                 found.append((keys, np.full(n, node), np.full(n, len(members), np.int32), np.arange(n, dtype=np.int32), np.full(n, root)))
-            if found:
-                columns = [pa.array(np.concatenate(c)) for c in zip(*found)]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "node", "size", "pos", "root"])
+                held += n
+                if held >= PREFIX_ROWS:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], names)
+                    found, held = [], 0
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], names)
 
     rooted = texts.join(bounded(roots, roots.count() * 40), "node", "left").select("node", F.coalesce("root", "node").alias("root"), "text")
     keys = rooted.mapInArrow(prefixed, "key long, node long, size int, pos int, root long")
