@@ -12,7 +12,7 @@ from llm_cases import ODD
 from pyspark.sql import functions as F
 
 from pageflow.llm import mixing, packing, topk
-from pageflow.llm.common import WORD
+from pageflow.llm.common import WORD, numbered
 
 
 def table(spark, rows):
@@ -112,7 +112,7 @@ def test_mix_meets_targets_and_caps(spark, make_docs, work):
     rows = corpus(random.Random(2), 300) + [(i, t, "odd") for i, t in ODD if i not in (6, 7)]
     docs = make_docs(rows)
     mixed = mixing.mix(docs, work())
-    got = mixing.taken_words(mixed).join(docs.select(F.monotonically_increasing_id().alias("row"), "source"), "row").collect()
+    got = mixing.taken_words(mixed).join(numbered(docs, F.col("source")), "row").collect()
     size, taken, target = Counter(), Counter(), {}
     for r in got:
         assert 0 <= r.taken <= 2 * r.size
