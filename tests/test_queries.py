@@ -5,6 +5,9 @@ from __future__ import annotations
 import glob
 import math
 import os
+import shutil
+import subprocess
+import sys
 
 import pytest
 
@@ -43,6 +46,18 @@ def test_every_query_has_a_counterpart():
     assert QUERIES.items() <= driver.queries().items() and SQL.items() <= driver.oracle_sql().items()
 
 
+@pytest.mark.parametrize("left_out", [("llm",), ("llm", "corpus_pipeline.py"), ("corpus_pipeline.py",)])
+def test_entry_imports_without_the_training_data_operators(tmp_path, left_out):
+    root = os.path.dirname(os.path.abspath(driver.__file__))
+    shutil.copytree(f"{root}/pageflow", tmp_path / "pageflow", ignore=shutil.ignore_patterns("__pycache__", *left_out))
+    for name in {"__spark_entry__.py", "corpus_pipeline.py"} - set(left_out):
+        if os.path.exists(f"{root}/{name}"):
+            shutil.copy(f"{root}/{name}", tmp_path)
+    code = "import __spark_entry__ as d; print(*sorted(d.queries()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    assert set(QUERIES) <= set(done.stdout.split()) and "pipeline" not in done.stdout.split()
+
+
 def test_entry_has_rows(spark):
     df = driver.entry(spark)
     assert df.count() > 0
