@@ -74,9 +74,44 @@ SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_remo
 FROM documents LEFT JOIN kept k USING (doc_id)
 """
 
+OP11 = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p
+), g AS (
+  SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase, CAST(count(*) AS BIGINT) AS f
+  FROM w, unnest([1, 2, 3]) t(k), unnest(range(1, len(ws) - k + 2)) u(i)
+  GROUP BY ALL
+), n AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE k = 1 GROUP BY lang
+), c AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM g WHERE k > 1 AND f >= 10
+), cut AS (
+  SELECT c.lang, c.k, c.phrase, c.a, c.ws, x.f AS l, y.f AS r, j,
+         CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM c, unnest(range(1, c.k)) t(j)
+  JOIN g x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1 : j], ' ')
+  JOIN g y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[j + 1 : c.k], ' ')
+), s AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inside AS (
+  SELECT lang, array_to_string(ws[i : i + 1], ' ') AS phrase, max(a) AS longest
+  FROM c, unnest([1, 2]) t(i) WHERE k = 3 GROUP BY ALL
+)
+SELECT lang, CAST(row_number() OVER o AS INTEGER) AS rank, phrase, a, l, r, n, score
+FROM s JOIN n USING (lang) LEFT JOIN inside USING (lang, phrase)
+WHERE s.k = 3 OR longest IS NULL OR 100 * longest < 50 * a
+WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase))
+QUALIFY row_number() OVER o <= 2000
+"""
+
 SQL = {
     "op1_top_k": OP1,
     "op4_exact_dedup": OP4,
     "op6_chat_format": OP6,
     "op10_line_dedup": OP10,
+    "op11_collocations": OP11,
 }

@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageflow.llm import chat, exact_dedup, line_dedup, mixing, packing, secret_scan, simhash, token_counts, topk, toxicity
+from pageflow.llm import (
+    chat,
+    collocations,
+    exact_dedup,
+    line_dedup,
+    mixing,
+    packing,
+    secret_scan,
+    simhash,
+    token_counts,
+    topk,
+    toxicity,
+)
 from pageflow.session import work_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -108,6 +120,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_documents(spark, sf_dir), work_folder(spark))
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_secret_scan": op2_secret_scan,
@@ -119,4 +135,5 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op11_collocations": op11_collocations,
 }
