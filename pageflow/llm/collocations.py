@@ -80,13 +80,13 @@ def count_words(texts: DataFrame) -> DataFrame:
     return summed.select(F.concat("word", F.lit(" "), "lang").alias("key"), "lang", "word", "n")
 
 
-def phrase_runs(texts: DataFrame, words: vocabulary.Vocabulary, slots: int) -> DataFrame:
-    """Sorted runs of the phrases of two and three words, by slot of their prefix."""
+def phrase_runs(texts: DataFrame, words: vocabulary.Vocabulary, slots: int, entries: int = TRIE_ENTRIES) -> DataFrame:
+    """Sorted runs of the phrases of two and three words, by slot of their prefix. ``entries``: of a trie at most."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary.Words(words)
         encoders: dict[str, vocabulary.Encoder] = {}
-        trie = HatTrie(TRIE_ENTRIES)
+        trie = HatTrie(entries)
         waiting: dict[str, list[bytes]] = {}
 
         def take(lang: str):
@@ -105,7 +105,7 @@ def phrase_runs(texts: DataFrame, words: vocabulary.Vocabulary, slots: int) -> D
                 first = np.concatenate([a[two], a[three]])
                 trie.add(first, np.concatenate([rests(b[two], np.full(two.sum(), -1)), rests(b[three], c[three])]))
                 while trie.full():
-                    yield from runs.by_slot(trie.spill(TRIE_ENTRIES // 2), slots)
+                    yield from runs.by_slot(trie.spill(entries // 2), slots)
 
         for batch in batches:
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
@@ -179,6 +179,7 @@ def collocations(
     top: int = TOP,
     text_col: str = "text",
     lang_col: str = "lang",
+    trie_entries: int = TRIE_ENTRIES,
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the ``top`` phrases of each language. ``work``: a shared folder."""
     texts = _texts(docs, text_col, lang_col)
@@ -186,7 +187,7 @@ def collocations(
     totals = staged(counted.groupBy("lang").agg(F.sum("n").alias("n")), f"{work}/totals")
     known, words = vocabulary.build(counted, F.col("n") >= least, ["lang", "word"], work)
     total = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    found = phrase_runs(texts, known, runs.slots_for(total))
+    found = phrase_runs(texts, known, runs.slots_for(total), trie_entries)
     frequent = staged(frequent_phrases(found, least), f"{work}/frequent")
     scored = staged(score_phrases(frequent, words), f"{work}/scored")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")

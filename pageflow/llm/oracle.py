@@ -108,10 +108,38 @@ WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase))
 QUALIFY row_number() OVER o <= 2000
 """
 
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents
+), s AS (
+  SELECT count(*) AS bign, CAST(sum(len(ts)) AS BIGINT) AS bigl FROM d WHERE len(ts) > 0
+), f AS (
+  SELECT doc_id, len(ts) AS n, t, count(*) AS tf FROM d, unnest(ts) u(t) GROUP BY ALL
+), q AS (
+  SELECT DISTINCT item_id, t
+  FROM benchmark, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) u(t)
+), w AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * bign + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM f GROUP BY t), s
+), r AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * bign) // bigl)))) AS BIGINT) AS score
+  FROM q JOIN w USING (t) JOIN f USING (t), s
+  GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER o AS INTEGER) AS rank, doc_id, score
+FROM r WHERE score > 0
+WINDOW o AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+QUALIFY row_number() OVER o <= 50
+"""
+
 SQL = {
     "op1_top_k": OP1,
     "op4_exact_dedup": OP4,
     "op6_chat_format": OP6,
     "op10_line_dedup": OP10,
     "op11_collocations": OP11,
+    "op13_lexical_search": OP13,
 }

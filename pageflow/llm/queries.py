@@ -10,6 +10,8 @@ from pageflow.llm import (
     chat,
     collocations,
     exact_dedup,
+    kneser_ney,
+    lexical_search,
     line_dedup,
     mixing,
     packing,
@@ -124,6 +126,29 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_documents(spark, sf_dir), work_folder(spark))
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = kneser_ney.fit(docs, ~kneser_ney.held_out("doc_id"), work_folder(spark))
+    return kneser_ney.score(docs, model).select(
+        F.col("id").alias("doc_id"),
+        kneser_ney.held_out("id").alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.train_tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = work_folder(spark)
+    index = lexical_search.build_index(_documents(spark, sf_dir), work)
+    asked = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return lexical_search.search(index, asked, 50, work).select(
+        F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score"
+    )
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_secret_scan": op2_secret_scan,
@@ -136,4 +161,6 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
     "op11_collocations": op11_collocations,
+    "op12_lm_scoring": op12_lm_scoring,
+    "op13_lexical_search": op13_lexical_search,
 }

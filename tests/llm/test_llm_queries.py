@@ -42,7 +42,7 @@ def test_query(spark, tables, name):
 
 def test_queries_are_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(driver.queries())
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
 
 
 def test_pipeline(spark):
