@@ -35,7 +35,7 @@ TOP = 2000  # phrases of a language in a report
 COVER = 50  # per cent of a phrase's occurrences inside a longer one
 TRIE_ENTRIES = 800_000
 WORDS_AT_ONCE = 500_000
-COUNTER_ENTRIES = 300_000
+COUNTER_ENTRIES = 500_000
 
 # What ends a piece, and the letters that are lower-cased.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -186,6 +186,7 @@ def collocations(
     counted = staged(count_words(texts), f"{work}/counts")
     totals = staged(counted.groupBy("lang").agg(F.sum("n").alias("n")), f"{work}/totals")
     known, words = vocabulary.build(counted, F.col("n") >= least, ["lang", "word"], work)
+    words = staged(words, f"{work}/words")
     total = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     found = phrase_runs(texts, known, runs.slots_for(total), trie_entries)
     frequent = staged(frequent_phrases(found, least), f"{work}/frequent")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # White space and words as all operators of this package understand them (Java and Python syntax).
@@ -21,6 +21,13 @@ def staged(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def drop_staged(spark: SparkSession, *folders: str) -> None:
+    """Delete tables that ``staged`` wrote and no later step reads."""
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def whole_text(column: Column | str) -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

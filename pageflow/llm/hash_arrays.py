@@ -95,12 +95,12 @@ def find_compact(starts: np.ndarray, low: np.ndarray, wanted: np.ndarray) -> np.
     bits = (len(starts) - 1).bit_length() - 1
     top = (wanted >> np.uint64(64 - bits)).astype(np.int64)
     own = (wanted >> np.uint64(32 - bits)).astype(np.uint32)
-    first, last = starts[top].astype(np.int64), starts[top + 1].astype(np.int64)
-    end = last.copy()
-    while (open_ := first < last).any():
-        middle = (first + last) >> 1
-        less = low[np.minimum(middle, len(low) - 1)] < own
-        first = np.where(open_ & less, middle + 1, first)
-        last = np.where(open_ & ~less, middle, last)
-    at = np.minimum(first, len(low) - 1)
-    return np.where((first < end) & (low[at] == own), at, -1)
+    first = starts[top].astype(np.int64)
+    room = starts[top + 1].astype(np.int64) - first
+    # All entries of the buckets, next to each other.
+    query = np.repeat(np.arange(len(wanted)), room)
+    place = np.arange(len(query)) + np.repeat(first - np.cumsum(room) + room, room)
+    same = low[place] == own[query]
+    found = np.full(len(wanted), -1, np.int64)
+    found[query[same]] = place[same]
+    return found

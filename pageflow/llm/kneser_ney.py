@@ -35,14 +35,14 @@ from pyspark.sql import types as T
 
 from pageflow.llm import hash_arrays as H
 from pageflow.llm import runs, vocabulary
-from pageflow.llm.common import staged, whole_text
+from pageflow.llm.common import drop_staged, staged, whole_text
 
 ABSENT = vocabulary.ABSENT
 BEGIN, END = (1 << runs.ID_BITS) - 1, (1 << runs.ID_BITS) - 2
 MARKS = {b" ": BEGIN, b"\n": END}  # no word holds white space
-WORDS_AT_ONCE = 300_000
-TRIPLES_HELD = 1_000_000
-COUNTER_ENTRIES = 300_000
+WORDS_AT_ONCE = 600_000
+TRIPLES_HELD = 2_000_000
+COUNTER_ENTRIES = 600_000
 MAPPED = 2048  # files that a worker keeps open
 STATS = -1  # the slot of figures about levels
 MANY = 255  # a count of one byte that stands for a larger one
@@ -57,6 +57,13 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+def _add(flat: list[bytes], text: str) -> None:
+    """Put the tokens of a text behind others."""
+    flat += (b" ", b" ")
+    flat += words_of(text)
+    flat.append(b"\n")
+
+
 def _windows(flat: list[bytes], encode: vocabulary.Encoder) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """``(u, v, w, text)`` of the tokens in ``flat``, which begins with a whole text; ``text`` counts from the first."""
     before, texts = np.zeros(0, np.int64), 0
@@ -98,27 +105,28 @@ def triple_runs(train: DataFrame, words: vocabulary.Vocabulary, slots: int) -> D
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = vocabulary.Encoder(vocabulary.Words(words), fixed=MARKS)
         flat: list[bytes] = []
-        held: list[runs.Run] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def take():
             for u, v, w, _ in _windows(flat, encode):
-                held.append(runs.merged(u, v, w, np.ones(len(u), np.int64)))
-                if sum(len(r[0]) for r in held) > TRIPLES_HELD:
-                    own = runs.merged(*map(np.concatenate, zip(*held)))
-                    held[:] = [own]
-                    if len(own[0]) > TRIPLES_HELD // 2:
-                        held.clear()
-                        yield from runs.by_slot(own, slots)
+                held.append((u, v, w))
             flat.clear()
 
+        def counted():
+            u, v, w = map(np.concatenate, zip(*held))
+            held.clear()
+            yield from runs.by_slot(runs.merged(u, v, w, np.ones(len(u), np.int64)), slots)
+
         for batch in batches:
             for text in batch["text"]:
-                flat.extend((b" ", b" ", *words_of(text.as_py()), b"\n"))
+                _add(flat, text.as_py())
                 if len(flat) > WORDS_AT_ONCE:
-                    yield from take()
-        yield from take()
+                    take()
+                    if sum(len(u) for u, *_ in held) > TRIPLES_HELD:
+                        yield from counted()
+        take()
         if held:
-            yield from runs.by_slot(runs.merged(*map(np.concatenate, zip(*held))), slots)
+            yield from counted()
 
     return train.mapInArrow(count, runs.RUN_TYPE)
 
@@ -141,7 +149,7 @@ def write_slot(path: str, run: runs.Run) -> None:
     order = np.argsort(contexts)
     shared, kind = np.unique(figures[order], axis=0, return_inverse=True)
     starts, low = H.compact(contexts[order])
-    phrases = H.mixed(a, b, c)
+    phrases = H.mixed(np.repeat(contexts, np.diff(first, append=len(a))), c)
     by_hash = np.argsort(phrases)
     phrase_starts, phrase_low = H.compact(phrases[by_hash])
     counts = n[by_hash]
@@ -224,76 +232,86 @@ class Model:
     singles: tuple[int, ...]  # figures of the level of single words
 
 
-class Reader:
-    """A worker's view of a model."""
+class Level:
+    """A worker's view of one level of a model."""
 
-    def __init__(self, model: Model):
-        self.model, self.files = model, {}
-        self.words = vocabulary.Words(model.words)
-        self.discounts = [np.array(d) for d in model.discounts]
+    def __init__(self, model: Model, number: int):
+        self.folder, self.slots = f"{model.folder}/{number}", model.slots
+        self.discounts = np.array(model.discounts[number - 1])
+        self.files: dict[int, dict[str, np.ndarray] | None] = {}
 
-    def _file(self, level: int, slot: int) -> dict[str, np.ndarray] | None:
-        if (level, slot) not in self.files:
+    def _file(self, slot: int) -> dict[str, np.ndarray] | None:
+        if slot not in self.files:
             if len(self.files) >= MAPPED:
                 self.files.clear()
             try:
-                self.files[level, slot] = H.map_arrays(f"{self.model.folder}/{level}/{slot}")
+                arrays = H.map_arrays(f"{self.folder}/{slot}")
             except FileNotFoundError:  # no training text has such a context
-                self.files[level, slot] = None
-        return self.files[level, slot]
-
-    def look_up(self, level: int, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Counts of phrases, and the figures of their contexts; zeros where absent."""
-        counts, figures = np.zeros(len(a), np.int64), np.zeros((len(a), 4), np.int64)
-        slot = runs.slot_of(a, b, self.model.slots)
-        order = np.argsort(slot, kind="stable")
-        cuts = np.searchsorted(slot[order], np.arange(self.model.slots + 1))
-        contexts, phrases = H.mixed(a, b), H.mixed(a, b, c)
-        for number in np.flatnonzero(np.diff(cuts)):
-            arrays = self._file(level, int(number))
+                self.files[slot] = None
+                return None
+            figures = arrays["figures"].reshape(-1, 4)
+            arrays["total"] = figures[:, 0].astype(np.float64)
+            arrays["rest"] = figures[:, 1:] @ self.discounts[1:]
+            self.files[slot] = arrays
+        return self.files[slot]
+
+    def look_up(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts of phrases, and of their contexts the total and the discounts' sum; zeros where absent."""
+        counts, total, rest = np.zeros(len(a), np.int64), np.zeros(len(a)), np.zeros(len(a))
+        contexts = H.mixed(a, b)
+        slot = (contexts % np.uint64(self.slots)).astype(np.int64)
+        order = np.argsort(slot)
+        cuts = np.searchsorted(slot[order], np.arange(self.slots + 1))
+        phrases = H.mixed(contexts[order], c[order])
+        contexts = contexts[order]
+        for number in np.flatnonzero(np.diff(cuts)).tolist():
+            arrays = self._file(number)
             if arrays is None:
                 continue
-            own = order[cuts[number] : cuts[number + 1]]
+            own = np.arange(cuts[number], cuts[number + 1])
             at = H.find_compact(arrays["context_starts"], arrays["context_low"], contexts[own])
             own, at = own[at >= 0], at[at >= 0]
-            figures[own] = arrays["figures"].reshape(-1, 4)[arrays["kind"][at]]
+            kind, place = arrays["kind"][at], order[own]
+            total[place], rest[place] = arrays["total"][kind], arrays["rest"][kind]
             at = H.find_compact(arrays["phrase_starts"], arrays["phrase_low"], phrases[own])
-            own, at = own[at >= 0], at[at >= 0]
+            place, at = place[at >= 0], at[at >= 0]
             n = arrays["counts"][at].astype(np.int64)
             if (many := n == MANY).any():
                 n[many] = arrays["large_counts"][np.searchsorted(arrays["large"], at[many])]
-            counts[own] = n
-        return counts, figures
+            counts[place] = n
+        return counts, total, rest
+
+    def interpolated(self, a: np.ndarray, b: np.ndarray, c: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        n, total, rest = self.look_up(a, b, c)
+        kept = n - self.discounts[np.minimum(n, 3)]
+        return np.where(total > 0, (kept + rest * lower) / np.maximum(total, 1), lower)
+
 
-    def _interpolated(self, level: int, a: np.ndarray, b: np.ndarray, c: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        n, figures = self.look_up(level, a, b, c)
-        d = self.discounts[level - 1]
-        kept = n - d[np.minimum(n, 3)]
-        rest = figures[:, 1:] @ d[1:]
-        total = np.maximum(figures[:, 0], 1)
-        return np.where(figures[:, 0] > 0, (kept + rest * lower) / total, lower)
+class Reader:
+    """A worker's view of a model."""
+
+    def __init__(self, model: Model):
+        self.model, self.words = model, vocabulary.Words(model.words)
+        self.one, self.two, self.three = (Level(model, number) for number in (1, 2, 3))
 
     def probabilities(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> np.ndarray:
         """``p(w | u v)``; ``ABSENT`` is the unknown token."""
-        uniform = 1 / (self.model.known + 1)
-        zero = np.zeros_like(w)
+        return self.scored(u, v, w)[1]
+
+    def scored(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Occurrences of the tokens ``w`` in training texts, and ``p(w | u v)``. What is alike is looked up once."""
         single, place = np.unique(w, return_inverse=True)
-        n, _ = self.look_up(1, np.zeros_like(single), single, np.zeros_like(single))
-        d = self.discounts[0]
-        *_, more, total = self.model.singles
+        own = np.where(single == END, self.model.train_texts, self.words.counts(np.where(single == END, ABSENT, single)))
+        n, _, _ = self.one.look_up(np.zeros_like(single), single, np.zeros_like(single))
+        d, (once, twice, _, _, more, total) = self.one.discounts, self.model.singles
+        uniform = 1 / (self.model.known + 1)
         if total:
-            rest = (d[1:] @ np.array([*self.model.singles[:2], more])) / total
-            one = (n - d[np.minimum(n, 3)]) / total + rest * uniform
+            one = (n - d[np.minimum(n, 3)]) / total + (d[1:] @ np.array([once, twice, more])) / total * uniform
         else:
             one = np.full(len(single), uniform)
-        two = self._interpolated(2, zero, v, w, one[place])
-        return self._interpolated(3, u, v, w, two)
-
-    def base_counts(self, w: np.ndarray) -> np.ndarray:
-        """Occurrences of the tokens in training texts."""
-        single, place = np.unique(w, return_inverse=True)
-        words = np.where(single == END, ABSENT, single)
-        return np.where(single == END, self.model.train_texts, self.words.counts(words))[place]
+        pairs, first, of_pair = np.unique((v + 1) << (runs.ID_BITS + 1) | (w + 1), return_index=True, return_inverse=True)
+        two = self.two.interpolated(np.zeros_like(pairs), v[first], w[first], one[place[first]])
+        return own[place], self.three.interpolated(u, v, w, two[of_pair])
 
 
 def fit(docs: DataFrame, train: Column, work: str, text_col: str = "text") -> Model:
@@ -302,7 +320,9 @@ def fit(docs: DataFrame, train: Column, work: str, text_col: str = "text") -> Mo
     counted = staged(count_words(slim), f"{work}/counts")
     figures = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     texts = docs.where(train).count()
-    words, _ = vocabulary.build(counted, F.col("n") > 0, [], work)
+    words, table = vocabulary.build(counted, F.col("n") > 0, [], work)
+    table.count()
+    drop_staged(docs.sparkSession, f"{work}/counts")
     slots, folder = runs.slots_for(figures[0]), f"{H.local_path(work)}/model"
     triples = triple_runs(slim.where("train").select("text"), words, slots)
     found = {(r["level"], r["k"]): r["n"] for r in write_model(triples, folder, slots).collect()}
@@ -332,15 +352,15 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         def sums(flat: list[bytes], texts: int) -> list[np.ndarray]:
             totals = [np.zeros(texts) for _ in range(4)]
             for u, v, w, text in _windows(flat, encode):
-                c = reader.base_counts(w)
-                for total, values in zip(totals, (np.ones(len(w)), c > 0, np.log10((c + 1) / room), np.log10(reader.probabilities(u, v, w)))):
+                c, p = reader.scored(u, v, w)
+                for total, values in zip(totals, (np.ones(len(w)), c > 0, np.log10((c + 1) / room), np.log10(p))):
                     total += np.bincount(text, values, texts)
             return totals
 
         for batch in batches:
             flat, begin = [], 0
             for at, text in enumerate(batch["text"]):
-                flat.extend((b" ", b" ", *words_of(text.as_py()), b"\n"))
+                _add(flat, text.as_py())
                 if len(flat) > WORDS_AT_ONCE or at == batch.num_rows - 1:
                     tokens, known, base, own = sums(flat, at + 1 - begin)
                     whole = (pa.array(c.astype(np.int64)) for c in (tokens, known))

@@ -20,6 +20,7 @@ ID_BITS = 31
 SLOT_WORDS = 1 << 20  # words of the corpus for each slot
 LEAST_SLOTS = 256
 RUN_TYPE = "slot int, run binary"
+_LOW = (1 << ID_BITS) - 1
 
 Run = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
@@ -33,15 +34,29 @@ def slot_of(a: np.ndarray, b: np.ndarray, slots: int) -> np.ndarray:
 
 
 def merged(a: np.ndarray, b: np.ndarray, c: np.ndarray, n: np.ndarray) -> Run:
-    """Triples in order, each once, with the sum of ``n``."""
+    """Triples in order, each once, with the sum of ``n``.
+
+    Prefixes are sorted and numbered first, so that number and ``c`` together are one key to sort by.
+    """
     prefix = a << ID_BITS | b
-    order = np.lexsort((c, prefix))
-    prefix, c = prefix[order], c[order]
+    order = np.argsort(prefix)
+    prefix = prefix[order]
     new = np.ones(len(prefix), bool)
-    new[1:] = (prefix[1:] != prefix[:-1]) | (c[1:] != c[:-1])
+    new[1:] = prefix[1:] != prefix[:-1]
+    key = np.cumsum(new) - 1 << ID_BITS | c[order]
+    prefix = prefix[new]
+    if (n == 1).all():
+        key = np.sort(key)
+    else:
+        by_key = np.argsort(key)
+        key, n = key[by_key], n[order[by_key]]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
     first = np.flatnonzero(new)
-    total = np.add.reduceat(n[order], first) if len(first) else n[:0]
-    return prefix[first] >> ID_BITS, prefix[first] & (1 << ID_BITS) - 1, c[first], total
+    key = key[first]
+    total = np.add.reduceat(n, first) if len(first) else n[:0]
+    prefix = prefix[key >> ID_BITS]
+    return prefix >> ID_BITS, prefix & _LOW, key & _LOW, total
 
 
 def _planes(values: np.ndarray, kind: str) -> bytes:

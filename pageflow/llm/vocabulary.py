@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageflow.llm import hash_arrays as H
-from pageflow.llm.common import staged
 
 SEED = 42
 PLACE_BITS = 21  # of an id: place in the shard, which has half as many words on average at most
@@ -42,7 +41,8 @@ def _hash(suffix: bytes) -> Column:
 def build(counted: DataFrame, keep: Column, columns: list[str], work: str) -> tuple[Vocabulary, DataFrame]:
     """The vocabulary of ``counted`` (a stored table ``key, n`` and ``columns``, ``key`` unique), of the rows ``keep`` tells.
 
-    Also its words as a table ``id, n`` and ``columns``. Keys that are not kept are never taken for one that is.
+    The vocabulary is written as the second frame is computed: its words, as ``id, n`` and ``columns``. Keys that are not
+    kept are never taken for one that is.
     """
     turn = 0
     while counted.groupBy(_hash(b"\0" * turn).alias("h")).count().where("count > 1").limit(1).count():
@@ -86,7 +86,7 @@ def build(counted: DataFrame, keep: Column, columns: list[str], work: str) -> tu
 
     kinds = {f.name: f.dataType.simpleString() for f in hashed.schema}
     table = ordered.mapInArrow(write, ", ".join(["id long", "n long", *(f"{c} {kinds[c]}" for c in columns)]))
-    return Vocabulary(folder, bits, suffix), staged(table, f"{work}/words")
+    return Vocabulary(folder, bits, suffix), table
 
 
 class Words:

@@ -87,7 +87,7 @@ def test_the_trie_counts_through_bursts_and_spills(monkeypatch):
             held.append(trie.spill(30))
             assert trie.entries <= 30
     held.append(trie.spill())
-    assert trie.entries == 0 and not trie.root
+    assert trie.entries == 0 and not trie.containers and not trie.nodes
     for a, b, c, _ in held:
         keys = list(zip(a.tolist(), b.tolist(), c.tolist()))
         assert keys == sorted(set(keys))
