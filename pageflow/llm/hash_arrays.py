@@ -51,7 +51,7 @@ def write_arrays(path: str, **arrays: np.ndarray) -> None:
 
 def map_arrays(path: str) -> dict[str, np.ndarray]:
     """The arrays of a file, memory-mapped."""
-    raw = np.memmap(path, np.uint8, "r")
+    raw = np.memmap(path, np.uint8, "r").view(np.ndarray)
     size = int.from_bytes(raw[:8].tobytes(), "little")
     header = json.loads(raw[8 : 8 + size].tobytes())
     found = {}

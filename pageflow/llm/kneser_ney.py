@@ -41,7 +41,7 @@ ABSENT = vocabulary.ABSENT
 BEGIN, END = (1 << runs.ID_BITS) - 1, (1 << runs.ID_BITS) - 2
 MARKS = {b" ": BEGIN, b"\n": END}  # no word holds white space
 WORDS_AT_ONCE = 600_000
-TRIPLES_HELD = 2_000_000
+TRIPLES_HELD = 4_400_000
 COUNTER_ENTRIES = 600_000
 MAPPED = 2048  # files that a worker keeps open
 STATS = -1  # the slot of figures about levels
@@ -109,11 +109,11 @@ def triple_runs(train: DataFrame, words: vocabulary.Vocabulary, slots: int) -> D
 
         def take():
             for u, v, w, _ in _windows(flat, encode):
-                held.append((u, v, w))
+                held.append(tuple(x.astype(np.uint32) for x in (u, v, w)))
             flat.clear()
 
         def counted():
-            u, v, w = map(np.concatenate, zip(*held))
+            u, v, w = (np.concatenate(x).astype(np.int64) for x in zip(*held))
             held.clear()
             yield from runs.by_slot(runs.merged(u, v, w, np.ones(len(u), np.int64)), slots)
 
@@ -259,8 +259,10 @@ class Level:
         """Counts of phrases, and of their contexts the total and the discounts' sum; zeros where absent."""
         counts, total, rest = np.zeros(len(a), np.int64), np.zeros(len(a)), np.zeros(len(a))
         contexts = H.mixed(a, b)
-        slot = (contexts % np.uint64(self.slots)).astype(np.int64)
-        order = np.argsort(slot)
+        slot = contexts % np.uint64(self.slots)
+        if self.slots <= 1 << 16:
+            slot = slot.astype(np.uint16)  # sorted by counting
+        order = np.argsort(slot, kind="stable")
         cuts = np.searchsorted(slot[order], np.arange(self.slots + 1))
         phrases = H.mixed(contexts[order], c[order])
         contexts = contexts[order]

@@ -39,6 +39,7 @@ def merged(a: np.ndarray, b: np.ndarray, c: np.ndarray, n: np.ndarray) -> Run:
     Prefixes are sorted and numbered first, so that number and ``c`` together are one key to sort by.
     """
     prefix = a << ID_BITS | b
+    del a, b
     order = np.argsort(prefix)
     prefix = prefix[order]
     new = np.ones(len(prefix), bool)

@@ -136,11 +136,13 @@ class Encoder:
         self.known = dict(self.fixed)
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        distinct = set(words)
+        encoded = pa.array(words, pa.binary()).dictionary_encode()
+        distinct = encoded.dictionary.to_pylist()
         new = [w for w in distinct if w not in self.known]
         if len(self.known) + len(new) > CACHED:
             self.known = dict(self.fixed)
             new = [w for w in distinct if w not in self.known]
         if new:
             self.known.update(zip(new, self.words.ids([w + self.tail for w in new]).tolist()))
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        ids = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        return ids[encoded.indices.to_numpy()]
