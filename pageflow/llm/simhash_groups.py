@@ -13,13 +13,14 @@ not the whole answer: chance, and what these comparisons leave out, cost links.
 
 The second pass is complete. The prefix filter (``prefix_join``) over the shingle sets finds every pair of the
 similarity or more that the first pass has not connected. All candidates are verified on whole shingle sets, so
-groups are neither too wide nor too narrow.
+groups are neither too wide nor too narrow. The sets are files in the shared, mounted folder, which workers memory-map.
 
 Rules: as in ``simhash``; texts with fewer than five words are one shingle, texts without words are one node.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageflow.llm import golay, prefix_join
-from pageflow.llm.common import bounded, numbered, staged, whole_text
+from pageflow.llm import hash_arrays as H
+from pageflow.llm.common import bounded, drop_staged, numbered, staged, whole_text
 from pageflow.llm.components import components
 from pageflow.llm.simhash import SEED, SEGMENTS, shingle_hashes, words_of
 
@@ -38,6 +40,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 PRINTS = 8
 SMALL_BUCKET = 4
+FILE_SHINGLES = 1 << 21  # of a file of sets
+MAPPED = 512  # files of sets that a worker keeps open
 BLOCK = 2048  # nodes of a bucket that are compared with each other at once
 PREFIX_ROWS = 1 << 14  # of a batch, so that a task needs little memory
 ORDER_NODES = 4096  # whose shingles are counted, about, for the order of the prefix filter
@@ -150,20 +154,76 @@ def _shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(shingle_hashes(words_of(t), shingle)).view(np.int64) for t in batch["text"].to_pylist()]
+            sets = [np.unique(shingle_hashes(words_of(t.as_py()), shingle)).view(np.int64) for t in batch["text"]]
             yield pa.RecordBatch.from_arrays([batch["node"], pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
     return texts.select("node", "text").mapInArrow(shingled, "node long, shingles array<long>")
 
 
+def _write_sets(texts: DataFrame, folder: str, shingle: int) -> DataFrame:
+    """``node, file, begin, size``: where in files below ``folder`` the distinct shingles of each ``node, text`` are, sorted.
+
+    Workers memory-map the files, so a set is written once, however many pairs it is in, and none is shuffled.
+    """
+    folder, names = H.local_path(folder), ["node", "file", "begin", "size"]
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes, sets, held = [], [], 0
+
+        def close():
+            file = uuid.uuid4().hex  # an attempt's own: rows name the file of the attempt that counts
+            H.write_arrays(f"{folder}/{file}", shingles=np.concatenate(sets))
+            sizes = np.array([len(s) for s in sets], np.int64)
+            columns = [pa.array(nodes, pa.int64()), pa.array([file] * len(nodes)), pa.array(np.cumsum(sizes) - sizes), pa.array(sizes)]
+            return pa.RecordBatch.from_arrays(columns, names)
+
+        for batch in batches:
+            for node, text in zip(batch["node"].to_pylist(), batch["text"]):
+                nodes.append(node)
+                sets.append(np.unique(shingle_hashes(words_of(text.as_py()), shingle)))
+                held += len(sets[-1])
+                if held >= FILE_SHINGLES:
+                    yield close()
+                    nodes, sets, held = [], [], 0
+        if nodes:
+            yield close()
+
+    return texts.select("node", "text").mapInArrow(write, "node long, file string, begin long, size long")
+
+
+def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sets (sorted arrays) have the similarity; empty ones do."""
+    if min(len(a), len(b)) < similarity * max(len(a), len(b)):
+        return False
+    common = np.intersect1d(a, b, assume_unique=True).size
+    alike = len(a) + len(b) - common
+    return alike == 0 or common >= similarity * alike
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, folder: str, similarity: float, shingle: int) -> DataFrame:
-    """The ``pairs`` (``a, b``) of the similarity or more."""
+    """The ``pairs`` (``a, b``) of the similarity or more. Their sets lie below ``folder`` until they are dropped."""
     wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{folder}-wanted")
-    sets = staged(_shingle_sets(texts.join(bounded(wanted, wanted.count() * 40), "node", "left_semi"), shingle), f"{folder}-sets")
-    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    alike = F.size("sa") + F.size("sb") - common
-    return both.where((common >= F.lit(similarity) * alike) | (alike == 0)).select("a", "b")
+    chosen = texts.join(bounded(wanted, wanted.count() * 40), "node", "left_semi")
+    places = staged(_write_sets(chosen, f"{folder}-sets", shingle), f"{folder}-places")
+    sets = H.local_path(f"{folder}-sets")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files: dict[str, np.ndarray] = {}
+
+        def held(file: str, begin: int, size: int) -> np.ndarray:
+            if file not in files:
+                if len(files) >= MAPPED:
+                    files.clear()
+                files[file] = H.map_arrays(f"{sets}/{file}")["shingles"]
+            return files[file][begin : begin + size]
+
+        for batch in batches:
+            rows = zip(*(batch[c].to_pylist() for c in ("fa", "ba", "na", "fb", "bb", "nb")))
+            good = [similar(held(fa, ba, na), held(fb, bb, nb), similarity) for fa, ba, na, fb, bb, nb in rows]
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    both = pairs.join(places.toDF("a", "fa", "ba", "na"), "a").join(places.toDF("b", "fb", "bb", "nb"), "b")
+    return both.mapInArrow(verify, "a long, b long")
 
 
 def _unconnected_pairs(texts: DataFrame, roots: DataFrame, work: str, similarity: float, shingle: int) -> DataFrame:
@@ -180,8 +240,8 @@ def _unconnected_pairs(texts: DataFrame, roots: DataFrame, work: str, similarity
         common, counts = shared.value
         names, found, held = ["key", "node", "size", "pos", "root"], [], 0
         for batch in batches:
-            for node, root, text in zip(*(batch[c].to_pylist() for c in ("node", "root", "text"))):
-                members = np.unique(shingle_hashes(words_of(text), shingle))
+            for node, root, text in zip(batch["node"].to_pylist(), batch["root"].to_pylist(), batch["text"]):
+                members = np.unique(shingle_hashes(words_of(text.as_py()), shingle))
                 n = prefix_join.prefix_length(len(members), similarity)
                 keys = prefix_join.ordered(members, common, counts)[:n].view(np.int64)
                 found.append((keys, np.full(n, node), np.full(n, len(members), np.int32), np.arange(n, dtype=np.int32), np.full(n, root)))
@@ -227,7 +287,7 @@ def similar_groups(
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = batch["node"].to_numpy()
-            found = np.array([word_prints(words_of(t), prints) for t in batch["text"].to_pylist()], np.int64).reshape(-1, prints)
+            found = np.array([word_prints(words_of(t.as_py()), prints) for t in batch["text"]], np.int64).reshape(-1, prints)
             for at in range(0, len(own), 1024):
                 row, keys, held = print_keys(found[at : at + 1024])
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(own[at : at + 1024][row]), pa.array(held)], ["key", "node", "print"])
@@ -240,9 +300,11 @@ def similar_groups(
     pairs = staged(met.distinct(), f"{work}/pairs")
 
     links = staged(_verified(pairs, texts, f"{work}/near", similarity, shingle), f"{work}/near-links")
+    drop_staged(docs.sparkSession, f"{work}/near-sets", f"{work}/near-wanted", f"{work}/near-places")
     roots = staged(components(links, f"{work}/components"), f"{work}/near-roots")
     rest = staged(_unconnected_pairs(texts, roots, work, similarity, shingle), f"{work}/rest")
     more = staged(_verified(rest, texts, f"{work}/rest", similarity, shingle), f"{work}/rest-links")
+    drop_staged(docs.sparkSession, f"{work}/rest-sets", f"{work}/rest-wanted", f"{work}/rest-places")
     # Stars of the first pass stand for its links.
     stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     roots = staged(components(stars.unionByName(more), f"{work}/all-components"), f"{work}/roots")
