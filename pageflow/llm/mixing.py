@@ -91,7 +91,7 @@ def _streams(rows: DataFrame, sources: DataFrame) -> DataFrame:
     placed = (
         rows.where("size > 0")
         .join(sources.select("source", "number", buckets.alias("buckets")), F.expr("source <=> src"))
-        .select("row", "id", "order", "size", "number", F.pmod("order", "buckets").alias("bucket"))
+        .select("row", "id", "order", "size", "number", F.pmod(F.xxhash64("order", "row"), F.col("buckets")).alias("bucket"))
     )
     sums = placed.groupBy("number", "bucket").agg(F.sum("size").alias("bucket_size"))
     along = Window.partitionBy("number").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -140,7 +140,8 @@ def _budgets(sources: DataFrame) -> DataFrame:
 def _slots(budgets: DataFrame) -> DataFrame:
     """``number, block, turn, take, shard, place``: one row per slot that takes words."""
     chunks = budgets.where("slots > 0").withColumn("chunk", F.explode(F.expr(f"sequence(0L, (slots - 1) div {CHUNK})")))
-    slots = chunks.repartition("number", "chunk").withColumn(
+    # As many partitions as chunks: a few tiny rows, of which Spark would make one task, grow to all slots here.
+    slots = chunks.repartition(max(1, chunks.count()), "number", "chunk").withColumn(
         "slot", F.explode(F.sequence(F.col("chunk") * CHUNK, F.least(F.col("slots"), (F.col("chunk") + 1) * CHUNK) - 1))
     )
     turn, step = F.expr("slot div blocks"), F.col("slot") % F.col("blocks")
