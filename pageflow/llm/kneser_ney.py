@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +40,7 @@ from pageflow.llm.common import drop_staged, staged, whole_text
 
 ABSENT = vocabulary.ABSENT
 BEGIN, END = (1 << runs.ID_BITS) - 1, (1 << runs.ID_BITS) - 2
-MARKS = {b" ": BEGIN, b"\n": END}  # no word holds white space
+SLICE_BYTES = 4 << 20  # of texts that are encoded at once
 WORDS_AT_ONCE = 600_000
 TRIPLES_HELD = 4_400_000
 COUNTER_ENTRIES = 600_000
@@ -53,28 +54,44 @@ def held_out(id_col: Column | str, parts: int = 7, part: int = 2) -> Column:
     return F.coalesce(F.crc32(own.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-def words_of(text: str) -> list[bytes]:
-    return text.encode().lower().split()
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts in a row, and the place of the text that each is from."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words = parts.flatten().cast(pa.binary())
+    real = pc.not_equal(pc.binary_length(words), 0)  # white space at an end leaves an empty part
+    text = np.repeat(np.arange(len(texts)), parts.value_lengths().to_numpy())
+    return words.filter(real), text[real.to_numpy(zero_copy_only=False)]
 
 
-def _add(flat: list[bytes], text: str) -> None:
-    """Put the tokens of a text behind others."""
-    flat += (b" ", b" ")
-    flat += words_of(text)
-    flat.append(b"\n")
+def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """``(first, texts)`` of some megabytes each; a longer text is a slice of its own."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < len(texts):
+        done = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
+        yield first, texts.slice(first, last - first)
+        first = last
 
 
-def _windows(flat: list[bytes], encode: vocabulary.Encoder) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """``(u, v, w, text)`` of the tokens in ``flat``, which begins with a whole text; ``text`` counts from the first."""
-    before, texts = np.zeros(0, np.int64), 0
-    for at in range(0, len(flat), WORDS_AT_ONCE):
-        own = encode(flat[at : at + WORDS_AT_ONCE])
-        text = texts + np.cumsum(own == END) - (own == END)
-        texts += int((own == END).sum())
-        ids, text = np.concatenate([before, own]), text if len(before) else text[2:]
-        before = ids[-2:]
-        token = ids[2:] != BEGIN
-        yield ids[:-2][token], ids[1:-1][token], ids[2:][token], text[token]
+def sequence(texts: pa.Array, encode: vocabulary.Encoder) -> np.ndarray:
+    """The ids of the texts' tokens in a row, two beginnings before and an end behind each text."""
+    words, text = words_of(texts)
+    ids = np.full(len(words) + 3 * len(texts), BEGIN, np.int64)
+    ids[np.arange(len(words)) + 3 * text + 2] = encode(words)
+    ids[np.cumsum(np.bincount(text, minlength=len(texts)) + 3) - 1] = END
+    return ids
+
+
+def windows(ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """``(u, v, w, text)`` of the tokens in a ``sequence``, so many at a time; ``text`` counts from the first."""
+    texts = 0
+    for at in range(2, len(ids), WORDS_AT_ONCE):
+        part = ids[at - 2 : at + WORDS_AT_ONCE]
+        u, v, w = part[:-2], part[1:-1], part[2:]
+        text, token = texts + np.cumsum(w == END) - (w == END), w != BEGIN
+        texts += int((w == END).sum())
+        yield u[token], v[token], w[token], text[token]
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -84,16 +101,18 @@ def count_words(docs: DataFrame) -> DataFrame:
         counter: Counter = Counter()
 
         def out():
-            words = pa.array(list(counter), pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([words, pa.array(list(counter.values()), pa.int64())], ["key", "n"])
+            keys, n = pa.array(list(counter), pa.binary()), pa.array(list(counter.values()), pa.int64())
+            order = pc.sort_indices(keys)  # neighbours that are alike are packed better
+            yield pa.RecordBatch.from_arrays([keys.take(order).cast(pa.string()), n.take(order)], ["key", "n"])
             counter.clear()
 
         for batch in batches:
-            for text, train in zip(batch["text"], batch["train"].to_pylist()):
-                words = words_of(text.as_py())
-                counter.update(words if train else dict.fromkeys(words, 0))
-                if len(counter) > COUNTER_ENTRIES:
-                    yield from out()
+            for train in (True, False):
+                for _, texts in slices(batch["text"].filter(pc.equal(batch["train"], train))):
+                    values, n = pc.value_counts(words_of(texts)[0]).flatten()
+                    counter.update(dict(zip(values.to_pylist(), n.to_pylist() if train else [0] * len(n))))
+                    if len(counter) > COUNTER_ENTRIES:
+                        yield from out()
         yield from out()
 
     return docs.mapInArrow(count, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
@@ -103,28 +122,20 @@ def triple_runs(train: DataFrame, words: vocabulary.Vocabulary, slots: int) -> D
     """Sorted runs of counted triples of tokens, by slot of the context."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = vocabulary.Encoder(vocabulary.Words(words), fixed=MARKS)
-        flat: list[bytes] = []
+        encode = vocabulary.Encoder(vocabulary.Words(words))
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-        def take():
-            for u, v, w, _ in _windows(flat, encode):
-                held.append(tuple(x.astype(np.uint32) for x in (u, v, w)))
-            flat.clear()
-
         def counted():
             u, v, w = (np.concatenate(x).astype(np.int64) for x in zip(*held))
             held.clear()
             yield from runs.by_slot(runs.merged(u, v, w, np.ones(len(u), np.int64)), slots)
 
         for batch in batches:
-            for text in batch["text"]:
-                _add(flat, text.as_py())
-                if len(flat) > WORDS_AT_ONCE:
-                    take()
-                    if sum(len(u) for u, *_ in held) > TRIPLES_HELD:
+            for _, texts in slices(batch["text"]):
+                for u, v, w, _ in windows(sequence(texts, encode)):
+                    held.append(tuple(x.astype(np.uint32) for x in (u, v, w)))
+                    if sum(len(x) for x, *_ in held) > TRIPLES_HELD:
                         yield from counted()
-        take()
         if held:
             yield from counted()
 
@@ -141,13 +152,25 @@ def _groups(run: runs.Run) -> tuple[np.ndarray, np.ndarray]:
     return first, np.add.reduceat(kinds, first, axis=0)
 
 
+def _kinds(figures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different rows of figures, and for each row which of them it is. Rows of large numbers may come several times."""
+    small = (figures < 1 << 15).all(axis=1)
+    packed = figures[small] @ (1 << np.array([45, 30, 15, 0]))
+    keys, of_small = np.unique(packed, return_inverse=True)
+    shared = np.stack([keys >> shift & (1 << 15) - 1 for shift in (45, 30, 15, 0)], axis=1)
+    kind = np.empty(len(figures), np.int64)
+    kind[small] = of_small
+    kind[~small] = len(shared) + np.arange((~small).sum())
+    return np.concatenate([shared, figures[~small]]), kind
+
+
 def write_slot(path: str, run: runs.Run) -> None:
     """The arrays of a slot: contexts with figures (shared by contexts alike), and phrases with counts."""
     a, b, c, n = run
     first, figures = _groups(run)
     contexts = H.mixed(a[first], b[first])
     order = np.argsort(contexts)
-    shared, kind = np.unique(figures[order], axis=0, return_inverse=True)
+    shared, kind = _kinds(figures[order])
     starts, low = H.compact(contexts[order])
     phrases = H.mixed(np.repeat(contexts, np.diff(first, append=len(a))), c)
     by_hash = np.argsort(phrases)
@@ -158,7 +181,7 @@ def write_slot(path: str, run: runs.Run) -> None:
         path,
         context_starts=starts,
         context_low=low,
-        kind=kind.reshape(-1).astype(np.uint16 if len(shared) <= 1 << 16 else np.uint32),
+        kind=kind.astype(np.uint16 if len(shared) <= 1 << 16 else np.uint32),
         figures=shared.reshape(-1),
         phrase_starts=phrase_starts,
         phrase_low=phrase_low,
@@ -311,9 +334,8 @@ class Reader:
             one = (n - d[np.minimum(n, 3)]) / total + (d[1:] @ np.array([once, twice, more])) / total * uniform
         else:
             one = np.full(len(single), uniform)
-        pairs, first, of_pair = np.unique((v + 1) << (runs.ID_BITS + 1) | (w + 1), return_index=True, return_inverse=True)
-        two = self.two.interpolated(np.zeros_like(pairs), v[first], w[first], one[place[first]])
-        return own[place], self.three.interpolated(u, v, w, two[of_pair])
+        two = self.two.interpolated(np.zeros_like(v), v, w, one[place])
+        return own[place], self.three.interpolated(u, v, w, two)
 
 
 def fit(docs: DataFrame, train: Column, work: str, text_col: str = "text") -> Model:
@@ -348,26 +370,18 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model)
-        encode = vocabulary.Encoder(reader.words, fixed=MARKS)
+        encode = vocabulary.Encoder(reader.words)
         room = model.train_tokens + model.known + 1
 
-        def sums(flat: list[bytes], texts: int) -> list[np.ndarray]:
-            totals = [np.zeros(texts) for _ in range(4)]
-            for u, v, w, text in _windows(flat, encode):
-                c, p = reader.scored(u, v, w)
-                for total, values in zip(totals, (np.ones(len(w)), c > 0, np.log10((c + 1) / room), np.log10(p))):
-                    total += np.bincount(text, values, texts)
-            return totals
-
         for batch in batches:
-            flat, begin = [], 0
-            for at, text in enumerate(batch["text"]):
-                _add(flat, text.as_py())
-                if len(flat) > WORDS_AT_ONCE or at == batch.num_rows - 1:
-                    tokens, known, base, own = sums(flat, at + 1 - begin)
-                    whole = (pa.array(c.astype(np.int64)) for c in (tokens, known))
-                    yield pa.RecordBatch.from_arrays([batch["id"].slice(begin, at + 1 - begin), *whole, pa.array(base), pa.array(own)], names)
-                    flat, begin = [], at + 1
+            for first, texts in slices(batch["text"]):
+                totals = [np.zeros(len(texts)) for _ in range(4)]
+                for u, v, w, text in windows(sequence(texts, encode)):
+                    c, p = reader.scored(u, v, w)
+                    for total, values in zip(totals, (None, c > 0, np.log10((c + 1) / room), np.log10(p))):
+                        total += np.bincount(text, values, len(texts))
+                whole = [pa.array(t.astype(np.int64)) for t in totals[:2]]
+                yield pa.RecordBatch.from_arrays([batch["id"].slice(first, len(texts)), *whole, *map(pa.array, totals[2:])], names)
 
     kinds = {"n_tokens": T.LongType(), "n_known": T.LongType(), "base_score": T.DoubleType(), "score": T.DoubleType()}
     return slim.mapInArrow(scored, T.StructType([slim.schema["id"], *(T.StructField(n, k) for n, k in kinds.items())]))

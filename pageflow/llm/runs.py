@@ -8,6 +8,7 @@ slots follows the size of the corpus, so that a slot's runs have a bounded size.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -72,15 +73,32 @@ def _numbers(data: bytes, kind: str, n: int) -> np.ndarray:
 
 def pack(run: Run) -> bytes:
     a, b, c, n = run
-    body = _planes(np.diff(a, prepend=0), "<u4") + _planes(b, "<u4") + _planes(c, "<u4") + _planes(n, "<u8")
-    return len(a).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(body)
+    step = np.diff(a, prepend=0)
+    within = b - np.where(step == 0, np.concatenate([b[:0], [0], b[:-1]])[: len(b)], 0)  # second words ascend under one first word
+    body = _planes(step, "<u4") + _planes(within, "<u4") + _planes(c, "<u4") + _planes(n, "<u8")
+    return len(a).to_bytes(8, "little") + _packer().compress(body)
 
 
 def unpack(data: bytes) -> Run:
     n = int.from_bytes(data[:8], "little")
-    body = zstandard.ZstdDecompressor().decompress(data[8:])
-    a, b, c = (_numbers(body[4 * n * i : 4 * n * (i + 1)], "<u4", n) for i in range(3))
-    return np.cumsum(a), b, c, _numbers(body[12 * n :], "<u8", n)
+    body = _unpacker().decompress(data[8:])
+    step, within, c = (_numbers(body[4 * n * i : 4 * n * (i + 1)], "<u4", n) for i in range(3))
+    # Sums of steps that start anew where the first word changes.
+    total = np.cumsum(within)
+    first = np.flatnonzero(step) if n else step
+    first = np.concatenate([[0], first[first > 0]]) if n else first
+    before = np.repeat((total - within)[first], np.diff(first, append=n)) if n else total
+    return np.cumsum(step), total - before, c, _numbers(body[12 * n :], "<u8", n)
+
+
+@cache
+def _packer() -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=3)
+
+
+@cache
+def _unpacker() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
 
 
 def by_slot(run: Run, slots: int) -> Iterator[pa.RecordBatch]:

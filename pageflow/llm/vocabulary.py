@@ -135,8 +135,8 @@ class Encoder:
         self.words, self.tail, self.fixed = words, tail, fixed or {}
         self.known = dict(self.fixed)
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        encoded = pa.array(words, pa.binary()).dictionary_encode()
+    def __call__(self, words: list[bytes] | pa.Array) -> np.ndarray:
+        encoded = (words if isinstance(words, pa.Array) else pa.array(words, pa.binary())).dictionary_encode()
         distinct = encoded.dictionary.to_pylist()
         new = [w for w in distinct if w not in self.known]
         if len(self.known) + len(new) > CACHED:

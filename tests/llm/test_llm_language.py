@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import ODD
 from pyspark.sql import functions as F
@@ -236,14 +237,36 @@ def test_probabilities_sum_to_one(spark, make_docs, work):
         assert p.sum() == pytest.approx(1) and (p > 0).all()
 
 
+def test_words_are_those_of_the_contract():
+    texts = [" a  B\x0b\x1cc\u3000D ", "", "x", "\t\n\x0c\r", "\xc9 \xc0b"]
+    words, text = kneser_ney.words_of(pa.array(texts))
+    assert list(zip(text.tolist(), words.to_pylist())) == [(i, w) for i, t in enumerate(texts) for w in t.encode().lower().split()]
+    assert [(first, part.to_pylist()) for first, part in kneser_ney.slices(pa.array(texts))] == [(0, texts)]
+
+
 def test_windows_cut_long_texts(monkeypatch):
-    whole = [b" ", b" ", *b"a b c d e f g".split(), b"\n", b" ", b" ", b"\n", b" ", b" ", b"h", b"\n"]
-    ids = {w: i for i, w in enumerate(sorted(set(whole)))} | kneser_ney.MARKS
-    encode = lambda words: np.array([ids[w] for w in words], np.int64)
-    want = [np.concatenate(x).tolist() for x in zip(*kneser_ney._windows(whole, encode))]
-    for n in (2, 3, 5, 8):
+    texts = pa.array(["a b c d e f g", "", " ", "h", "i j"])
+    ids = {w: i for i, w in enumerate(b"a b c d e f g h i j".split())}
+    encode = lambda words: np.array([ids[w] for w in words.to_pylist()], np.int64)
+    B, E = kneser_ney.BEGIN, kneser_ney.END
+    whole = kneser_ney.sequence(texts, encode)
+    assert whole.tolist() == [B, B, 0, 1, 2, 3, 4, 5, 6, E, B, B, E, B, B, E, B, B, 7, E, B, B, 8, 9, E]
+    want = [np.concatenate(x).tolist() for x in zip(*kneser_ney.windows(whole))]
+    assert want[2] == [0, 1, 2, 3, 4, 5, 6, E, E, E, 7, E, 8, 9, E] and want[3] == [0] * 8 + [1, 2, 3, 3, 4, 4, 4]
+    assert want[0][:3] == [B, B, 0] and want[1][:3] == [B, 0, 1]
+    for n in (1, 2, 3, 5, 8):
         monkeypatch.setattr(kneser_ney, "WORDS_AT_ONCE", n)
-        assert [np.concatenate(x).tolist() for x in zip(*kneser_ney._windows(whole, encode))] == want
+        assert [np.concatenate(x).tolist() for x in zip(*kneser_ney.windows(whole))] == want
+    for n in (1, 6, 9):
+        monkeypatch.setattr(kneser_ney, "SLICE_BYTES", n)
+        assert [t for _, part in kneser_ney.slices(texts) for t in part.to_pylist()] == texts.to_pylist()
+
+
+def test_contexts_share_kinds():
+    rng = np.random.default_rng(5)
+    figures = rng.choice([0, 1, 2, 1 << 14, 1 << 15, 1 << 40], (500, 4))
+    shared, kind = kneser_ney._kinds(figures)
+    assert (shared[kind] == figures).all() and kneser_ney._kinds(figures[:0])[0].shape == (0, 4)
 
 
 @pytest.mark.parametrize("train", [True, False])
