@@ -19,3 +19,8 @@ def content_hash(payload: str = "page_payload", image: str = "page_image") -> Co
     """SHA-256 over the two payload hashes; a null payload hashes like an empty one."""
     part = lambda c: F.sha2(F.coalesce(F.col(c), F.lit("")), 256)
     return F.sha2(F.concat_ws("||", part(payload), part(image)), 256)
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    """The share of a table that a key is in; null for a null key."""
+    return F.when(F.col(key).isNotNull(), F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))

@@ -14,6 +14,44 @@ def _kind(value: Column, *kinds: str) -> Column:
     return F.schema_of_variant(value).rlike(f"^({'|'.join(kinds)})")
 
 
+# What stands behind a text to tell whether it was one JSON document; no document of its own ends like this.
+_END = "\\u0000end"
+# Bare not-a-numbers as some services write them, where a value stands.
+_BARE = r"([\[:,]\s*)(NaN|-?Infinity)(?=\s*[,\]}])"
+
+
+def _listed(text: Column) -> Column:
+    """The variant reader stops after a document, so it is given a list: the text and a mark."""
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
+
+
+def _mended(text: Column) -> Column:
+    """``_listed`` for texts with bare not-a-numbers, which become texts: as scores they are not finite either way."""
+    bare = text.contains("NaN") | text.contains("Infinity")
+    return F.when(bare, _listed(F.regexp_replace(text, _BARE, '$1"$2"')))
+
+
+def _alone(listed: str) -> Column:
+    """The document of a list; null unless the mark follows it, for only then the text was one document."""
+    marked = F.try_variant_get(listed, "$[1]", "string") == F.lit("\0end")
+    return F.when(marked, F.try_variant_get(listed, "$[0]", "variant"))
+
+
+def _json_stages(text: str, name: str) -> list[Column]:
+    """Columns that lead to ``name``, the JSON document in column ``text`` as a variant; null where the text is not JSON.
+
+    As the services' own language reads it: text after the document is an error, bare ``NaN`` and ``Infinity`` are taken. A repeated
+    key counts as not JSON unless ``spark.sql.variant.allowDuplicateKeys`` is set, with which the last one counts.
+    """
+    plain, strict, mended = (f"{name}_{step}" for step in ("plain", "strict", "mended"))
+    return [
+        _listed(F.col(text)).alias(plain),
+        _alone(plain).alias(strict),
+        F.when(F.col(strict).isNull(), _mended(F.col(text))).alias(mended),
+        F.coalesce(strict, _alone(mended)).alias(name),
+    ]
+
+
 def _without_field(value: Column, field: Column, name: str, absent: Column, unusable: Column) -> Column:
     """What is wrong with a JSON value whose field ``name`` is to be read as ``field``; null if nothing.
 
@@ -43,10 +81,10 @@ def parse_responses(df: DataFrame) -> DataFrame:
     # Each name is an input of the next ones.
     staged = df.select(
         "*",
-        F.try_parse_json("body").alias("_doc"),
+        *_json_stages("body", "_doc"),
         F.try_variant_get("_doc", "$.value", "variant").alias("_value"),
         F.when(_kind(value, "STRING"), F.try_variant_get("_value", "$", "string")).alias("_text"),
-        F.try_parse_json("_text").alias("_inner"),
+        *_json_stages("_text", "_inner"),
         F.try_variant_get("_inner", "$.content", "variant").alias("_content"),
         F.try_variant_get("_inner", "$.confidence", "variant").alias("_confidence"),
         F.try_variant_get("_content", "$", "string").alias("_bare"),

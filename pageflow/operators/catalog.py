@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,6 +66,20 @@ def new_errors(failures: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
+def waiting_rows(failures: DataFrame, as_of: Column, settings: Settings = DEFAULTS) -> DataFrame:
+    """New failures with the time from which they are due again."""
+    again = F.when(~is_permanent(settings), retry_after())
+    rows = new_errors(failures, as_of).withColumns({"at": F.col("last_attempt_at"), "due_at": again})
+    return conform_schema(rows, schemas.WAITING)
+
+
+def touched_records(catalog: DataFrame, settled: DataFrame, replaced: DataFrame, failures: DataFrame) -> DataFrame:
+    """``record_id`` of all rows that ``merge_catalog`` would take out of the catalog or put into it, maybe of some more."""
+    tried = catalog.join(settled.select(*KEY).distinct(), KEY, "left_semi")
+    arrived = catalog.join(replaced.select("page_key").distinct(), "page_key", "left_semi")
+    return reduce(DataFrame.unionAll, [rows.select("record_id") for rows in (failures, tried, arrived)])
+
+
 def merge_catalog(
     catalog: DataFrame,
     settled: DataFrame,

@@ -58,6 +58,12 @@ def top_categories(errors: DataFrame, n: int = 5) -> DataFrame:
     return category_counts(errors).orderBy(F.desc("error_count"), "error_category").limit(n)
 
 
+def is_tripped(processed: int, errors: int, settings: Settings = DEFAULTS) -> bool:
+    """The breaker's rule for plain numbers."""
+    enough = processed >= settings.breaker_min_rows and errors >= settings.breaker_min_failures
+    return enough and errors / processed >= settings.breaker_rate
+
+
 def breaker_check(counts: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Adds ``tripped`` to a row with ``processed_count, error_count, error_rate``."""
     tripped = (

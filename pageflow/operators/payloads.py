@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageflow import schemas
 from pageflow.functions.keys import content_hash, record_id
 from pageflow.functions.text import is_blank
-from pageflow.operators.joins import lookup
+from pageflow.operators.joins import PLAIN_ROWS, lookup, probe_in_place
 from pageflow.settings import BLANK_PAYLOAD, DEFAULTS, INVALID_PAYLOAD, OVERSIZE_PAYLOAD, Settings
 
 
@@ -31,14 +33,26 @@ def page_keys(pages: DataFrame) -> DataFrame:
     )
 
 
-def attach_flags(rows: DataFrame, flags: DataFrame, spread_by: list[str], settings: Settings = DEFAULTS) -> DataFrame:
-    """Add ``use_image`` by document; documents without a flag count as false.
+def set_flags(flags: DataFrame) -> DataFrame:
+    """Documents whose flag is set, each once: false and missing are the same, so only these are looked up."""
+    return flags.where("use_image").select("doc_id").distinct().withColumn("use_image", F.lit(True))
+
+
+def attach_flags(
+    rows: DataFrame, flags: DataFrame, spread_by: list[str], settings: Settings = DEFAULTS, heavy: Sequence[int] = ()
+) -> DataFrame:
+    """Add ``use_image`` by document to slim rows; documents without a flag count as false.
 
-    A document may own any share of the rows, so the lookup is spread within documents.
+    A document may own any share of the rows: ``heavy`` names such documents, whose rows are spread.
     """
-    # Only documents with the flag set are looked up; false and missing are the same.
-    per_doc = flags.where("use_image").select("doc_id").distinct().withColumn("use_image", F.lit(True))
-    joined = lookup(rows, per_doc, ["doc_id"], spread_by, buckets=settings.lookup_buckets)
+    joined = lookup(rows, set_flags(flags), ["doc_id"], spread_by, buckets=settings.lookup_buckets, heavy=heavy)
+    return joined.withColumn("use_image", F.coalesce("use_image", F.lit(False)))
+
+
+def attach_flags_in_place(pages: DataFrame, flags: DataFrame) -> DataFrame:
+    """``attach_flags`` for rows that carry payloads: set flags are counted, and broadcast in parts if they are many."""
+    per_doc = set_flags(flags)
+    joined = probe_in_place(pages, per_doc, ["doc_id"], "left", 1 + per_doc.count() // (10 * PLAIN_ROWS))
     return joined.withColumn("use_image", F.coalesce("use_image", F.lit(False)))
 
 

@@ -29,16 +29,17 @@ def conform_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def fail_batch(pages: DataFrame, reason: str, as_of: Column) -> DataFrame:
     """Success-shaped output for a batch that could not be tried at all, e.g. for want of credentials."""
-    failed = (
-        conform_schema(pages, schemas.PAGE)
-        .withColumn("status", F.lit(reason))
-        .withColumn("stage_times", F.to_json(F.create_map(F.lit(FAILED), stamp_text(as_of))))
-        .withColumn("markdown", F.concat(F.lit("ERROR: "), F.lit(reason)))
-        .withColumn("has_table", F.lit(False))
-        .withColumn("has_image", F.lit(False))
-        .withColumn("word_count", F.lit(0))
-    )
-    return conform_schema(failed, schemas.SUCCESS)
+    outcome = {
+        "status": F.lit(reason),
+        "stage_times": F.to_json(F.create_map(F.lit(FAILED), stamp_text(as_of))),
+        "markdown": F.lit(f"ERROR: {reason}"),
+        "has_table": F.lit(False),
+        "has_image": F.lit(False),
+        "word_count": F.lit(0),
+    }
+    kept = set(schemas.PAGE.names) & set(pages.columns)
+    value = lambda f: outcome[f.name].alias(f.name) if f.name in outcome else F.col(f.name) if f.name in kept else null_of(f)
+    return pages.select([value(f) for f in schemas.SUCCESS.fields])
 
 
 def sample_rows(df: DataFrame, key: str, n: int) -> DataFrame:

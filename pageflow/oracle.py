@@ -119,10 +119,11 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
             CASE (conv_id * 8 + turn) % 12
             WHEN 0 THEN json_object('value', json_object('content', concat('|--|--|', chr(10), text), 'confidence',
                 json_object('layout_score', turn / 10.0::DOUBLE, 'parse_score', 'nan', 'ocr_score', 0.5::DOUBLE))::VARCHAR)::VARCHAR
-            WHEN 1 THEN json_object('value', json_object('content', concat('![i](u) ', text), 'confidence',
-                json_object('table_score', 1))::VARCHAR)::VARCHAR
-            WHEN 2 THEN json_object('value', text)::VARCHAR
-            WHEN 3 THEN '{"other":1}'
+            WHEN 1 THEN json_object('value', CASE WHEN conv_id % 3 = 0
+                THEN '{"content":"bare","confidence":{"table_score": NaN,"ocr_score":0.25,"parse_score":-Infinity}}'
+                ELSE json_object('content', concat('![i](u) ', text), 'confidence', json_object('table_score', 1))::VARCHAR END)::VARCHAR
+            WHEN 2 THEN json_object('value', CASE WHEN conv_id % 3 = 0 THEN concat('{"content":"x"} ', text) ELSE text END)::VARCHAR
+            WHEN 3 THEN CASE WHEN conv_id % 2 = 0 THEN '{"value":"x"} {"more":1}' ELSE '{"other":1}' END
             WHEN 4 THEN json_object('value', '{"note":"none"}')::VARCHAR
             WHEN 5 THEN json_object('value', '{"content":null}')::VARCHAR
             WHEN 6 THEN 'not json'
@@ -544,9 +545,17 @@ SQL: dict[str, str] = {
             count(*) FILTER (has_table) AS table_count, count(*) FILTER (has_image) AS image_count,
             count(*) FILTER (error IS NULL AND markdown IS NULL) AS null_content_count,
             count(*) FILTER (error IS NULL) / count(*)::DOUBLE * 100.0::DOUBLE AS success_rate,
-            count(*) FILTER (error IS NOT NULL) / count(*)::DOUBLE AS error_rate
+            count(*) FILTER (error IS NOT NULL) / count(*)::DOUBLE AS error_rate,
+            (SELECT count(*) - count(DISTINCT page_key) FROM k1 WHERE ingest_id = 2) AS duplicate_count,
+            (SELECT count(*) FROM k1 WHERE ingest_id = 2 AND page_key IN (SELECT page_key FROM fx3)) AS succeeded_before_count,
+            (SELECT count(*) FROM k1 JOIN states s USING (record_id, content_hash)
+                WHERE ingest_id = 2 AND k1.page_key NOT IN (SELECT page_key FROM fx3) AND s.state <> 'due') AS held_count,
+            (SELECT count(*) FROM states WHERE state = 'due') AS due_count,
+            (SELECT count(*) FROM states WHERE state = 'waiting') AS waiting_count,
+            (SELECT count(*) FROM states WHERE state = 'permanent') AS permanent_count
         FROM (SELECT *, coalesce(error = 'ERROR: Invalid or missing encoding', false) AS invalid FROM done_pages)""",
         "done_pages",
+        "states",
         extra=BATCH,
     ),
     "batch_run_report": with_ctes(
@@ -558,4 +567,12 @@ SQL: dict[str, str] = {
         extra=BATCH,
     ),
     "stream_run": BATCH_RUN,
+    "stream_retries": with_ctes(
+        f"""SELECT record_id, content_hash, CASE WHEN given_up THEN 1 ELSE 3 END::INTEGER AS attempt_count, error AS last_error,
+            error_category, CASE WHEN given_up THEN '2024-01-30 12:00:00' ELSE '2024-01-30 12:06:45' END AS last_attempt_at,
+            DATE '2024-01-30' AS error_date, page_key
+        FROM (SELECT *, error_category IN ('PERMANENT_INVALID_ENCODING', 'PERMANENT_SIZE_LIMIT') AS given_up
+            FROM (SELECT *, {category_by_status('error', 'status_code')} AS error_category FROM finished WHERE error IS NOT NULL))""",
+        "finished",
+    ),
 }

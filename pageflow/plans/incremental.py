@@ -3,24 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor, as_completed
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pageflow import schemas
 from pageflow.functions.errors import classify_error
-from pageflow.functions.keys import content_hash, record_id
-from pageflow.operators.catalog import DUE, KEY, merge_catalog
+from pageflow.functions.keys import bucket_of, content_hash, record_id
+from pageflow.operators.catalog import DUE, KEY, PERMANENT, WAITING, merge_catalog, touched_records, waiting_rows
 from pageflow.operators.convert import Converter
-from pageflow.operators.metrics import breaker_check, count_if, error_summary, rate, top_categories
+from pageflow.operators.joins import heavy_of, key_sketch
+from pageflow.operators.metrics import breaker_check, count_if, error_summary, is_tripped, top_categories
 from pageflow.operators.payloads import attach_flags, page_keys, rejection
 from pageflow.operators.tables import conform_schema, empty
-from pageflow.plans.chunks import chunk_numbers, fetch, find_again, with_chunks
+from pageflow.plans.chunks import PLACE, chunk_numbers, differences, fetch, find_again, in_flight, place_sum, with_chunks, with_slices
 from pageflow.plans.pages import convert_pages, finish_pages, with_payload
-from pageflow.plans.planner import ADDED, RETRY, catalog_states, combine, fresh_pages, mark_done, match_due
+from pageflow.plans.planner import ADDED, RETRY, catalog_states, combine, fresh_pages, mark_done, match_due, one_per_page_key, succeeded
 from pageflow.settings import DEFAULTS, MISSING_PAGE, Settings
-from pageflow.sources.store import Head, PageStore
+from pageflow.sources.store import CATALOG_BUCKETS, Head, PageStore
+from pageflow.sources.tables import PageFolder
 
 # Progress entry of the planning step; chunks count from 0.
 PLANNED = -1
@@ -29,6 +30,10 @@ NO_PAGE = -1
 FAILURE = ["page_key", *KEY, "attempt_count", "error", "error_category"]
 
 
+class RepeatedSuccess(RuntimeError):
+    """A page would have been in the success table twice; nothing of the run was committed."""
+
+
 class BreakerTripped(RuntimeError):
     """Nearly everything failed; nothing of the run was committed."""
 
@@ -36,7 +41,7 @@ class BreakerTripped(RuntimeError):
 def run_batch(
     store: PageStore,
     added: DataFrame,
-    pages: DataFrame,
+    pages: DataFrame | PageFolder,
     flags: DataFrame,
     converter: Converter,
     as_of: Column,
@@ -48,8 +53,9 @@ def run_batch(
 
     ``pages`` is the whole page table, with row identity; retried pages are fetched from it. ``run_id``
     makes the run idempotent: committed, it does nothing; broken off, it resumes with what is finished. After a
-    tripped breaker, or another run's commit in between, it plans and converts anew. A run is committed only if
-    every planned page has a result or an error.
+    tripped breaker it plans and converts anew; after another run's commit in between it plans anew and takes over the
+    answers for pages that are still planned. A run is committed only if every planned page has a result or an error,
+    and no page key would be in the success table twice.
     """
     head = store.head()
     if run_id in head.runs:
@@ -57,96 +63,162 @@ def run_batch(
     version = store.version(run_id)
     finished = store.progress(version)
     if PLANNED not in finished:
-        _write_plan(store, head, added, flags, as_of, version, settings)
-        store.mark_finished(version, PLANNED, last_ingest_id)
-        finished[PLANNED] = last_ingest_id
-    last_ingest_id = finished[PLANNED]
-
+        planned = _write_plan(store, head, added, flags, as_of, version, settings)
+        store.mark_finished(version, PLANNED, last_ingest_id, planned)
+        finished[PLANNED] = {"last_ingest_id": last_ingest_id, **planned}
+    planned = finished.pop(PLANNED)
+    last_ingest_id = planned["last_ingest_id"]
     plan = store.plan(version)
-    convert = lambda part, name: _results(fetch(pages, part), converter, as_of, settings).write.mode("overwrite").parquet(
-        f"{store.path('results', version)}/{name}"
-    )
+    answered = store.standing_answers(run_id)
+
+    def convert(part: DataFrame, name: str) -> dict:
+        return _write_results(store, version, _results(fetch(pages, part), converter, as_of, settings), name)
 
     def convert_chunk(chunk: int) -> None:
-        convert(_part(plan.where(F.col("chunk") == chunk)), f"chunk-{chunk:05d}")
-        store.mark_finished(version, chunk, last_ingest_id)
+        rows, taken = plan.where(F.col("chunk") == chunk), {}
+        if answered is not None:
+            rows, taken = _take_over(store, version, answered, rows, f"answered-{chunk:05d}")
+        figures = _total([taken, convert(_part(rows), f"chunk-{chunk:05d}")])
+        store.mark_finished(version, chunk, last_ingest_id, figures)
+        finished[chunk] = figures
 
     chunks = chunk_numbers(plan)
     if not chunks:
         store.write(empty(store.spark, schemas.CONVERTED), "results", version)
-    _in_flight(convert_chunk, [c for c in chunks if c not in finished], settings.chunks_at_once)
+    before = sum(figures["errors"] for figures in finished.values())
+    failed = getattr(converter, "failed_calls", lambda: 0)
+    earlier = failed()
+
+    def give_up() -> None:
+        """Once it is certain that the breaker will trip, what runs on is stopped."""
+        certain = planned["invalid"] + before + failed() - earlier
+        if is_tripped(planned["planned"], certain, settings):
+            raise _Certain(certain)
+
+    try:
+        in_flight(store.spark, convert_chunk, [c for c in chunks if c not in finished], settings.chunks_at_once, give_up)
+    except _Certain as e:
+        _trip(store, run_id, version, plan, planned["planned"], e.args[0])
+    done = _total([*finished.values()])
 
     results = store.read("results", version, schemas.CONVERTED)
-    failures = _failures(results, plan)
-    store.write(_metrics(results, plan, None, as_of, run_id), "metrics", version)
-    if _unaccounted(store, version):
-        gone = _recover(store, pages, plan, results, convert, version, settings)
+    failures, gone = _failures(results, plan), None
+    if (done["rows"], done["places"]) != (planned["fetched"], int(planned["places"])):
+        fetched = plan.where(F.col("chunk") >= 0)
+        gone, places, again = _recover(store, pages, plan, results, convert, version, settings)
+        done = _total([done, again])
         results = store.read("results", version, schemas.CONVERTED)
         failures = _failures(results, plan).unionByName(gone)
-        store.write(_metrics(results, plan, gone, as_of, run_id), "metrics", version)
-        if missing := _unaccounted(store, version):
-            raise RuntimeError(f"{missing} planned pages of {run_id} have neither a result nor an error")
+        left = differences(places, results)
+        if left.lost or left.extra:
+            raise RuntimeError(f"{left.lost} planned pages of {run_id} have neither a result nor an error, {left.extra} have several")
+    missing = gone.count() if gone is not None else 0
+    store.write(_metrics(store, planned, done, missing, as_of, run_id), "metrics", version)
     _stop_if_tripped(store, run_id, version, failures, settings)
+    _check_keys(store, head, run_id, results)
 
     arrived = plan.where((F.col("origin") == ADDED) & ~F.col("done"))
-    catalog = merge_catalog(store.catalog(head), plan, arrived, failures, as_of, settings)
-    store.write(catalog, "catalog", version)
+    records = touched_records(store.catalog(head), plan, arrived, failures)
+    touched = [r[0] for r in records.select(bucket_of("record_id", CATALOG_BUCKETS)).distinct().collect()]
+    catalog = merge_catalog(store.catalog(head, touched), plan, arrived, failures, as_of, settings)
+    store.write_catalog(catalog, head, version, touched)
+    store.write(waiting_rows(failures, as_of, settings), "waiting", version)
     counted = failures.withColumn("attempt_count", F.col("attempt_count") + 1)
     report = error_summary(counted, settings).withColumn("run_id", F.lit(run_id))
     store.write(conform_schema(report, schemas.REPORT), "report", version)
     store.commit(run_id, version, head, last_ingest_id, as_of)
+    store.take_snapshot(settings.snapshot_every)
+
 
+# Figures of converted rows; ``places`` tells which rows they were.
+OUTCOMES = ("rows", "successes", "errors", "tables", "images", "null_contents", "places")
 
-def _in_flight(work: Callable[[int], None], items: list[int], at_once: int) -> None:
-    """Some Spark jobs at a time; after a failure those not started are dropped."""
-    with ThreadPoolExecutor(at_once) as pool:
-        futures = [pool.submit(work, item) for item in items]
-        try:
-            for future in as_completed(futures):
-                future.result()
-        except BaseException:
-            pool.shutdown(wait=False, cancel_futures=True)
-            raise
+
+def _total(parts: list[dict]) -> dict:
+    return {name: sum(int(p.get(name) or 0) for p in parts) for name in OUTCOMES}
+
+
+def _write_results(store: PageStore, version: str, rows: DataFrame, name: str) -> dict:
+    """Write converted rows below the run's results; their figures come from the same pass."""
+    failed = F.col("error").isNotNull()
+    figures = {
+        "rows": F.count("*"),
+        "successes": count_if(~failed),
+        "errors": count_if(failed),
+        "tables": count_if(F.col("has_table")),
+        "images": count_if(F.col("has_image")),
+        "null_contents": count_if(~failed & F.col("markdown").isNull()),
+        "places": place_sum(),
+    }
+    seen = Observation()
+    observed = conform_schema(rows, schemas.CONVERTED).observe(seen, *[f.alias(n) for n, f in figures.items()])
+    observed.write.mode("overwrite").parquet(f"{store.path('results', version)}/{name}")
+    return seen.get
 
 
 def _part(rows: DataFrame) -> DataFrame:
     """What a fetch needs of plan rows; a retry must still find the content that failed."""
     expected = F.when(F.col("origin") == RETRY, F.col("content_hash")).alias("expected_hash")
-    return rows.select("row_file", "row_index", "attempt_count", "use_image", expected)
+    return rows.select("row_file", "row_index", "slice", "attempt_count", "use_image", expected)
 
 
-def _unaccounted(store: PageStore, version: str) -> int:
-    """Planned pages without an outcome."""
-    row = store.read("metrics", version, schemas.METRICS).first()
-    return row.planned_count - row.success_count - row.error_count
+def _take_over(store: PageStore, version: str, answered: DataFrame, rows: DataFrame, name: str) -> tuple[DataFrame, dict]:
+    """Write the answers that there are for plan rows already; returns the rows without one, and figures of the others.
+
+    The page must be the planned one: same place, same content. Its attempts count as planned now.
+    """
+    files = [r.row_file for r in rows.select("row_file").distinct().collect()]
+    wanted = F.broadcast(rows.select(*PLACE, F.col("content_hash").alias("_planned"), F.col("attempt_count").alias("_attempts")))
+    found = answered.where(F.col("row_file").isin(files)).join(wanted, PLACE)
+    same = F.coalesce(F.col("content_hash"), content_hash()) == F.col("_planned")
+    kept = found.where(same).withColumn("attempt_count", F.col("_attempts"))
+    figures = _write_results(store, version, kept, name)
+    done = store.spark.read.schema(schemas.CONVERTED).parquet(f"{store.path('results', version)}/{name}").select(*PLACE)
+    return rows.join(done, PLACE, "left_anti"), figures
+
+
+def _check_keys(store: PageStore, head: Head, run_id: str, results: DataFrame) -> None:
+    """Refuse a run that would repeat a success: within itself, or one that is in the success table."""
+    keys = results.where(F.col("error").isNull() & F.col("page_key").isNotNull()).groupBy("page_key").agg(F.count("*").alias("n"))
+    earlier = succeeded(store.success_keys(head, keys), keys).withColumn("earlier", F.lit(True))
+    found = keys.join(earlier, "page_key", "left").agg(count_if(F.col("n") > 1).alias("twice"), count_if(F.col("earlier")).alias("earlier")).first()
+    if found.twice or found.earlier:
+        store.give_up(run_id)
+        raise RepeatedSuccess(
+            f"{found.twice} page keys are twice among the successes of {run_id}, {found.earlier} succeeded in earlier runs"
+        )
 
 
 def _recover(
     store: PageStore,
-    pages: DataFrame,
+    pages: DataFrame | PageFolder,
     plan: DataFrame,
     results: DataFrame,
-    convert: Callable[[DataFrame, str], None],
+    convert: Callable[[DataFrame, str], dict],
     version: str,
     settings: Settings,
-) -> DataFrame:
-    """Convert planned pages that are no longer where the plan says; returns failures for those found nowhere.
+) -> tuple[DataFrame, DataFrame, dict]:
+    """Convert planned pages that are no longer where the plan says.
 
-    Page files may have been compacted, archived or replaced between two runs.
+    Returns failures for those found nowhere, the places that all others were fetched from, and figures of those converted
+    here. Page files may have been compacted, archived or replaced between two runs.
     """
     wanted = plan.where(F.col("chunk") >= 0)
-    lost = wanted.join(results.select("row_file", "row_index"), ["row_file", "row_index"], "left_anti")
-    columns = [c for c in plan.columns if c != "chunk"]
+    lost = wanted.join(results.select(*PLACE), PLACE, "left_anti")
+    columns = [c for c in plan.columns if c not in ("chunk", "slice")]
     store.write(lost.select(*columns), "steps/lost", version)
     lost = store.read("steps/lost", version, plan.select(*columns).schema)
-    store.write(with_chunks(find_again(pages, lost), lost.count(), settings), "steps/moved", version)
+    expected = lost.count()
+    again = with_slices(with_chunks(find_again(pages, lost), expected, settings), expected, F.lit(0), settings)
+    store.write(conform_schema(again, schemas.PLAN), "steps/moved", version)
     moved = store.read("steps/moved", version, schemas.PLAN)
-    for chunk in chunk_numbers(moved):
-        convert(_part(moved.where(F.col("chunk") == chunk)), f"moved-{chunk:05d}")
-    found = moved.select("page_key", *KEY)
-    gone = lost.join(found, ["page_key", *KEY], "left_anti")
+    figures = _total([convert(_part(moved.where(F.col("chunk") == chunk)), f"moved-{chunk:05d}") for chunk in chunk_numbers(moved)])
+    found = moved.select("page_key", *KEY).toDF("_page", "_record", "_content")
+    same = F.col("page_key").eqNullSafe(F.col("_page")) & (F.col("record_id") == F.col("_record")) & (F.col("content_hash") == F.col("_content"))
+    gone = lost.join(found, same, "left_anti")
     reasoned = gone.withColumns({"error": F.lit(MISSING_PAGE), "error_category": classify_error(F.lit(MISSING_PAGE))})
-    return reasoned.select(*FAILURE)
+    stayed = wanted.select(*PLACE).join(lost.select(*PLACE), PLACE, "left_anti")
+    return reasoned.select(*FAILURE), stayed.unionByName(moved.select(*PLACE)), figures
 
 
 def _write_plan(
@@ -157,38 +229,68 @@ def _write_plan(
     as_of: Column,
     version: str,
     settings: Settings,
-) -> None:
+) -> dict:
+    """Write the plan; returns its figures. Counts of a table come from the pass that writes it."""
+    rows: dict[str, int] = {}
+
     def keep(name: str, df: DataFrame) -> DataFrame:
-        store.write(df, f"steps/{name}", version)
+        rows[name] = store.write_observed(df, f"steps/{name}", version, n=F.count("*"))["n"]
         return store.read(f"steps/{name}", version, df.schema)
 
-    store.write(page_keys(added), "keys", version)
+    keys = store.write_observed(page_keys(added), "keys", version, n=F.count("*"), documents=key_sketch(["doc_id"]))
+    rows["added"], large = keys["n"], heavy_of(keys["documents"], keys["n"])
     added_keys = store.read("keys", version, schemas.PAGE_KEYS)
-    success = store.success_keys(head)
     states = catalog_states(store.catalog(head), as_of, settings)
+    of_state = {r.state: r["count"] for r in states.groupBy("state").count().collect()}
     due = states.where(F.col("state") == DUE).drop("state")
-    added_rows, due_rows = added_keys.count(), due.count()
-    fresh = fresh_pages(added_keys, success, states, settings)
-    fresh = keep("fresh", fresh) if added_rows else empty(store.spark, fresh.schema)
-    retries = match_due(store.known_keys(head), due, settings)
-    if due_rows:
-        retries = keep("retries", mark_done(keep("matched", retries), success, settings))
+    seen = Observation()
+    if rows["added"]:
+        unique = keep("unique", one_per_page_key(added_keys))
+        success = store.success_keys(head, unique)
+        fresh = keep("fresh", fresh_pages(unique, success, states, settings, sum(of_state.values()), seen))
+    else:
+        fresh = empty(store.spark, fresh_pages(added_keys, store.success_keys(head), states, settings).schema)
+    retries = match_due(store.known_keys(head, due), due, settings, of_state.get(DUE, 0))
+    if of_state.get(DUE):
+        matched = keep("matched", retries)
+        retries = keep("retries", mark_done(matched, store.success_keys(head, matched), settings, rows["matched"]))
     else:
-        retries = empty(store.spark, mark_done(retries, success, settings).schema)
-    work = combine(fresh, retries, settings)
-    flagged = attach_flags(work, flags, ["page_key", "content_hash"], settings)
+        retries = empty(store.spark, mark_done(retries, store.success_keys(head), settings).schema)
+    work = combine(fresh, retries, settings, rows.get("fresh", 0), rows.get("retries", 0))
+    flagged = attach_flags(work, flags, ["page_key", "content_hash"], settings, large)
     pick = lambda what: F.when(F.col("use_image"), F.col(f"image_{what}")).otherwise(F.col(f"page_{what}"))
     error = rejection(pick("length"), pick("blank"), settings)
     decided = flagged.withColumn("error", error)
-    rows = added_rows + retries.count()
+    expected = rows.get("fresh", 0) + rows.get("retries", 0)
     fetched = ~F.col("done") & F.col("error").isNull()
-    if rows <= min(settings.chunk_rows, settings.chunk_files):
-        plan = decided.withColumn("chunk", F.when(fetched, F.lit(0)).otherwise(F.lit(NO_PAGE)))
+    size = F.coalesce("page_length", F.lit(0)) + F.coalesce("image_length", F.lit(0))
+    if expected <= min(settings.chunk_rows, settings.chunk_files, settings.task_calls):
+        plan = decided.withColumns({"chunk": F.when(fetched, F.lit(0)).otherwise(F.lit(NO_PAGE)), "slice": F.lit(0)})
     else:
         decided = keep("decided", decided)
-        others = decided.where(~fetched).withColumn("chunk", F.lit(NO_PAGE))
-        plan = with_chunks(decided.where(fetched), rows, settings).unionByName(others)
-    store.write(conform_schema(plan, schemas.PLAN), "plan", version, "chunk")
+        chunked = with_slices(with_chunks(decided.where(fetched), expected, settings), expected, size, settings)
+        plan = chunked.unionByName(decided.where(~fetched).withColumns({"chunk": F.lit(NO_PAGE), "slice": F.lit(0)}))
+    todo, is_fetched = ~F.col("done"), F.col("chunk") >= 0
+    figures = store.write_observed(
+        conform_schema(plan, schemas.PLAN),
+        "plan",
+        version,
+        "chunk",
+        planned=count_if(todo),
+        added=count_if(todo & (F.col("origin") == ADDED)),
+        retried=count_if(todo & (F.col("origin") == RETRY)),
+        invalid=count_if(todo & F.col("error").isNotNull()),
+        fetched=count_if(is_fetched),
+        places=F.coalesce(F.sum(F.when(is_fetched, F.xxhash64(*PLACE).cast("decimal(38,0)"))), F.lit(0)).cast("string"),
+    )
+    unseen = seen.get["n"] if rows["added"] else 0
+    return {
+        **figures,
+        "duplicates": rows["added"] - rows.get("unique", 0),
+        "succeeded_before": rows.get("unique", 0) - unseen,
+        "held": unseen - rows.get("fresh", 0),
+        **{state: of_state.get(state, 0) for state in (DUE, WAITING, PERMANENT)},
+    }
 
 
 def _results(wide: DataFrame, converter: Converter, as_of: Column, settings: Settings) -> DataFrame:
@@ -213,32 +315,51 @@ def _failures(results: DataFrame, plan: DataFrame) -> DataFrame:
     return results.where(F.col("error").isNotNull()).select(*FAILURE).unionByName(rejected.select(*FAILURE))
 
 
-def _metrics(results: DataFrame, plan: DataFrame, gone: DataFrame | None, as_of: Column, run_id: str) -> DataFrame:
-    """One aggregate over converted and planned rows together; ``gone``: failures of pages that were not found."""
-    seen = ["error", "markdown", "has_table", "has_image", "origin"]
-    work = plan.where(~F.col("done"))
-    schema = results.withColumn("origin", F.lit("")).select(*seen).schema
-    if gone is not None:
-        results = results.unionByName(gone, allowMissingColumns=True)
-    rows = conform_schema(results.drop("origin"), schema).unionByName(conform_schema(work, schema))
-    planned, failed = F.col("origin").isNotNull(), F.col("error").isNotNull()
-    success, failure = count_if(~planned & ~failed), count_if(failed)
-    counts = rows.agg(
-        count_if(planned).alias("planned_count"),
-        count_if(F.col("origin") == ADDED).alias("added_count"),
-        count_if(F.col("origin") == RETRY).alias("retry_count"),
-        count_if(planned & ~failed).alias("valid_count"),
-        count_if(planned & failed).alias("invalid_count"),
-        success.alias("success_count"),
-        failure.alias("error_count"),
-        count_if(~planned & failed).alias("conversion_error_count"),
-        count_if(F.col("has_table")).alias("table_count"),
-        count_if(F.col("has_image")).alias("image_count"),
-        count_if(~planned & ~failed & F.col("markdown").isNull()).alias("null_content_count"),
-        rate(success, count_if(planned), 100.0).alias("success_rate"),
-        rate(failure, count_if(planned)).alias("error_rate"),
-    )
-    return conform_schema(counts.withColumn("run_id", F.lit(run_id)).withColumn("as_of", as_of), schemas.METRICS)
+def _metrics(store: PageStore, planned: dict, done: dict, missing: int, as_of: Column, run_id: str) -> DataFrame:
+    """One row, from the figures of the passes that wrote the plan and the results; nothing is read again."""
+    errors = planned["invalid"] + done["errors"] + missing
+    share = lambda part, scale=1.0: part / planned["planned"] * scale if planned["planned"] else None
+    values = {
+        "run_id": run_id,
+        "planned_count": planned["planned"],
+        "added_count": planned["added"],
+        "retry_count": planned["retried"],
+        "valid_count": planned["planned"] - planned["invalid"],
+        "invalid_count": planned["invalid"],
+        "success_count": done["successes"],
+        "error_count": errors,
+        "conversion_error_count": done["errors"] + missing,
+        "table_count": done["tables"],
+        "image_count": done["images"],
+        "null_content_count": done["null_contents"],
+        "success_rate": share(done["successes"], 100.0),
+        "error_rate": share(errors),
+        "duplicate_count": planned["duplicates"],
+        "succeeded_before_count": planned["succeeded_before"],
+        "held_count": planned["held"],
+        **{f"{state}_count": planned[state] for state in (DUE, WAITING, PERMANENT)},
+    }
+    kinds = {f.name: f.dataType for f in schemas.METRICS}
+    row = store.spark.range(1).select(*[F.lit(v).cast(kinds[n]).alias(n) for n, v in values.items()], as_of.alias("as_of"))
+    return conform_schema(row, schemas.METRICS)
+
+
+class _Certain(Exception):
+    """So many pages have failed that the breaker will trip whatever the others do."""
+
+
+def _trip(store: PageStore, run_id: str, version: str, plan: DataFrame, planned: int, errors: int) -> None:
+    """End an attempt whose failure is certain; what was written tells the categories."""
+    store.give_up(run_id)
+    results = empty(store.spark, schemas.CONVERTED)
+    if store.progress(version).keys() - {PLANNED}:
+        results = store.read("results", version, schemas.CONVERTED)
+    _tripped(_failures(results, plan), f"{errors} of {planned} pages failed ({errors / planned:.1%})")
+
+
+def _tripped(failures: DataFrame, what: str) -> None:
+    top = ", ".join(f"{r.error_category}: {r.error_count}" for r in top_categories(failures).collect())
+    raise BreakerTripped(f"{what}: {top}. Nothing was committed; the conversion service may be down.")
 
 
 def _stop_if_tripped(store: PageStore, run_id: str, version: str, failures: DataFrame, settings: Settings) -> None:
@@ -247,8 +368,4 @@ def _stop_if_tripped(store: PageStore, run_id: str, version: str, failures: Data
     row = breaker_check(counts, settings).first()
     if row.tripped:
         store.give_up(run_id)
-        top = ", ".join(f"{r.error_category}: {r.error_count}" for r in top_categories(failures).collect())
-        raise BreakerTripped(
-            f"{row.error_count} of {row.processed_count} pages failed ({row.error_rate:.1%}): {top}. "
-            "Nothing was committed; the conversion service may be down."
-        )
+        _tripped(failures, f"{row.error_count} of {row.processed_count} pages failed ({row.error_rate:.1%})")

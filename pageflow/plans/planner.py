@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pageflow.operators import catalog as C
@@ -45,14 +45,25 @@ def due_retries(catalog: DataFrame, as_of: Column, settings: Settings = DEFAULTS
     return catalog_states(catalog, as_of, settings).where(F.col("state") == C.DUE).drop("state")
 
 
-def fresh_pages(added: DataFrame, success: DataFrame, states: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Added pages to process, one per key (one per content where the key is null), with their attempts so far.
+def one_per_page_key(added: DataFrame) -> DataFrame:
+    """Added pages, one per key (one per content where the key is null)."""
+    return keep_one_per_key(added, "page_key", ORDER, C.KEY)
 
-    A page that arrives again keeps its attempts, and stays out while its content is given up or waiting.
+
+def fresh_pages(
+    unique: DataFrame, success: DataFrame, states: DataFrame, settings: Settings = DEFAULTS, entry_rows: int | None = None,
+    seen: Observation | None = None,
+) -> DataFrame:
+    """Pages of ``unique`` to process, with their attempts so far.
+
+    A page that arrives again keeps its attempts, and stays out while its content is given up or waiting. ``entry_rows``
+    bounds the rows of ``states``; ``seen`` observes how many pages have no success yet.
     """
-    unseen = unseen_pages(keep_one_per_key(added, "page_key", ORDER, C.KEY), success)
-    relevant = states.join(added.select(*C.KEY).distinct(), C.KEY, "left_semi")
-    known = lookup(unseen, relevant, C.KEY, ["page_key"], buckets=settings.lookup_buckets)
+    unseen = unseen_pages(unique, success)
+    if seen is not None:
+        unseen = unseen.observe(seen, F.count("*").alias("n"))
+    relevant = states.join(unique.select(*C.KEY).distinct(), C.KEY, "left_semi")
+    known = lookup(unseen, relevant, C.KEY, ["page_key"], buckets=settings.lookup_buckets, entry_rows=entry_rows)
     return (
         known.where(F.coalesce(F.col("state") == C.DUE, F.lit(True)))
         .withColumn("attempt_count", F.coalesce("attempt_count", F.lit(0)))
@@ -60,19 +71,23 @@ def fresh_pages(added: DataFrame, success: DataFrame, states: DataFrame, setting
     )
 
 
-def match_due(previous: DataFrame, due: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def match_due(previous: DataFrame, due: DataFrame, settings: Settings = DEFAULTS, entry_rows: int | None = None) -> DataFrame:
     """Previous pages whose content is due for another attempt.
 
     Copies of one page with one content are one retry; folding them also unloads hot keys.
     """
-    matched = lookup(previous, due, C.KEY, ["page_key", "row_file", "row_index"], "inner", settings.lookup_buckets)
+    spread = ["page_key", "row_file", "row_index"]
+    matched = lookup(previous, due, C.KEY, spread, "inner", settings.lookup_buckets, entry_rows)
     return keep_one_per_key(matched, ["page_key", *C.KEY], ["row_file", "row_index"])
 
 
-def mark_done(matched: DataFrame, success: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Add ``done`` where the page has succeeded since; the others become unique on ``page_key``."""
+def mark_done(matched: DataFrame, success: DataFrame, settings: Settings = DEFAULTS, entry_rows: int | None = None) -> DataFrame:
+    """Add ``done`` where the page has succeeded since; the others become unique on ``page_key``.
+
+    ``entry_rows`` bounds the rows of ``matched``, and so the successes among them.
+    """
     done = succeeded(success, matched).withColumn("done", F.lit(True))
-    flagged = lookup(matched, done, ["page_key"], C.KEY, buckets=settings.lookup_buckets)
+    flagged = lookup(matched, done, ["page_key"], C.KEY, buckets=settings.lookup_buckets, entry_rows=entry_rows)
     return _one_per_page(flagged.withColumn("done", F.coalesce("done", F.lit(False))), ORDER)
 
 
@@ -88,20 +103,22 @@ def retry_candidates(
     return mark_done(match_due(previous, due, settings), success, settings)
 
 
-def combine(fresh: DataFrame, retries: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def combine(
+    fresh: DataFrame, retries: DataFrame, settings: Settings = DEFAULTS, fresh_rows: int | None = None, retry_rows: int | None = None
+) -> DataFrame:
     """Fresh pages and retries as one plan, unique on ``page_key`` among rows with ``done`` false.
 
     New content of a page wins over a retry of its old content; the same content is tried once, as a retry.
     Pages are told apart by their key, not by record id, which pages of a document without page numbers share.
-    Rows with ``done`` true are there for the catalog, not for conversion.
+    Rows with ``done`` true are there for the catalog, not for conversion. The last two arguments bound the tables' rows.
     """
     arrived = fresh.join(retries.select("page_key").distinct(), "page_key", "left_semi")
     arrived = arrived.select("page_key", F.concat_ws(" ", *C.KEY).alias("_arrived"))
-    current = lookup(retries, arrived, ["page_key"], C.KEY, buckets=settings.lookup_buckets)
+    current = lookup(retries, arrived, ["page_key"], C.KEY, buckets=settings.lookup_buckets, entry_rows=fresh_rows)
     replaced = F.coalesce(F.col("_arrived") != F.concat_ws(" ", *C.KEY), F.lit(False))
     current = current.where(F.col("done") | ~replaced).drop("_arrived").withColumn("origin", F.lit(RETRY))
     tried = current.where(~F.col("done")).select("page_key", *C.KEY).distinct()
-    new = lookup(fresh, tried, ["page_key", *C.KEY], C.KEY, "left_anti", settings.lookup_buckets)
+    new = lookup(fresh, tried, ["page_key", *C.KEY], C.KEY, "left_anti", settings.lookup_buckets, retry_rows)
     new = new.withColumns({"done": F.lit(False), "origin": F.lit(ADDED)})
     return _one_per_page(new.unionByName(current), ["origin", *ORDER])
 
@@ -117,7 +134,7 @@ def plan_work(
 ) -> DataFrame:
     """Slim rows of the pages to process, with ``origin``, ``done``, ``attempt_count`` and ``last_attempt_at``."""
     states = catalog_states(catalog, as_of, settings)
-    fresh = keep("fresh", fresh_pages(added, success, states, settings))
+    fresh = keep("fresh", fresh_pages(keep("unique", one_per_page_key(added)), success, states, settings))
     due = states.where(F.col("state") == C.DUE).drop("state")
     matched = keep("matched", match_due(previous, due, settings))
     retries = keep("retries", mark_done(matched, success, settings))

@@ -21,7 +21,7 @@ from pageflow.operators import catalog as C
 from pageflow.operators import dedup, metrics, payloads, tables
 from pageflow.operators.convert import python_converter, recorded_converter
 from pageflow.plans.incremental import run_batch
-from pageflow.plans.one_shot import in_band, one_shot, one_shot_run
+from pageflow.plans.one_shot import in_band, one_shot_run
 from pageflow.plans.pages import with_payload
 from pageflow.plans import planner
 from pageflow.session import work_folder
@@ -31,6 +31,7 @@ from pageflow.sources.html_service import open_html_service
 from pageflow.sources.store import PageStore
 from pageflow.sources.tables import added_pages, previous_pages
 from pageflow.streaming.micro_batch import stream_pages
+from pageflow.streaming.retries import stream_retries as start_retries
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,7 +44,7 @@ def query(fn: Query) -> Query:
 
 def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = td.page_batch(spark, sf_dir, totals=False)
-    return payloads.attach_flags(pages, td.page_flags(spark, sf_dir), ["page_key"])
+    return payloads.attach_flags_in_place(pages, td.page_flags(spark, sf_dir))
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -339,7 +340,8 @@ def one_shot_chunked(spark, sf_dir):
 def convert_pages(spark, sf_dir):
     """Web pages through a Python converter, read back and analysed by the engine."""
     flags = tables.empty(spark, schemas.FLAGS)
-    done = one_shot(td.web_pages(spark, sf_dir), flags, python_converter(open_html_service()), td.as_of())
+    service = python_converter(open_html_service())
+    done = one_shot_run(td.web_pages(spark, sf_dir), flags, service, td.as_of(), work_folder(spark), "web")
     return done.select(
         "page_key", "markdown", "parse_score", "ocr_score", "has_table", "has_image", "word_count", "error"
     )
@@ -419,3 +421,21 @@ def stream_run(spark, sf_dir):
     )
     stream.awaitTermination()
     return _new_successes(store)
+
+
+@query
+def stream_retries(spark, sf_dir):
+    """All pages in one run, then only a clock: what fails for the time being is sent again after 2 and 4 minutes.
+
+    The last tick is late enough for a fourth attempt, which there must not be.
+    """
+    store, pages = PageStore(spark, work_folder(spark)), td.page_batch(spark, sf_dir)
+    flags, converter = td.page_flags(spark, sf_dir), recorded_converter(td.responses(spark, sf_dir))
+    run_batch(store, pages, pages, flags, converter, td.as_of(), "run-1", 2)
+    clock_folder = store.path("clock")
+    for tick in ("2024-01-30 12:02:30", "2024-01-30 12:06:45", "2024-01-30 13:00:00"):
+        spark.range(1).select(td.as_of(tick).alias("at")).write.mode("append").parquet(clock_folder)
+        clock = spark.readStream.schema("at timestamp").parquet(clock_folder)
+        stream = start_retries(store, pages, flags, converter, lambda tick=tick: td.as_of(tick), clock, availableNow=True)
+        stream.awaitTermination()
+    return store.catalog().withColumn("last_attempt_at", F.date_format("last_attempt_at", "yyyy-MM-dd HH:mm:ss"))

@@ -67,11 +67,11 @@ FLAGS = schema("doc_id string, use_image boolean")
 
 RESPONSES = schema("page_key string, status_code int, body string")
 
-# What a run does with a page; ``chunk`` is a partition of the table.
+# What a run does with a page; ``chunk`` is a partition of the table, ``slice`` a part of what a task reads there.
 PLAN = T.StructType(
     schema("page_key string, record_id string, content_hash string").fields
     + ROW_REF.fields
-    + schema("origin string, done boolean, attempt_count int, use_image boolean, error string, chunk int").fields
+    + schema("origin string, done boolean, attempt_count int, use_image boolean, error string, slice int, chunk int").fields
 )
 
 # One row per page converted in a run: the success row plus what the catalog and metrics need.
@@ -85,7 +85,10 @@ METRICS = schema(
     "run_id string, as_of timestamp, planned_count bigint, added_count bigint, retry_count bigint, "
     "valid_count bigint, invalid_count bigint, success_count bigint, error_count bigint, "
     "conversion_error_count bigint, table_count bigint, image_count bigint, null_content_count bigint, "
-    "success_rate double, error_rate double"
+    "success_rate double, error_rate double, "
+    # Of planning: added pages that were copies of a key, had succeeded, or whose content is given up or waiting; and the
+    # catalog's contents by state before the run.
+    "duplicate_count bigint, succeeded_before_count bigint, held_count bigint, due_count bigint, waiting_count bigint, permanent_count bigint"
 )
 
 MANIFEST = schema(
@@ -97,3 +100,8 @@ REPORT = schema(
     "run_id string, error_category string, error_count bigint, avg_attempts double, exhausted_count bigint, "
     "permanent_count bigint"
 )
+
+# A failure and when its page is to be sent again; never, if ``due_at`` is null.
+WAITING = schema(
+    "record_id string, content_hash string, page_key string, attempt_count int, at timestamp, due_at timestamp"
+)

@@ -19,6 +19,8 @@ RECOMMENDED = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.sql.execution.arrow.maxBytesPerBatch": "32m",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Answers may repeat a key; the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

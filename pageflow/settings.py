@@ -26,8 +26,9 @@ class Settings:
     """Rules of one run.
 
     ``min_length`` is a declared validity rule. ``max_length`` is a limit of some services; it is off unless
-    set where the converter is opened. The last four only steer the physical plan; results do not depend on
-    them.
+    set where the converter is opened. The last ones, from ``lookup_buckets`` on, only steer the physical plan; results do
+    not depend on them. A task of a conversion makes about ``task_calls`` calls at most, for pages of about ``task_bytes``.
+    Every ``snapshot_every`` runs the keys that planning reads are folded into one table.
     """
 
     min_length: int = 200
@@ -40,6 +41,9 @@ class Settings:
     chunk_rows: int = 100_000
     chunk_files: int = 2_000
     chunks_at_once: int = 4
+    task_calls: int = 2_000
+    task_bytes: int = 64 << 20
+    snapshot_every: int = 100
 
 
 DEFAULTS = Settings()

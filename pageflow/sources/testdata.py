@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from pageflow import schemas
 from pageflow.functions.keys import content_hash, record_id
-from pageflow.operators.joins import lookup
+from pageflow.operators.joins import PLAIN_ROWS, probe_in_place
 from pageflow.operators.tables import conform_schema
 from pageflow.sources.tables import with_row_ref
 
@@ -65,7 +65,7 @@ def page_batch(spark: SparkSession, sf_dir: str, *carry: str, totals: bool = Tru
     turns = with_row_ref(table(spark, sf_dir, "conversations"))
     if totals:
         per_doc = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count("*").alias("total_pages"))
-        turns = lookup(turns, per_doc, ["conv_id"], ["turn"])
+        turns = probe_in_place(turns, per_doc, ["conv_id"], "left", 1 + per_doc.count() // (10 * PLAIN_ROWS))
     names = [n for n in PAGE_EXPRESSIONS if totals or n != "total_pages"]
     return turns.select(*[F.expr(PAGE_EXPRESSIONS[n]).alias(n) for n in names], *carry)
 
@@ -157,8 +157,9 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     answer = lambda inner: f"to_json(named_struct('value', {inner}))"
     inner = {
         0: f"to_json(named_struct('content', concat('|--|--|\\n', text), 'confidence', named_struct({scores})))",
-        1: "to_json(named_struct('content', concat('![i](u) ', text), 'confidence', named_struct('table_score', 1)))",
-        2: "text",
+        1: "if(conv_id % 3 = 0, '{\"content\":\"bare\",\"confidence\":{\"table_score\": NaN,\"ocr_score\":0.25,\"parse_score\":-Infinity}}', "
+        "to_json(named_struct('content', concat('![i](u) ', text), 'confidence', named_struct('table_score', 1))))",
+        2: "if(conv_id % 3 = 0, concat('{\"content\":\"x\"} ', text), text)",
         4: "'{\"note\":\"none\"}'",
         5: "'{\"content\":null}'",
         7: "'{\"content\":\"x\",\"confidence\":null}'",
@@ -166,7 +167,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     cases = " ".join(f"when {k} then {answer(v)}" for k, v in inner.items())
     body = f"""case (conv_id * 8 + turn) % 12 {cases}
-        when 3 then '{{"other":1}}' when 6 then 'not json' when 8 then '{{"value":null}}'
+        when 3 then if(conv_id % 2 = 0, '{{"value":"x"}} {{"more":1}}', '{{"other":1}}') when 6 then 'not json' when 8 then '{{"value":null}}'
         when 9 then if(conv_id % 2 = 1, 'Encoding exceeds size limit', 'slow down')
         when 10 then if(conv_id % 2 = 1, 'gateway timed out', 'unavailable') end"""
     return table(spark, sf_dir, "conversations").select(

@@ -13,7 +13,7 @@ from pageflow.operators.tables import empty
 from pageflow.plans.incremental import run_batch
 from pageflow.settings import DEFAULTS, Settings
 from pageflow.sources.store import PageStore
-from pageflow.sources.tables import read_pages, with_row_ref
+from pageflow.sources.tables import PageFolder, with_row_ref
 
 
 def stream_pages(
@@ -33,14 +33,13 @@ def stream_pages(
     of a store apart: give each input folder its own. Run ids hold the name, the id that Spark keeps in the
     stream's checkpoint, and the batch number: a micro-batch that is replayed keeps its run id and is committed
     once, one after a tripped breaker converts anew, and a renewed checkpoint reads its folder as new.
+    A micro-batch opens its own files and those of its retries, by name; the folder is listed by the stream alone.
     ``earlier`` holds pages that never were in ``folder``; ``as_of`` is asked once per micro-batch.
     """
     spark = store.spark
+    pages = PageFolder(spark, folder, schemas.PAGE, earlier)
 
     def on_batch(added: DataFrame, batch_id: int) -> None:
-        pages = read_pages(spark, folder, schemas.PAGE)
-        if earlier is not None:
-            pages = pages.unionByName(earlier.select(*pages.columns))
         checkpoint = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         run_id = f"{name}-{checkpoint}-{batch_id:08d}"
         run_batch(store, added, pages, flags, converter, as_of(), run_id, settings=settings)

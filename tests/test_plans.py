@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,13 +11,15 @@ from pyspark.sql import functions as F
 from helpers import at, flags, page, service, write_pages
 from pageflow import schemas
 from pageflow.functions.responses import parse_responses
-from pageflow.operators import payloads
+from pageflow.operators import payloads, tables
+from pageflow.operators.convert import recorded_converter
 from pageflow.operators.dedup import keep_one_per_key
-from pageflow.operators.joins import lookup
+from pageflow.operators.joins import heavy_keys, lookup, probe_in_place
 from pageflow.plans import incremental, planner
-from pageflow.plans.chunks import chunk_numbers, fetch, with_chunks
+from pageflow.plans.chunks import chunk_numbers, fetch, with_chunks, with_slices
 from pageflow.settings import DEFAULTS, Settings
 from pageflow.sources import testdata as td
+from pageflow.sources.tables import read_pages
 
 PAYLOADS = ("page_payload", "page_image", "payload")
 
@@ -30,6 +33,16 @@ def exchanges(plan: str) -> list[str]:
     return [line for line in plan.splitlines() if re.search(r"\bExchange (hash|range|round|Single)", line)]
 
 
+@contextmanager
+def jobs_of(spark):
+    """How many jobs were started inside."""
+    context, group = spark.sparkContext, "jobs-of"
+    context.setJobGroup(group, "")
+    found = len(context.statusTracker().getJobIdsForGroup(group))
+    yield lambda: len(context.statusTracker().getJobIdsForGroup(group)) - found
+    context.setLocalProperty("spark.jobGroup.id", None)
+
+
 @pytest.fixture(scope="module")
 def pages(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("pages"))
@@ -117,6 +130,33 @@ def test_no_fetch_shuffles_a_payload(spark, pages):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_small_pages_of_one_file_are_dealt_to_many_tasks(spark, tmp_path):
+    """50,000 tiny pages in one file: no task converts more than its share, and no payload is shuffled."""
+    rows = spark.range(50_000).select(
+        F.concat(F.lit("p"), "id").alias("page_key"), F.lit("d").alias("doc_id"), F.lit(1).alias("page_number"), F.lit("x" * 201).alias("page_payload")
+    )
+    tables.conform_schema(rows, schemas.PAGE).coalesce(1).write.parquet(str(tmp_path / "pages"))
+    pages = read_pages(spark, str(tmp_path / "pages"), schemas.PAGE)
+    limits = Settings(task_calls=5_000)
+    slim = pages.select("row_file", "row_index")
+    plan = with_slices(with_chunks(slim, 50_000, limits), 50_000, F.lit(200), limits)
+    plan.write.parquet(str(tmp_path / "plan"))
+    part = spark.read.parquet(str(tmp_path / "plan")).drop("chunk").withColumn("use_image", F.lit(False))
+    wide = fetch(pages, part)
+    assert not exchanges(physical(wide))
+    per_task = [r["count"] for r in wide.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 50_000 and len(per_task) >= 8 and max(per_task) <= 5_000
+
+
+def test_large_pages_are_read_once(spark):
+    """Where a scan makes tasks enough by bytes, there is one slice."""
+    limits = Settings(task_calls=10, task_bytes=1000)
+    rows = spark.createDataFrame([("f", i, 0) for i in range(500)], "row_file string, row_index long, chunk int")
+    assert [r["slice"] for r in with_slices(rows, 500, F.lit(100), limits).select("slice").distinct().collect()] == [0]
+    sizes = with_slices(rows, 500, F.lit(25), limits).groupBy("slice").count().collect()
+    assert len(sizes) == 4 and sum(r["count"] for r in sizes) == 500
+
+
 def test_hot_keys_are_spread_when_a_lookup_shuffles(spark):
     """With broadcasts off: a key with a third of all rows reaches many tasks, and only partial results do."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -125,7 +165,7 @@ def test_hot_keys_are_spread_when_a_lookup_shuffles(spark):
     try:
         rows = spark.range(48_000).select("id", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
         entries = spark.range(-1, 1000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-        joined = lookup(rows, entries, ["k"], ["id"], plain_rows=0)
+        joined = lookup(rows, entries, ["k"], ["id"], heavy=heavy_keys(rows, ["k"]))
         sizes = joined.where("k = -1").groupBy(F.spark_partition_id().alias("p")).count().collect()
         assert sum(r["count"] for r in sizes) == 16_000
         assert len(sizes) >= 8 and max(r["count"] for r in sizes) <= 16_000 / 4
@@ -135,11 +175,37 @@ def test_hot_keys_are_spread_when_a_lookup_shuffles(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
-def test_many_entries_are_not_broadcast_as_copies(spark):
-    rows, entries = spark.range(100).toDF("k"), spark.range(200).toDF("k").withColumn("v", F.lit(1))
-    assert "BroadcastHashJoin" in physical(lookup(rows, entries, ["k"], ["k"]))
-    plan = physical(lookup(rows, entries, ["k"], ["k"], plain_rows=100))
+def test_only_heavy_keys_have_copies_of_their_entries(spark):
+    rows = spark.range(10_000).select("id", F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"))
+    entries = spark.range(200).toDF("k").withColumn("v", F.lit(1))
+    heavy = heavy_keys(rows, ["k"])
+    assert heavy == [r[0] for r in spark.range(1).select(F.xxhash64(F.lit(7).cast("long"))).collect()]
+    plan = physical(lookup(rows, entries, ["k"], ["id"], heavy=heavy))
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert "BroadcastHashJoin" in physical(lookup(rows, entries, ["k"], entry_rows=200))
+    # Nothing is known: Spark picks the join, and no job runs before it.
+    with jobs_of(spark) as jobs:
+        lookup(rows, entries, ["k"])
+    assert jobs() == 0
+
+
+def test_wide_rows_are_joined_where_they_are_read(spark, pages):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        entries = spark.range(30).select(F.concat(F.lit("doc-p"), "id").alias("doc_id"), F.lit(True).alias("f"))
+        want = sorted((r.page_key, r.f) for r in pages.join(entries, "doc_id", "left").select("page_key", "f").collect())
+        for parts in (1, 3):
+            joined = probe_in_place(pages, entries, ["doc_id"], "left", parts)
+            assert not exchanges(physical(joined))
+            assert sorted((r.page_key, r.f) for r in joined.select("page_key", "f").collect()) == want
+        recorded = spark.createDataFrame([(f"p{i}", 200, "{}") for i in range(40)], schemas.RESPONSES)
+        sent = pages.withColumns({"payload": F.col("page_payload"), "mode": F.lit("Page")})
+        for answers in (recorded, recorded.where("false")):
+            wide = [line for line in physical(recorded_converter(answers)(sent)).splitlines() if re.search(r"Exchange (hash|range|Single)", line)]
+            assert all("payload" not in line for line in wide)
+            assert recorded_converter(answers)(sent).count() == 40
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_filter_on_the_outcome_does_not_parse_twice(spark):
@@ -147,7 +213,8 @@ def test_filter_on_the_outcome_does_not_parse_twice(spark):
     plan = physical(parse_responses(df).where("error is null"))
     below = plan.split("Generate inline")[1]
     assert "isnull(error" in plan.split("Generate inline")[0]
-    assert below.count("parseJson(body") == 1
+    # Once as it is, and once mended where that is not JSON.
+    assert len(re.findall(r"parseJson\(concat\(\[, body", below)) == 1 and below.count("regexp_replace(body") == 1
 
 
 def test_flags_without_a_set_flag_are_not_looked_up(spark, pages):

@@ -54,7 +54,8 @@ def test_entry_imports_without_the_training_data_operators(tmp_path, left_out):
         if os.path.exists(f"{root}/{name}"):
             shutil.copy(f"{root}/{name}", tmp_path)
     code = "import __spark_entry__ as d; print(*sorted(d.queries()))"
-    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    env = {**os.environ, "PYTHONPATH": str(tmp_path)}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, check=True)
     assert set(QUERIES) <= set(done.stdout.split()) and "pipeline" not in done.stdout.split()
 
 

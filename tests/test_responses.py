@@ -49,6 +49,18 @@ CASES = [
     (200, "null", None, (None,) * 4, UNEXPECTED),
     (200, "not json", None, (None,) * 4, "ERROR: Network error"),
     (200, None, None, (None,) * 4, "ERROR: Network error"),
+    # One document and nothing else.
+    (200, answer('{"content": "x"} and more'), '{"content": "x"} and more', (None,) * 4, None),
+    (200, answer('{"content": "x"}, 1'), '{"content": "x"}, 1', (None,) * 4, None),
+    (200, answer('{"content": "x"}] ['), '{"content": "x"}] [', (None,) * 4, None),
+    (200, answer('{"content": "x"} \n'), "x", (None,) * 4, None),
+    (200, answer({"content": "x"}) + " {}", None, (None,) * 4, "ERROR: Network error"),
+    (200, answer({"content": "x"}) + "]", None, (None,) * 4, "ERROR: Network error"),
+    # Bare not-a-numbers, and such words inside texts.
+    (200, answer('{"content": "a NaN, b", "confidence": {"layout_score": NaN, "ocr_score": 0.5, "table_score": -Infinity}}'), "a NaN, b", (None, None, 0.5, None), None),
+    (200, answer({"content": "x: NaN, Infinity"}), "x: NaN, Infinity", (None,) * 4, None),
+    # Of a repeated key the last one counts.
+    (200, answer('{"content": "x", "content": "y"}'), "y", (None,) * 4, None),
     (429, "slow down", None, (None,) * 4, "ERROR: Page API failed 429: slow down"),
     (500, "x" * 900, None, (None,) * 4, "ERROR: Page API failed 500: " + "x" * 500),
     (404, None, None, (None,) * 4, "ERROR: Page API failed 404: "),

@@ -8,7 +8,9 @@ from helpers import at, catalog_rows, flags, page, service, write_pages
 from pageflow import schemas
 from pageflow.plans.incremental import run_batch
 from pageflow.sources.store import PageStore
+from pageflow.sources.tables import PageFolder
 from pageflow.streaming.micro_batch import run_due_retries, stream_pages
+from pageflow.streaming.retries import stream_retries
 
 ROWS = [page(f"p{i}", "fail" if i % 5 == 0 else f"text {i}") for i in range(12)]
 ROWS += [page("p1", "text 1"), page("p2", "other text")]
@@ -109,3 +111,41 @@ def test_streams_do_not_take_the_ingest_mark_back(spark, tmp_path):
     arriving(spark, f"{tmp_path}/in", [page("b")], 1)
     stream(store, f"{tmp_path}/in", service(spark)[0])
     assert store.head().last_ingest_id == 7 and len(successes(store)) == 2
+
+
+def test_failed_pages_are_sent_again_by_the_clock(spark, tmp_path):
+    """No file arrives: a page is tried again after 2 and 4 minutes, and then no more."""
+    store = PageStore(spark, f"{tmp_path}/store")
+    pages = write_pages(spark, f"{tmp_path}/pages", page("a", "fail a"), page("b"), page("c", None))
+    converter, calls = service(spark)
+    run_batch(store, pages, pages, flags(spark), converter, at("2024-01-01 10:00:00"), "r1", 1)
+    assert calls.value == 2
+    ticks = str(tmp_path / "clock")
+
+    def tick(now):
+        spark.range(1).select(at(now).alias("at")).write.mode("append").parquet(ticks)
+        clock = spark.readStream.schema("at timestamp").parquet(ticks)
+        stream = stream_retries(store, pages, flags(spark), converter, lambda: at(now), clock, availableNow=True)
+        stream.awaitTermination()
+        return calls.value
+
+    sent = [tick(f"2024-01-01 10:{t}") for t in ("01:00", "02:30", "04:00", "06:45", "30:00")]
+    assert sent == [2, 3, 3, 4, 4]
+    assert [(r[0], r[1]) for r in catalog_rows(store)] == [("doc-a::1", 3), ("doc-c::1", 1)]
+
+
+def test_a_micro_batch_opens_its_own_files_only(spark, tmp_path, monkeypatch):
+    """The folder is not listed again for each micro-batch, retries of earlier files included."""
+    store, folder = PageStore(spark, f"{tmp_path}/store"), f"{tmp_path}/pages"
+    opened = []
+    of = PageFolder.of
+    monkeypatch.setattr(PageFolder, "of", lambda self, files: opened.append(len(files)) or of(self, files))
+    monkeypatch.setattr(PageFolder, "all", None)
+    arriving(spark, folder, ROWS[:6], 3)
+    stream(store, folder, service(spark)[0], per_batch=1)
+    assert opened and max(opened) == 1
+    arriving(spark, folder, [page("late")], 1)
+    opened.clear()
+    stream(store, folder, service(spark, recover=True)[0], "2024-01-01 12:00:00", per_batch=5)
+    # The new file, and those of the pages that are due again.
+    assert sum(opened) <= 3 and {k for k, *_ in successes(store)} == {f"p{i}" for i in range(6)} | {"late"}
