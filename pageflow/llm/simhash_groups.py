@@ -42,6 +42,7 @@ PRINTS = 8
 SMALL_BUCKET = 4
 FILE_SHINGLES = 1 << 21  # of a file of sets
 MAPPED = 512  # files of sets that a worker keeps open
+SEEN = 200_000  # pairs that a task remembers before it starts anew
 BLOCK = 2048  # nodes of a bucket that are compared with each other at once
 PREFIX_ROWS = 1 << 14  # of a batch, so that a task needs little memory
 ORDER_NODES = 4096  # whose shingles are counted, about, for the order of the prefix filter
@@ -91,11 +92,24 @@ def print_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys), np.concatenate(held)
 
 
-def block_pairs(nodes: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Candidate pairs among the nodes of a block, and the place of its centre.
+def _lead_key(prints: np.ndarray, family: int) -> np.ndarray:
+    """Of all keys of a fingerprint (of ``family``'s number), the one in whose bucket nodes of one fingerprint are compared.
 
-    Nodes with one fingerprint are compared with the first of them, which alone meets other fingerprints. Of
-    equally near ones the first is taken, in all buckets: the same pair is then found again, not another one.
+    They share every bucket of it, with the same first node, so one is enough.
+    """
+    bits = prints.view(np.uint64)
+    parts = [(bits >> np.uint64(at) & np.uint64((1 << n) - 1)).astype(np.int64) for at, n in SEGMENTS[:2]]
+    index = golay.nearby(parts[1], SEGMENTS[1][1]).min(axis=1)
+    first = np.int64(family - family % len(SEGMENTS))
+    return first << 40 | parts[0] << golay.DATA | index
+
+
+def block_pairs(nodes: np.ndarray, prints: np.ndarray, key: int | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+    """Candidate pairs among the nodes of a block, each once, and the place of its centre.
+
+    Nodes with one fingerprint are compared with the first of them, which alone meets other fingerprints; in the bucket of
+    their lead key, if ``key`` is given. Of equally near ones the first is taken, in all buckets: the same pair is then found
+    again, not another one.
     """
     distinct, first, group = np.unique(prints, return_index=True, return_inverse=True)
     raw = distinct.astype("<i8").view(np.uint8).reshape(-1, 8)
@@ -112,21 +126,30 @@ def block_pairs(nodes: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.n
         apart = np.bitwise_count((own[:, None] ^ own).view(np.uint64)).astype(np.uint8)
         np.fill_diagonal(apart, 255)
         a, b = np.tile(order, 2), np.concatenate([order[np.argmin(apart, axis=1)], np.full(n, centre)])
-    return nodes[np.concatenate([np.arange(len(nodes)), a])], nodes[np.concatenate([first[group], b])], centre
+    later = np.flatnonzero(first[group] != np.arange(len(nodes)))
+    if key is not None and len(later):
+        later = later[_lead_key(prints[later], int(key) >> 40) == key]
+    a, b = np.concatenate([later, a]), np.concatenate([first[group][later], b])
+    # Two that are each other's nearest, or one whose nearest is the centre, make one pair.
+    pair = np.unique(np.maximum(a, b) * len(nodes) + np.minimum(a, b))
+    return nodes[pair // len(nodes)], nodes[pair % len(nodes)], centre
 
 
 def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidates from rows sorted by key; at most a block of a bucket is held."""
     key, nodes, prints = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    seen: set[tuple[int, int]] = set()  # pairs of other buckets of this task
 
     def compared(carry: bool):
         nonlocal nodes, prints
-        a, b, centre = block_pairs(nodes, prints)
+        a, b, centre = block_pairs(nodes, prints, key)
         nodes, prints = (nodes[centre : centre + 1], prints[centre : centre + 1]) if carry else (nodes[:0], prints[:0])
-        differ = a != b
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.maximum(a, b)[differ]), pa.array(np.minimum(a, b)[differ])], ["a", "b"]
-        )
+        a, b = np.maximum(a, b), np.minimum(a, b)
+        fresh = [x != y and not ((x, y) in seen or seen.add((x, y))) for x, y in zip(a.tolist(), b.tolist())]
+        if len(seen) > SEEN:
+            seen.clear()
+        fresh = np.array(fresh, bool)
+        return pa.RecordBatch.from_arrays([pa.array(a[fresh]), pa.array(b[fresh])], ["a", "b"])
 
     for batch in batches:
         keys, own, held = (batch[c].to_numpy() for c in ("key", "node", "print"))

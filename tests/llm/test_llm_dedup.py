@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -308,3 +309,31 @@ def test_rows_keep_their_numbers_when_the_scan_is_split_anew(spark, make_docs, w
         assert result("64") == result("1")
     finally:
         spark.conf.unset(setting)
+
+
+def test_bucket_pairs_come_once_and_leave_no_node_out():
+    """Nodes of one fingerprint meet in one bucket of it; in a bucket no pair comes twice."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(-(1 << 62), 1 << 62, 30)
+    prints = np.concatenate([np.repeat(base[:5], 20), base ^ 1, base ^ (1 << 40)]).reshape(-1, 1)
+    row, keys, held = simhash_groups.print_keys(prints)
+    met, links = Counter(), set()
+    for key in np.unique(keys):
+        own = keys == key
+        a, b, _ = simhash_groups.block_pairs(row[own], held[own], int(key))
+        pairs = list(zip(np.maximum(a, b).tolist(), np.minimum(a, b).tolist()))
+        assert len(pairs) == len(set(pairs))
+        met.update(p for p in pairs if prints[p[0], 0] == prints[p[1], 0])
+        links |= set(pairs)
+    assert set(met.values()) == {1} and len(met) == 5 * 19
+    # Each of the 30 neighbourhoods is connected.
+    parent = list(range(len(prints)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        parent[root(a)] = root(b)
+    assert len({root(x) for x in range(len(prints))}) == 30
