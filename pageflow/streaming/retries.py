@@ -37,7 +37,7 @@ class Waker(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # Ticks of a clock have no key and nothing to wait for.
-        failures = [f for part in rows for f in zip(part["at"], part["page_key"], part["attempt_count"], part["due_at"])]
+        failures = [f for part in rows for f in zip(part["at"], part["page_key"], part["attempt_count"], part["due_ms"])]
         if key[0] is not None and failures:
             _, page_key, attempts, due = max(failures, key=lambda f: (f[0], f[2]))
             for timer in list(self.handle.listTimers()):
@@ -46,7 +46,7 @@ class Waker(StatefulProcessor):
                 self.waiting.clear()
             else:
                 self.waiting.update((page_key, int(attempts)))
-                self.handle.registerTimer(int(due.timestamp() * 1000))
+                self.handle.registerTimer(int(due))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -69,6 +69,8 @@ def due_stream(store: PageStore, clock: DataFrame | None = None) -> DataFrame:
     if clock is not None:
         rows = rows.unionByName(conform_schema(clock, schemas.WAITING)).withWatermark("at", "1 second")
     mode = "processingTime" if clock is None else "eventTime"
+    # As a number, so that no time zone plays a part.
+    rows = rows.withColumn("due_ms", F.unix_millis("due_at"))
     return rows.groupBy(*KEY).transformWithStateInPandas(Waker(), DUE, "append", mode)
 
 
