@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -64,6 +66,11 @@ def run_due_retries(
     run_id: str,
     settings: Settings = DEFAULTS,
 ) -> None:
-    """A run without new pages. A stream fires on new files only, so due retries need a run of their own."""
+    """A run without new pages. A stream fires on new files only, so due retries need a run of their own.
+
+    All its pages have failed before, so that they fail again says nothing about the service: the breaker is off, which would
+    otherwise stop such a run for good. The attempt limit bounds the calls.
+    """
+    settings = replace(settings, breaker_rate=math.inf)
     nothing = empty(store.spark, pages.select(*[f.name for f in schemas.PAGE], "row_file", "row_index").schema)
     run_batch(store, nothing, pages, flags, converter, as_of, run_id, store.head().last_ingest_id, settings)

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import pytest
+from pyspark import cloudpickle
 
 from helpers import at, catalog_rows, flags, page, service, write_pages
 from pageflow import schemas
@@ -10,7 +15,7 @@ from pageflow.plans.incremental import run_batch
 from pageflow.sources.store import PageStore
 from pageflow.sources.tables import PageFolder
 from pageflow.streaming.micro_batch import run_due_retries, stream_pages
-from pageflow.streaming.retries import stream_retries
+from pageflow.streaming.retries import stream_retries, waker
 
 ROWS = [page(f"p{i}", "fail" if i % 5 == 0 else f"text {i}") for i in range(12)]
 ROWS += [page("p1", "text 1"), page("p2", "other text")]
@@ -134,6 +139,23 @@ def test_failed_pages_are_sent_again_by_the_clock(spark, tmp_path):
     assert [(r[0], r[1]) for r in catalog_rows(store)] == [("doc-a::1", 3), ("doc-c::1", 1)]
 
 
+def test_retries_that_all_fail_again_are_committed(spark, tmp_path):
+    """Enough of them for the breaker, which would stop the same pages again at each start."""
+    store = PageStore(spark, f"{tmp_path}/store")
+    pages = write_pages(spark, f"{tmp_path}/pages", *[page(f"p{i}", "fail" if i < 110 else "ok") for i in range(130)])
+    converter, calls = service(spark)
+    run_batch(store, pages, pages, flags(spark), converter, at("2024-01-01 10:00:00"), "r1", 1)
+    run_due_retries(store, pages, flags(spark), converter, at("2024-01-01 10:30:00"), "r2")
+    assert calls.value == 240 and {(r[1], r[2]) for r in catalog_rows(store)} == {(2, "SERVER_ERROR")}
+
+
+def test_the_timers_need_no_package_where_they_run(tmp_path):
+    (tmp_path / "waker").write_bytes(cloudpickle.dumps(waker()))
+    code = "import pickle; pickle.load(open('waker', 'rb')).close()"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True)
+
+
 def test_a_micro_batch_opens_its_own_files_only(spark, tmp_path, monkeypatch):
     """The folder is not listed again for each micro-batch, retries of earlier files included."""
     store, folder = PageStore(spark, f"{tmp_path}/store"), f"{tmp_path}/pages"
