@@ -11,7 +11,7 @@ from pageflow import schemas
 from pageflow.functions.errors import classify_error
 from pageflow.functions.keys import bucket_of, content_hash, record_id
 from pageflow.operators.catalog import DUE, KEY, PERMANENT, WAITING, merge_catalog, touched_records, waiting_rows
-from pageflow.operators.convert import Converter
+from pageflow.operators.convert import Converter, by_chunk
 from pageflow.operators.joins import heavy_of, key_sketch
 from pageflow.operators.metrics import breaker_check, count_if, error_summary, is_tripped, top_categories
 from pageflow.operators.payloads import attach_flags, page_keys, rejection
@@ -71,20 +71,24 @@ def run_batch(
     plan = store.plan(version)
     answered = store.standing_answers(run_id)
 
-    def convert(part: DataFrame, name: str) -> dict:
+    def convert(part: DataFrame, name: str, converter: Converter = converter) -> dict:
         return _write_results(store, version, _results(fetch(pages, part), converter, as_of, settings), name)
 
     def convert_chunk(chunk: int) -> None:
         rows, taken = plan.where(F.col("chunk") == chunk), {}
         if answered is not None:
             rows, taken = _take_over(store, version, answered, rows, f"answered-{chunk:05d}")
-        figures = _total([taken, convert(_part(rows), f"chunk-{chunk:05d}")])
+        figures = _total([taken, convert(_part(rows), f"chunk-{chunk:05d}", converter_of(chunk))])
         store.mark_finished(version, chunk, last_ingest_id, figures)
         finished[chunk] = figures
 
     chunks = chunk_numbers(plan)
     if not chunks:
         store.write(empty(store.spark, schemas.CONVERTED), "results", version)
+    left = [c for c in chunks if c not in finished]
+    if left:
+        todo = plan if len(left) == len(chunks) else plan.where(F.col("chunk").isin(left))
+        converter_of = by_chunk(converter, todo, store.path("steps/answers", version))
     before = sum(figures["errors"] for figures in finished.values())
     failed = getattr(converter, "failed_calls", lambda: 0)
     earlier = failed()
@@ -96,7 +100,7 @@ def run_batch(
             raise _Certain(certain)
 
     try:
-        in_flight(store.spark, convert_chunk, [c for c in chunks if c not in finished], settings.chunks_at_once, give_up)
+        in_flight(store.spark, convert_chunk, left, settings.chunks_at_once, give_up)
     except _Certain as e:
         _trip(store, run_id, version, plan, planned["planned"], e.args[0])
     done = _total([*finished.values()])

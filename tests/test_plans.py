@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from contextlib import contextmanager
 
@@ -17,8 +18,10 @@ from pageflow.operators.dedup import keep_one_per_key
 from pageflow.operators.joins import heavy_keys, lookup, probe_in_place
 from pageflow.plans import incremental, planner
 from pageflow.plans.chunks import chunk_numbers, fetch, with_chunks, with_slices
+from pageflow.plans.one_shot import one_shot_run
 from pageflow.settings import DEFAULTS, Settings
 from pageflow.sources import testdata as td
+from pageflow.sources.store import PageStore
 from pageflow.sources.tables import read_pages
 
 PAYLOADS = ("page_payload", "page_image", "payload")
@@ -208,6 +211,32 @@ def test_wide_rows_are_joined_where_they_are_read(spark, pages):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("whole", [True, False])
+def test_recorded_answers_are_read_once_for_all_chunks(spark, tmp_path, whole):
+    stored = write_pages(spark, f"{tmp_path}/pages", *[page(f"p{i}") for i in range(12)], files=4)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    # The last page has no answer; one answer is of no page.
+    rows = [(f"p{i}", 200, json.dumps({"value": f"text {i}"})) for i in range(13) if i != 11]
+    converter = recorded_converter(spark.createDataFrame(rows, schemas.RESPONSES).mapInPandas(counted, schemas.RESPONSES))
+    limits = Settings(chunk_rows=10, chunk_files=1)
+    if whole:
+        done = one_shot_run(stored, flags(spark), converter, at("2024-01-01 10:00:00"), f"{tmp_path}/out", "r", limits)
+        failed = {r.page_key for r in done.where("error is not null").collect()}
+        done = done.where("error is null")
+    else:
+        store = PageStore(spark, f"{tmp_path}/out")
+        incremental.run_batch(store, stored, stored, flags(spark), converter, at("2024-01-01 10:00:00"), "r", 1, limits)
+        failed, done = {r.page_key for r in store.catalog().collect()}, store.successes()
+    assert {(r.page_key, r.markdown) for r in done.collect()} == {(f"p{i}", f"text {i}") for i in range(11)}
+    assert failed == {"p11"} and read.value == len(rows)
+
+
 def test_filter_on_the_outcome_does_not_parse_twice(spark):
     df = spark.createDataFrame([(200, '{"value": "x"}', "Page")], "status_code int, body string, mode string")
     plan = physical(parse_responses(df).where("error is null"))
