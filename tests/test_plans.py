@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import at, flags, page, service, write_pages
-from pageflow import schemas
+from pageflow import queries, schemas
 from pageflow.functions.responses import parse_responses
 from pageflow.operators import payloads, tables
 from pageflow.operators.convert import recorded_converter
@@ -259,6 +259,28 @@ def test_fixture_scalars_stay_in_the_jvm(spark):
         assert "Python" not in physical(df)
 
 
+@pytest.mark.parametrize("name", ["one_shot", "one_shot_chunked", "run_metrics", "breaker_check"])
+def test_a_scan_of_some_pages_counts_no_turns(spark, monkeypatch, name):
+    """The number of a document's pages is stored with them: a chunk neither counts nor broadcasts those of all documents."""
+    sf, given = "/root/testdata/sf0.001", []
+
+    class Stop(Exception):
+        pass
+
+    def run(pages, *_):
+        given.append(pages)
+        raise Stop
+
+    monkeypatch.setattr(queries, "one_shot_run", run)
+    with pytest.raises(Stop):
+        queries.QUERIES[name](spark, sf)
+    plan = physical(given[0].where(F.col("row_file") == "none"))
+    assert "Aggregate" not in plan and "Exchange" not in plan
+    want = td.page_batch(spark, sf).drop("row_file", "row_index")
+    got = given[0].drop("row_file", "row_index")
+    assert got.dtypes == want.dtypes and not got.exceptAll(want).count() and not want.exceptAll(got).count()
+
+
 def test_generated_code_is_small_enough_to_be_compiled(spark, pages):
     """The JVM interprets methods above 8000 bytes of code for good, however hot they are."""
     part = pages.select("row_file", "row_index").withColumns({"attempt_count": F.lit(0), "use_image": F.lit(False)})
