@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +31,18 @@ def drop_staged(spark: SparkSession, *folders: str) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Inside, an action's shuffle files go when it ends; else they stay until the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def whole_text(column: Column | str) -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

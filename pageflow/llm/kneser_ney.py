@@ -23,7 +23,6 @@ Rules
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -36,15 +35,15 @@ from pyspark.sql import types as T
 
 from pageflow.llm import hash_arrays as H
 from pageflow.llm import runs, vocabulary
-from pageflow.llm.common import drop_staged, staged, whole_text
+from pageflow.llm.common import drop_staged, shuffles_dropped, staged, whole_text
 
 ABSENT = vocabulary.ABSENT
 BEGIN, END = (1 << runs.ID_BITS) - 1, (1 << runs.ID_BITS) - 2
 SLICE_BYTES = 4 << 20  # of texts that are encoded at once
-WORDS_AT_ONCE = 600_000
+WORDS_AT_ONCE = 250_000
 TRIPLES_HELD = 4_400_000
-COUNTER_ENTRIES = 600_000
-MAPPED = 2048  # files that a worker keeps open
+COUNTED_ENTRIES = 1_200_000
+MAPPED = 16_384  # files of a level that a worker keeps mapped
 STATS = -1  # the slot of figures about levels
 MANY = 255  # a count of one byte that stands for a larger one
 
@@ -98,22 +97,27 @@ def count_words(docs: DataFrame) -> DataFrame:
     """``key, n``: all words of ``docs`` (``text, train``) with their occurrences in training texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter: Counter = Counter()
+        held: list[pa.Table] = []
 
-        def out():
-            keys, n = pa.array(list(counter), pa.binary()), pa.array(list(counter.values()), pa.int64())
-            order = pc.sort_indices(keys)  # neighbours that are alike are packed better
-            yield pa.RecordBatch.from_arrays([keys.take(order).cast(pa.string()), n.take(order)], ["key", "n"])
-            counter.clear()
+        def summed() -> pa.Table:
+            return pa.concat_tables(held).group_by("key", use_threads=False).aggregate([("n", "sum")]).select(["key", "n_sum"])
 
         for batch in batches:
             for train in (True, False):
                 for _, texts in slices(batch["text"].filter(pc.equal(batch["train"], train))):
                     values, n = pc.value_counts(words_of(texts)[0]).flatten()
-                    counter.update(dict(zip(values.to_pylist(), n.to_pylist() if train else [0] * len(n))))
-                    if len(counter) > COUNTER_ENTRIES:
-                        yield from out()
-        yield from out()
+                    held.append(pa.table([values, n if train else pa.array(np.zeros(len(n), np.int64))], ["key", "n"]))
+                    if sum(map(len, held)) > COUNTED_ENTRIES:
+                        held = [summed().rename_columns(["key", "n"])]
+                        if len(held[0]) > COUNTED_ENTRIES // 2:
+                            yield from out(held.pop())
+        if held:
+            yield from out(summed())
+
+    def out(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        keys, n = (c.combine_chunks() for c in table.columns)
+        order = pc.sort_indices(keys)  # neighbours that are alike are packed better
+        yield pa.RecordBatch.from_arrays([keys.take(order).cast(pa.string()), n.take(order)], ["key", "n"])
 
     return docs.mapInArrow(count, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -126,9 +130,10 @@ def triple_runs(train: DataFrame, words: vocabulary.Vocabulary, slots: int) -> D
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def counted():
-            u, v, w = (np.concatenate(x).astype(np.int64) for x in zip(*held))
+            columns = [np.concatenate(x) for x in zip(*held)]
             held.clear()
-            yield from runs.by_slot(runs.merged(u, v, w, np.ones(len(u), np.int64)), slots)
+            ones = np.broadcast_to(np.int64(1), len(columns[0]))
+            yield from runs.by_slot(runs.merged(*(columns.pop(0).astype(np.int64) for _ in range(3)), ones), slots)
 
         for batch in batches:
             for _, texts in slices(batch["text"]):
@@ -164,31 +169,29 @@ def _kinds(figures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([shared, figures[~small]]), kind
 
 
-def write_slot(path: str, run: runs.Run) -> None:
-    """The arrays of a slot: contexts with figures (shared by contexts alike), and phrases with counts."""
+def _arrays(run: runs.Run, phrases: bool) -> dict[str, np.ndarray]:
+    """The arrays of a slot: contexts with figures (shared by contexts alike), and phrases with counts if asked."""
     a, b, c, n = run
     first, figures = _groups(run)
     contexts = H.mixed(a[first], b[first])
     order = np.argsort(contexts)
     shared, kind = _kinds(figures[order])
     starts, low = H.compact(contexts[order])
-    phrases = H.mixed(np.repeat(contexts, np.diff(first, append=len(a))), c)
-    by_hash = np.argsort(phrases)
-    phrase_starts, phrase_low = H.compact(phrases[by_hash])
-    counts = n[by_hash]
-    large = np.flatnonzero(counts >= MANY)
-    H.write_arrays(
-        path,
-        context_starts=starts,
-        context_low=low,
-        kind=kind.astype(np.uint16 if len(shared) <= 1 << 16 else np.uint32),
-        figures=shared.reshape(-1),
-        phrase_starts=phrase_starts,
-        phrase_low=phrase_low,
-        counts=np.minimum(counts, MANY).astype(np.uint8),
-        large=large,
-        large_counts=counts[large],
-    )
+    kind = kind.astype(np.uint16 if len(shared) <= 1 << 16 else np.uint32)
+    held = {"context_starts": starts, "context_low": low, "kind": kind, "figures": shared.reshape(-1)}
+    if phrases:
+        hashes = H.mixed(np.repeat(contexts, np.diff(first, append=len(a))), c)
+        by_hash = np.argsort(hashes)
+        starts, low = H.compact(hashes[by_hash])
+        counts = n[by_hash]
+        large = np.flatnonzero(counts >= MANY)
+        held |= {"phrase_starts": starts, "phrase_low": low, "counts": np.minimum(counts, MANY).astype(np.uint8)}
+        held |= {"large": large, "large_counts": counts[large]}
+    return held
+
+
+def write_slot(path: str, run: runs.Run, phrases: bool = True) -> None:
+    H.write_arrays(path, **_arrays(run, phrases))
 
 
 def _stats(level: int, n: np.ndarray) -> pa.RecordBatch:
@@ -198,17 +201,17 @@ def _stats(level: int, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([STATS], pa.int32()), pa.array([runs.pack(run)], pa.binary())], ["slot", "run"])
 
 
-def write_model(triples: DataFrame, folder: str, slots: int) -> DataFrame:
-    """Write the three levels; returns ``level, k, n``, the figures of ``_stats``."""
+def write_model(triples: DataFrame, folder: str, slots: int, work: str) -> DataFrame:
+    """Write the three levels; returns ``level, k, n``, the figures of ``_stats``, to be read before ``work`` goes."""
 
-    def level(number: int, lower: Callable[[runs.Run], runs.Run]) -> Callable[[int, runs.Run], Iterator[pa.RecordBatch]]:
-        def done(slot: int, run: runs.Run) -> Iterator[pa.RecordBatch]:
+    def level(number: int, lower: Callable[[runs.Run], runs.Run]) -> Callable[[int, runs.Run], Iterator[pa.RecordBatch | runs.Run]]:
+        def done(slot: int, run: runs.Run) -> Iterator[pa.RecordBatch | runs.Run]:
             if slot == STATS:
                 yield pa.RecordBatch.from_arrays([pa.array([STATS], pa.int32()), pa.array([runs.pack(run)], pa.binary())], ["slot", "run"])
                 return
             write_slot(f"{folder}/{number}/{slot}", run)
             yield _stats(number, run[3])
-            yield from runs.by_slot(runs.merged(*lower(run)), slots)
+            yield runs.merged(*lower(run))
 
         return done
 
@@ -222,12 +225,13 @@ def write_model(triples: DataFrame, folder: str, slots: int) -> DataFrame:
 
     def last(slot: int, run: runs.Run) -> Iterator[pa.RecordBatch]:
         if slot != STATS:
-            write_slot(f"{folder}/1/{slot}", run)
+            write_slot(f"{folder}/1/{slot}", run, phrases=False)  # a word is a context of its own, with its count as the total
             run = runs.unpack(_stats(1, run[3])["run"][0].as_py())
         yield pa.RecordBatch.from_arrays([pa.array(run[0]), pa.array(run[1]), pa.array(run[3])], ["level", "k", "n"])
 
-    three = runs.merge_slots(triples, level(3, pairs), runs.RUN_TYPE)
-    two = runs.merge_slots(three, level(2, singles), runs.RUN_TYPE)
+    three = staged(runs.merge_slots(triples, level(3, pairs), runs.RUN_TYPE, slots), f"{work}/pairs")
+    two = staged(runs.merge_slots(three, level(2, singles), runs.RUN_TYPE, slots), f"{work}/singles")
+    drop_staged(triples.sparkSession, f"{work}/pairs")
     one = runs.merge_slots(two, last, "level long, k long, n long")
     return one.groupBy("level", "k").agg(F.sum("n").alias("n"))
 
@@ -261,53 +265,81 @@ class Level:
     def __init__(self, model: Model, number: int):
         self.folder, self.slots = f"{model.folder}/{number}", model.slots
         self.discounts = np.array(model.discounts[number - 1])
-        self.files: dict[int, dict[str, np.ndarray] | None] = {}
+        self.files: dict[int, dict[str, np.ndarray]] = {}
 
-    def _file(self, slot: int) -> dict[str, np.ndarray] | None:
+    def _file(self, slot: int) -> dict[str, np.ndarray]:
         if slot not in self.files:
             if len(self.files) >= MAPPED:
                 self.files.clear()
             try:
                 arrays = H.map_arrays(f"{self.folder}/{slot}")
             except FileNotFoundError:  # no training text has such a context
-                self.files[slot] = None
-                return None
-            figures = arrays["figures"].reshape(-1, 4)
-            arrays["total"] = figures[:, 0].astype(np.float64)
-            arrays["rest"] = figures[:, 1:] @ self.discounts[1:]
-            self.files[slot] = arrays
+                arrays = _arrays((np.zeros(0, np.int64),) * 4, True)
+            self.files[slot] = arrays | {"figures": arrays["figures"].reshape(-1, 4)}
         return self.files[slot]
 
-    def look_up(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Counts of phrases, and of their contexts the total and the discounts' sum; zeros where absent."""
-        counts, total, rest = np.zeros(len(a), np.int64), np.zeros(len(a)), np.zeros(len(a))
-        contexts = H.mixed(a, b)
-        slot = contexts % np.uint64(self.slots)
-        if self.slots <= 1 << 16:
-            slot = slot.astype(np.uint16)  # sorted by counting
-        order = np.argsort(slot, kind="stable")
-        cuts = np.searchsorted(slot[order], np.arange(self.slots + 1))
-        phrases = H.mixed(contexts[order], c[order])
-        contexts = contexts[order]
-        for number in np.flatnonzero(np.diff(cuts)).tolist():
-            arrays = self._file(number)
-            if arrays is None:
-                continue
-            own = np.arange(cuts[number], cuts[number + 1])
-            at = H.find_compact(arrays["context_starts"], arrays["context_low"], contexts[own])
-            own, at = own[at >= 0], at[at >= 0]
-            kind, place = arrays["kind"][at], order[own]
-            total[place], rest[place] = arrays["total"][kind], arrays["rest"][kind]
-            at = H.find_compact(arrays["phrase_starts"], arrays["phrase_low"], phrases[own])
-            place, at = place[at >= 0], at[at >= 0]
-            n = arrays["counts"][at].astype(np.int64)
-            if (many := n == MANY).any():
-                n[many] = arrays["large_counts"][np.searchsorted(arrays["large"], at[many])]
-            counts[place] = n
+    def _dealt(self, slot: np.ndarray) -> tuple[list[dict[str, np.ndarray]], list[int]]:
+        """The files that sorted ``slot`` numbers ask for, and where each begins; those without a file come to an empty one."""
+        numbers = np.flatnonzero(np.bincount(slot, minlength=self.slots))
+        return [self._file(n) for n in numbers.tolist()], [*np.searchsorted(slot, numbers).tolist(), len(slot)]
+
+    def _sorted(self, slot: np.ndarray) -> np.ndarray:
+        return np.argsort(slot.astype(np.uint16) if self.slots <= 1 << 16 else slot, kind="stable")  # small ones by counting
+
+    def contexts(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The total of contexts and the discounts' sum; zeros where absent."""
+        slot = (hashes % np.uint64(self.slots)).astype(np.int64)
+        order = self._sorted(slot)
+        total, rest = np.empty(len(order)), np.empty(len(order))
+        total[order], rest[order] = self._contexts(*self._dealt(slot[order]), hashes[order])
+        return total, rest
+
+    def _contexts(self, files: list[dict[str, np.ndarray]], cuts: list[int], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        figures = np.zeros((len(hashes), 4), np.int64)
+        at = H.find_dealt([(f["context_starts"], f["context_low"]) for f in files], np.array(cuts), hashes)
+        for f, begin, end in zip(files, cuts, cuts[1:]):
+            if len(f["kind"]):
+                figures[begin:end] = f["figures"][f["kind"][at[begin:end]]]  # of the last context for absent ones
+        figures[at < 0] = 0
+        return figures[:, 0].astype(np.float64), figures[:, 1:] @ self.discounts[1:]
+
+    def _counts(self, files: list[dict[str, np.ndarray]], cuts: list[int], phrases: np.ndarray) -> np.ndarray:
+        counts = np.zeros(len(phrases), np.int64)
+        at = H.find_dealt([(f["phrase_starts"], f["phrase_low"]) for f in files], np.array(cuts), phrases)
+        for f, begin, end in zip(files, cuts, cuts[1:]):
+            if len(f["counts"]):
+                counts[begin:end] = f["counts"][at[begin:end]]
+        counts[at < 0] = 0
+        many = np.flatnonzero(counts == MANY)
+        number = np.searchsorted(cuts, many, "right") - 1
+        for own in np.split(many, np.flatnonzero(np.diff(number)) + 1) if len(many) else []:
+            f = files[np.searchsorted(cuts, own[0], "right") - 1]
+            counts[own] = f["large_counts"][np.searchsorted(f["large"], at[own])]
+        return counts
+
+    def look_up(self, contexts: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts of phrases, and of their contexts (hashes) the total and the discounts' sum; zeros where absent."""
+        slot = (contexts % np.uint64(self.slots)).astype(np.int64)
+        order = self._sorted(slot)
+        slot, sorted_contexts = slot[order], contexts[order]
+        total, rest = np.empty(len(order)), np.empty(len(order))
+        total[order], rest[order] = self._contexts(*self._dealt(slot), sorted_contexts)
+        known = np.flatnonzero(total[order])
+        counts = np.zeros(len(order), np.int64)
+        own = order[known]
+        counts[own] = self._counts(*self._dealt(slot[known]), H.mixed(sorted_contexts[known], c[own]))
         return counts, total, rest
 
-    def interpolated(self, a: np.ndarray, b: np.ndarray, c: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        n, total, rest = self.look_up(a, b, c)
+    def phrases(self, contexts: np.ndarray, c: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Counts of the phrases of contexts (hashes) that are ``known``, zeros for others."""
+        slot = (contexts % np.uint64(self.slots)).astype(np.int64)
+        own = np.flatnonzero(known)
+        own = own[self._sorted(slot[own])]
+        counts = np.zeros(len(c), np.int64)
+        counts[own] = self._counts(*self._dealt(slot[own]), H.mixed(contexts[own], c[own]))
+        return counts
+
+    def interpolated(self, n: np.ndarray, total: np.ndarray, rest: np.ndarray, lower: np.ndarray) -> np.ndarray:
         kept = n - self.discounts[np.minimum(n, 3)]
         return np.where(total > 0, (kept + rest * lower) / np.maximum(total, 1), lower)
 
@@ -327,29 +359,40 @@ class Reader:
         """Occurrences of the tokens ``w`` in training texts, and ``p(w | u v)``. What is alike is looked up once."""
         single, place = np.unique(w, return_inverse=True)
         own = np.where(single == END, self.model.train_texts, self.words.counts(np.where(single == END, ABSENT, single)))
-        n, _, _ = self.one.look_up(np.zeros_like(single), single, np.zeros_like(single))
-        d, (once, twice, _, _, more, total) = self.one.discounts, self.model.singles
+        # Most tokens stand before the next one of ``w`` too.
+        odd, before = np.ones(len(w), bool), np.empty_like(place)
+        odd[1:], before[1:] = v[1:] != w[:-1], place[:-1]
+        more, at = np.unique(v[odd], return_inverse=True)
+        before[odd] = len(single) + at
+        alone = np.concatenate([single, more])
+        alone = H.mixed(np.zeros_like(alone), alone)
+        n = self.one.contexts(alone[: len(single)])[0].astype(np.int64)
+        d, (once, twice, _, _, many, total) = self.one.discounts, self.model.singles
         uniform = 1 / (self.model.known + 1)
         if total:
-            one = (n - d[np.minimum(n, 3)]) / total + (d[1:] @ np.array([once, twice, more])) / total * uniform
+            one = (n - d[np.minimum(n, 3)]) / total + (d[1:] @ np.array([once, twice, many])) / total * uniform
         else:
             one = np.full(len(single), uniform)
-        two = self.two.interpolated(np.zeros_like(v), v, w, one[place])
-        return own[place], self.three.interpolated(u, v, w, two)
+        total, rest = (x[before] for x in self.two.contexts(alone))
+        two = self.two.interpolated(self.two.phrases(alone[before], w, total > 0), total, rest, one[place])
+        return own[place], self.three.interpolated(*self.three.look_up(H.mixed(u, v), w), two)
 
 
 def fit(docs: DataFrame, train: Column, work: str, text_col: str = "text") -> Model:
     """A model of the rows of ``docs`` that ``train`` tells. ``work``: a shared, mounted folder."""
+    spark = docs.sparkSession
     slim = docs.select(whole_text(text_col).alias("text"), train.alias("train"))
-    counted = staged(count_words(slim), f"{work}/counts")
-    figures = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
-    texts = docs.where(train).count()
-    words, table = vocabulary.build(counted, F.col("n") > 0, [], work)
-    table.count()
-    drop_staged(docs.sparkSession, f"{work}/counts")
-    slots, folder = runs.slots_for(figures[0]), f"{H.local_path(work)}/model"
-    triples = triple_runs(slim.where("train").select("text"), words, slots)
-    found = {(r["level"], r["k"]): r["n"] for r in write_model(triples, folder, slots).collect()}
+    with shuffles_dropped(spark):
+        counted = staged(count_words(slim), f"{work}/counts")
+        figures = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
+        texts = docs.where(train).count()
+        words, table = vocabulary.build(counted, F.col("n") > 0, [], work)
+        table.count()
+        drop_staged(spark, f"{work}/counts")
+        slots, folder = runs.slots_for(figures[0]), f"{H.local_path(work)}/model"
+        triples = triple_runs(slim.where("train").select("text"), words, slots)
+        found = {(r["level"], r["k"]): r["n"] for r in write_model(triples, folder, slots, work).collect()}
+        drop_staged(spark, f"{work}/singles")
     stats = [[found.get((level, k), 0) for k in range(6)] for level in (1, 2, 3)]
     return Model(
         folder,

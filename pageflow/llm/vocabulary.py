@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +22,10 @@ from pageflow.llm import hash_arrays as H
 SEED = 42
 PLACE_BITS = 21  # of an id: place in the shard, which has half as many words on average at most
 SHARD_BITS = 10  # of an id at most
-CACHED = 300_000  # words that a worker remembers before it starts anew
 ABSENT = -1
+P1, P2, P3, P4, P5 = (  # the primes of XXH64
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5,
+)
 
 
 @dataclass(frozen=True)
@@ -89,6 +92,38 @@ def build(counted: DataFrame, keep: Column, columns: list[str], work: str) -> tu
     return Vocabulary(folder, bits, suffix), table
 
 
+def xxh64(keys: pa.Array, seed: int) -> np.ndarray:
+    """XXH64 of binary ``keys`` without nulls; those below 32 bytes all at once, a lane of bytes after the other."""
+    offsets = np.frombuffer(keys.buffers()[1], np.int32)[keys.offset : keys.offset + len(keys) + 1].astype(np.int64)
+    if not len(keys) or offsets[0] == offsets[-1]:
+        return np.full(len(keys), xxhash.xxh64_intdigest(b"", seed), np.uint64)
+    data = np.frombuffer(keys.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    data = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight, four = (np.ndarray(len(data) - 7, kind, data, strides=(1,)) for kind in ("<u8", "<u4"))
+    first, size = offsets[:-1] - offsets[0], np.diff(offsets)
+    h = size.astype(np.uint64) + np.uint64(seed + P5 & (1 << 64) - 1)
+
+    def mix(own: np.ndarray, x: np.ndarray, bits: int, times: int, plus: int):
+        x = h[own] ^ x
+        h[own] = (x << np.uint64(bits) | x >> np.uint64(64 - bits)) * np.uint64(times) + np.uint64(plus)
+
+    for lane in range(3):
+        own = np.flatnonzero((size >= 8 * lane + 8) & (size < 32))
+        x = eight[first[own] + 8 * lane] * np.uint64(P2)
+        mix(own, (x << np.uint64(31) | x >> np.uint64(33)) * np.uint64(P1), 27, P1, P4)
+    own = np.flatnonzero((size & 4 > 0) & (size < 32))
+    mix(own, four[first[own] + (size[own] & ~7)] * np.uint64(P1), 23, P2, P3)
+    for byte in range(3):
+        own = np.flatnonzero((size & 3 > byte) & (size < 32))
+        mix(own, data[first[own] + (size[own] & ~3) + byte] * np.uint64(P5), 11, P1, 0)
+    h = (h ^ h >> np.uint64(33)) * np.uint64(P2)
+    h = (h ^ h >> np.uint64(29)) * np.uint64(P3)
+    h ^= h >> np.uint64(32)
+    for at in np.flatnonzero(size >= 32).tolist():
+        h[at] = xxhash.xxh64_intdigest(keys[at].as_py(), seed)
+    return h
+
+
 class Words:
     """A worker's view of a vocabulary."""
 
@@ -104,18 +139,23 @@ class Words:
                 self.shards[number] = None
         return self.shards[number]
 
-    def ids(self, keys: list[bytes]) -> np.ndarray:
+    def ids(self, keys: list[bytes] | pa.Array) -> np.ndarray:
         """Ids of different ``keys``, ``ABSENT`` for unknown ones."""
-        digest, suffix = xxhash.xxh64_intdigest, self.vocabulary.suffix
-        hashes = np.fromiter((digest(k + suffix, SEED) for k in keys), np.uint64, len(keys))
-        found = np.full(len(keys), ABSENT, np.int64)
+        keys = keys if isinstance(keys, pa.Array) else pa.array(keys, pa.binary())
+        if suffix := self.vocabulary.suffix:
+            keys = pc.binary_join_element_wise(keys, pa.scalar(suffix, pa.binary()), pa.scalar(b"", pa.binary()))
+        hashes = xxh64(keys, SEED)
+        order = np.argsort(hashes)
+        hashes = hashes[order]  # neighbours are looked up in the same pages
         bits = self.vocabulary.bits
+        found = np.full(len(keys), ABSENT, np.int64)
         shards = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
-        for number in np.unique(shards):
-            if (arrays := self._shard(int(number))) is not None:
-                own = np.flatnonzero(shards == number)
+        cuts = np.searchsorted(shards, np.arange((1 << bits) + 1))
+        for number in np.flatnonzero(np.diff(cuts)).tolist():
+            if (arrays := self._shard(number)) is not None:
+                own = slice(cuts[number], cuts[number + 1])
                 at = H.find_sorted(arrays["hashes"], hashes[own])
-                found[own] = np.where(at >= 0, (int(number) << PLACE_BITS) + at, ABSENT)
+                found[order[own]] = np.where(at >= 0, (number << PLACE_BITS) + at, ABSENT)
         return found
 
     def counts(self, ids: np.ndarray) -> np.ndarray:
@@ -129,20 +169,16 @@ class Words:
 
 
 class Encoder:
-    """Lists of words to ids, with a bounded memory of what was looked up. ``fixed``: words with an id of their own."""
+    """Lists of words to ids, each different word looked up once. ``fixed``: words with an id of their own."""
 
     def __init__(self, words: Words, tail: bytes = b"", fixed: dict[bytes, int] | None = None):
         self.words, self.tail, self.fixed = words, tail, fixed or {}
-        self.known = dict(self.fixed)
 
     def __call__(self, words: list[bytes] | pa.Array) -> np.ndarray:
         encoded = (words if isinstance(words, pa.Array) else pa.array(words, pa.binary())).dictionary_encode()
-        distinct = encoded.dictionary.to_pylist()
-        new = [w for w in distinct if w not in self.known]
-        if len(self.known) + len(new) > CACHED:
-            self.known = dict(self.fixed)
-            new = [w for w in distinct if w not in self.known]
-        if new:
-            self.known.update(zip(new, self.words.ids([w + self.tail for w in new]).tolist()))
-        ids = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        distinct = encoded.dictionary
+        keys = pc.binary_join_element_wise(distinct, pa.scalar(self.tail, pa.binary()), pa.scalar(b"", pa.binary())) if self.tail else distinct
+        ids = self.words.ids(keys)
+        for word, number in self.fixed.items():
+            ids[pc.equal(distinct, pa.scalar(word, pa.binary())).to_numpy(zero_copy_only=False)] = number
         return ids[encoded.indices.to_numpy()]

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from llm_cases import ODD
 from pyspark.sql import functions as F
 
-from pageflow.llm import collocations, hash_arrays, hat_trie, kneser_ney, lexical_search, runs
+from pageflow.llm import collocations, hash_arrays, hat_trie, kneser_ney, lexical_search, runs, vocabulary
 
 UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -76,6 +79,62 @@ def test_runs_are_packed_and_merged():
     assert all((runs.slot_of(r[0], r[1], 7) == slot).all() for slot, r in parts)
 
 
+def test_counts_of_a_run_take_the_bytes_they_need():
+    ids = np.arange(3000)
+    for most, width in [(1, 1), (255, 1), (256, 2), (1 << 16, 4), (1 << 40, 8)]:
+        packed = runs.pack((ids, ids, ids, np.where(ids == 7, most, 1)))
+        assert packed[7] == width and runs.unpack(packed)[3].tolist() == [most if i == 7 else 1 for i in ids]
+
+
+def test_runs_of_a_task_are_sent_on_together(spark, work):
+    rng, slots = np.random.default_rng(6), 64
+    run = runs.merged(*(rng.integers(0, 400, 20_000) for _ in range(3)), np.ones(20_000, np.int64))
+    triples = spark.createDataFrame(pa.Table.from_batches(runs.by_slot(run, slots))).coalesce(1)
+    folder = work()
+    kneser_ney.write_model(triples, f"{folder}/model", slots, folder).collect()
+    sent = [runs.unpack(r.run) for r in spark.read.parquet(f"{folder}/singles").where("slot >= 0").collect()]
+    assert len(sent) <= 8 * slots  # one for each task and slot, not for each pair of slots
+    assert sum(r[3].sum() for r in sent) == len(set(zip(run[1].tolist(), run[2].tolist())))
+
+
+def shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for top in disk.localDirsString() for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+
+
+def test_fitting_leaves_no_shuffle_files(spark, make_docs, work):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffle_files(spark), spark.conf.get(name)
+    folder = work()
+    kneser_ney.fit(make_docs(list(enumerate(prose(random.Random(3), 50)))), F.lit(True), folder)
+    for _ in range(50):  # they go in the background
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get(name) == setting
+    assert sorted(os.listdir(folder)) == ["model", "vocabulary"]
+
+
+def test_words_are_hashed_as_spark_does(spark):
+    rng = random.Random(7)
+    keys = [bytes(rng.randrange(256) for _ in range(n)) for n in range(70) for _ in range(5)]
+    for held in (pa.array(keys, pa.binary()), pa.array([b"ab", *keys], pa.binary()).slice(1), pa.array([], pa.binary())):
+        assert vocabulary.xxh64(held, vocabulary.SEED).tolist() == [xxhash.xxh64_intdigest(k, vocabulary.SEED) for k in held.to_pylist()]
+    rows = spark.createDataFrame([(k,) for k in keys], "key binary").select("key", F.xxhash64("key").alias("h")).collect()
+    assert vocabulary.xxh64(pa.array([r.key for r in rows], pa.binary()), 42).view(np.int64).tolist() == [r.h for r in rows]
+
+
+def test_files_are_searched_together():
+    rng = np.random.default_rng(11)
+    held = [np.unique(rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2)) for n in (5000, 0, 1, 300)]
+    asked = [np.concatenate([rng.permutation(h), rng.integers(0, 1 << 63, k, np.uint64) * np.uint64(2) + np.uint64(1)]) for h, k in zip(held, (10, 9, 0, 40))]
+    got = hash_arrays.find_dealt([hash_arrays.compact(h) for h in held], np.cumsum([0, *map(len, asked)]), np.concatenate(asked))
+    assert got.tolist() == np.concatenate([hash_arrays.find_sorted(h, a) for h, a in zip(held, asked)]).tolist()
+    skewed = np.arange(100_000, dtype=np.uint64)  # all in the first bucket, further from its share than two bytes tell
+    starts, low = hash_arrays.compact(skewed << np.uint64(20))
+    assert starts.dtype == np.int64 and starts[1] + (len(skewed) >> (len(starts) - 1).bit_length() - 1) == len(skewed)
+
+
 def test_the_trie_counts_through_bursts_and_spills(monkeypatch):
     monkeypatch.setattr(hat_trie, "BURST", 5)
     rng, want, held = np.random.default_rng(1), Counter(), []
