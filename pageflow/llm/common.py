@@ -18,9 +18,20 @@ BROADCAST_BYTES = 64 << 20
 FILE_ROW_BITS = 38  # of a row's number: rows of a file
 
 
-def staged(df: DataFrame, folder: str) -> DataFrame:
+# Of a table whose rows are megabytes: Parquet looks at the size after each row, else it holds a hundred first, and keeps no dictionary of such values.
+WIDE_ROWS = {"parquet.block.size": 8 << 20, "parquet.page.size.row.check.min": 1, "parquet.enable.dictionary": "false"}
+
+# What a task holds at once of wide rows: rows of a scan's batch, rows and bytes of a batch for Python.
+SMALL_BATCHES = {
+    "spark.sql.parquet.columnarReaderBatchSize": "256",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
+
+
+def staged(df: DataFrame, folder: str, options: dict[str, int | str] | None = None) -> DataFrame:
     """Write ``df`` below the shared work folder and read it back, so that no later step repeats its work."""
-    df.write.mode("overwrite").parquet(folder)
+    df.write.mode("overwrite").options(**(options or {})).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
@@ -43,6 +54,19 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Inside, an action's scans and Python tasks take ``SMALL_BATCHES``; else a batch is thousands of rows, however wide."""
+    before = {name: spark.conf.get(name) for name in SMALL_BATCHES}
+    try:
+        for name, value in SMALL_BATCHES.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def whole_text(column: Column | str) -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

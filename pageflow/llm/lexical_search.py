@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageflow.llm.common import staged, whole_text
+from pageflow.llm.common import WIDE_ROWS, small_batches, staged, whole_text
 
 BLOCK_DOCS = 4096
 BLOCK_TERMS = 400_000  # term occurrences that close a block
@@ -47,10 +47,10 @@ _BETWEEN = bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0
 _UPPER, _LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 _TABLE = bytes.maketrans(_BETWEEN + _UPPER, b" " * len(_BETWEEN) + _LOWER)
 
-BLOCK_TYPE = (
-    "n_docs long, n_terms long, ids array<long>, lengths array<int>, terms binary, starts array<int>, docs array<int>, tfs array<int>"
-)
-PAIR_TYPE = "pair_a array<int>, pair_b array<int>, pair_tops array<long>, pair_starts array<int>, pair_docs array<int>"
+# The long lists are packed: as lists of numbers they take several times their size in the JVM, beside Parquet's levels of each.
+BLOCK_TYPE = "n_docs long, n_terms long, ids array<long>, lengths array<int>, terms binary, starts binary, docs binary, tfs binary"
+PAIR_TYPE = "pair_a array<int>, pair_b array<int>, pair_tops array<long>, pair_starts array<int>, pair_docs binary"
+PACKED = ("starts", "docs", "tfs", "pair_docs")
 
 
 def terms_of(text: str) -> list[bytes]:
@@ -65,6 +65,17 @@ def _ints(values: np.ndarray) -> tuple[np.ndarray, pa.DataType]:
     return values.astype(np.int32), pa.list_(pa.int32())
 
 
+def _packed(values: np.ndarray) -> tuple[bytes, pa.DataType]:
+    """Numbers from 0 in as few bytes each as the greatest needs; the first byte says how many."""
+    kind = np.min_scalar_type(int(values.max(initial=0)))
+    return bytes([kind.itemsize]) + values.astype(kind.newbyteorder("<")).tobytes(), pa.binary()
+
+
+def _unpacked(value: pa.BinaryScalar) -> np.ndarray:
+    data = value.as_buffer()
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int32)
+
+
 def index_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_docs: int = BLOCK_DOCS) -> DataFrame:
     """Postings of ``docs`` in blocks: of each term, the documents (by place in the block, ascending) and its counts."""
     slim = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
@@ -84,9 +95,9 @@ def index_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 "ids": (ids, pa.list_(pa.int64())),
                 "lengths": _ints(lengths_of),
                 "terms": (b" ".join(known), pa.binary()),
-                "starts": _ints(starts),
-                "docs": _ints(pairs % len(ids)),
-                "tfs": _ints(tf),
+                "starts": _packed(starts),
+                "docs": _packed(pairs % len(ids)),
+                "tfs": _packed(tf),
             }
             return _row(row)
 
@@ -116,7 +127,7 @@ def document_frequencies(blocks: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for terms, starts in zip(batch["terms"].to_pylist(), batch["starts"]):
-                n = np.diff(starts.values.to_numpy()).astype(np.int64)
+                n = np.diff(_unpacked(starts)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(terms.split(b" "), pa.binary()), pa.array(n)], ["term", "df"])
 
     counted = blocks.select("terms", "starts").mapInArrow(count, "term binary, df long")
@@ -154,7 +165,10 @@ def _arrays(batch: pa.RecordBatch, row: int) -> dict:
     found = {}
     for name, column in zip(batch.schema.names, batch.columns):
         value = column[row]
-        found[name] = value.values.to_numpy(zero_copy_only=False) if isinstance(value, pa.ListScalar) and name != "ids" else value.as_py()
+        if name in PACKED:
+            found[name] = _unpacked(value)
+        else:
+            found[name] = value.values.to_numpy(zero_copy_only=False) if isinstance(value, pa.ListScalar) and name != "ids" else value.as_py()
     return found
 
 
@@ -190,7 +204,7 @@ def add_pair_lists(blocks: DataFrame, frequent: list[tuple[bytes, int]], n: int,
                     "pair_b": _ints(np.array(b, np.int64)),
                     "pair_tops": (tops, pa.list_(pa.int64())),
                     "pair_starts": _ints(starts),
-                    "pair_docs": _ints(np.concatenate(lists) if lists else np.zeros(0, np.int64)),
+                    "pair_docs": _packed(np.concatenate(lists) if lists else np.zeros(0, np.int64)),
                 }
                 own = batch.slice(number, 1)
                 made = _row(pairs)
@@ -317,11 +331,12 @@ def build_index(
     docs: DataFrame, work: str, id_col: str = "doc_id", text_col: str = "text", block_docs: int = BLOCK_DOCS, pair_terms: int = PAIR_TERMS
 ) -> Index:
     """Index all rows of ``docs``. ``work``: a shared folder."""
-    plain = staged(index_blocks(docs, id_col, text_col, block_docs), f"{work}/plain")
-    n, terms = plain.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.coalesce(F.sum("n_terms"), F.lit(0))).first()
-    frequencies = staged(document_frequencies(plain), f"{work}/frequencies")
-    frequent = [(bytes(r["term"]), r["df"]) for r in frequencies.orderBy(F.desc("df"), "term").limit(pair_terms).collect()]
-    blocks = staged(add_pair_lists(plain, frequent, n, terms), f"{work}/blocks")
+    with small_batches(docs.sparkSession):
+        plain = staged(index_blocks(docs, id_col, text_col, block_docs), f"{work}/plain", WIDE_ROWS)
+        n, terms = plain.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.coalesce(F.sum("n_terms"), F.lit(0))).first()
+        frequencies = staged(document_frequencies(plain), f"{work}/frequencies")
+        frequent = [(bytes(r["term"]), r["df"]) for r in frequencies.orderBy(F.desc("df"), "term").limit(pair_terms).collect()]
+        blocks = staged(add_pair_lists(plain, frequent, n, terms), f"{work}/blocks", WIDE_ROWS)
     return Index(blocks, frequencies, [t for t, _ in frequent], n, terms)
 
 
@@ -348,8 +363,14 @@ def _searched(index: Index, queries: list[tuple[int, list[bytes], int]], weights
 
 
 def _floors(index: Index, queries: list[tuple[int, list[bytes], int]], weights: dict[bytes, int], k: int) -> dict[int, int]:
-    """A lower bound of each query's kth score: its kth score in a few blocks."""
-    part = Index(index.blocks.limit(SEED_BLOCKS), index.frequencies, index.frequent, index.n_docs, index.n_terms)
+    """A lower bound of each query's kth score: its kth score in a few blocks, of the first files that have any.
+
+    A limit over all files would take that many blocks from each task and bring them all to one.
+    """
+    path = F.col("_metadata.file_path")
+    files = {r[0] for r in index.blocks.select(path).limit(SEED_BLOCKS).collect()}
+    seeds = index.blocks.where(path.isin(*files)).limit(SEED_BLOCKS)
+    part = Index(seeds, index.frequencies, index.frequent, index.n_docs, index.n_terms)
     scores: dict[int, list[int]] = {}
     for row in _searched(part, queries, weights, k).collect():
         scores.setdefault(row["query"], []).append(row["score"])
@@ -374,9 +395,10 @@ def search(
         known = index.frequencies.join(named, "term").collect()
         weights = {bytes(r["term"]): weight(r["df"], index.n_docs) for r in known}
         mine = [(q, [t for t in terms if t in weights], 0) for q, terms in wanted.items()]
-        floors = _floors(index, mine, weights, k)
-        found = _searched(index, [(q, terms, floors.get(q, 0)) for q, terms, _ in mine], weights, k)
-        found.write.mode("overwrite").parquet(f"{work}/found/round={turn}")
+        with small_batches(spark):
+            floors = _floors(index, mine, weights, k)
+            found = _searched(index, [(q, terms, floors.get(q, 0)) for q, terms, _ in mine], weights, k)
+            found.write.mode("overwrite").parquet(f"{work}/found/round={turn}")
     found = spark.read.schema("query long, id long, score long").option("recursiveFileLookup", True).parquet(f"{work}/found")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -7,17 +7,19 @@ import os
 import random
 import re
 import time
+import uuid
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from llm_cases import ODD
 from pyspark.sql import functions as F
 
-from pageflow.llm import collocations, hash_arrays, hat_trie, kneser_ney, lexical_search, runs, vocabulary
+from pageflow.llm import collocations, common, hash_arrays, hat_trie, kneser_ney, lexical_search, runs, vocabulary
 
 UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -401,3 +403,64 @@ def test_search_of_nothing(spark, make_docs, work):
         assert lexical_search.search(index, asked, 5, work()).collect() == []
     index = lexical_search.build_index(make_docs([(1, "a")]), work())
     assert lexical_search.search(index, asked.limit(0), 5, work()).collect() == []
+
+
+@pytest.mark.parametrize("values", [[], [0], [3, 0, 255], [256], [65_535, 1], [65_536, 7], [2**31 - 1]])
+def test_lists_of_blocks_are_packed(values):
+    data, kind = lexical_search._packed(np.array(values, np.int64))
+    assert lexical_search._unpacked(pa.scalar(data, kind)).tolist() == values
+    assert len(data) - 1 == len(values) * (1 if max(values, default=0) < 256 else 2 if max(values) < 65_536 else 4)
+
+
+def test_blocks_are_held_a_few_at_once(spark, make_docs, work, monkeypatch):
+    """A task's memory doesn't follow how many blocks its file has: small row groups, and small batches in all steps."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) + " the of") for i in range(480)]
+    names = ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    before, wide = {n: spark.conf.get(n) for n in names}, {n: v for n, v in zip(names, ("4096", "10000", "64m"))}
+    seen = []
+
+    def staged(df, folder, *more):
+        seen.append(tuple(spark.conf.get(n) for n in names))
+        return common.staged(df, folder, *more)
+
+    monkeypatch.setattr(lexical_search, "staged", staged)
+    try:
+        for n, v in wide.items():
+            spark.conf.set(n, v)
+        folder = work()
+        monkeypatch.setitem(getattr(common, "WIDE_ROWS", {}), "parquet.block.size", 30_000)
+        lexical_search.build_index(make_docs(rows, files=1), folder, block_docs=4)
+        assert len(seen) == 3 and set(seen) == {("256", "256", "8m")}
+        assert {n: spark.conf.get(n) for n in names} == wide
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+    for name in ("plain", "blocks"):
+        (file,) = [f"{folder}/{name}/{f}" for f in os.listdir(f"{folder}/{name}") if f.endswith(".parquet")]
+        found = pq.ParquetFile(file).metadata
+        assert found.num_rows == 120 and max(found.row_group(i).num_rows for i in range(found.num_row_groups)) < 40
+
+
+def test_floors_come_from_a_few_files(spark, make_docs, work):
+    rows = [(i, "the of a " + "rare " * (i % 5)) for i in range(400)]
+    queries = [(0, [b"rare", b"of"], 0), (1, [b"the"], 0)]
+    group, cost = uuid.uuid4().hex, spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1g")  # a task for each file
+    try:
+        index = lexical_search.build_index(make_docs(rows, files=40), work())
+        weights = {bytes(r.term): lexical_search.weight(r.df, index.n_docs) for r in index.frequencies.collect()}
+        assert index.blocks.rdd.getNumPartitions() == 40
+        spark.sparkContext.setJobGroup(group, "floors")
+        floors = lexical_search._floors(index, queries, weights, 5)
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.sparkContext.setLocalProperty("spark.job.description", None)
+    status = spark.sparkContext.statusTracker()
+    stages = {s for job in status.getJobIdsForGroup(group) for s in status.getJobInfo(job).stageIds}
+    assert 0 < sum(status.getStageInfo(s).numTasks for s in stages) < 25
+    scores = lexical_search._searched(index, queries, weights, 400).toPandas()
+    assert 0 in floors
+    for query, floor in floors.items():
+        assert 0 < floor <= sorted(scores[scores["query"] == query]["score"], reverse=True)[4]
